@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rhapsode.llm import decontam, mixing, simhash, tokenio
+from rhapsode.llm import decontam, mixing, simhash, tokenio, toxicity
 from rhapsode.llm.common import load, materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score as toxic go."""
+    return toxicity.without_toxic(docs, load(spark, sf_dir, "labels"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of SimHash near-duplicates stays."""
     return simhash.one_of_each(docs)
@@ -33,6 +38,7 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxic),
     ("near_duplicates", near_duplicates),
     ("leaks", leaks),
     ("source_mix", source_mix),

@@ -24,6 +24,18 @@ def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(write_tokens(load(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import toxicity_scores
+
+    return toxicity_scores(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .egojoin import near_vectors
+
+    return near_vectors(load(spark, sf_dir, "embeddings"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontam import contained_items
 
@@ -36,7 +48,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(load(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op4_token_output, op9_decontamination, op10_simhash)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op4_token_output, op5_toxicity, op8_embedding_dedup, op9_decontamination, op10_simhash)}
 
 SQL: dict[str, str] = {}
 
