@@ -18,6 +18,18 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(load(spark, sf_dir, "documents")).drop("copies")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .linedup import repeated_runs
+
+    return repeated_runs(load(spark, sf_dir, "documents"))
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .paragraphs import repeated_paragraphs
+
+    return repeated_paragraphs(load(spark, sf_dir, "documents"))
+
+
 def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .tokenio import read_tokens, tokenizer_path, write_tokens
 
@@ -30,6 +42,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffixes import repeated_passages
+
+    return repeated_passages(load(spark, sf_dir, "documents"))
+
+
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .egojoin import near_vectors
 
@@ -48,7 +66,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(load(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op4_token_output, op5_toxicity, op8_embedding_dedup, op9_decontamination, op10_simhash)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_line_dedup, op3_substring_dedup, op4_token_output, op5_toxicity, op6_suffix_dedup, op8_embedding_dedup, op9_decontamination, op10_simhash)}
 
 SQL: dict[str, str] = {}
 
@@ -66,3 +84,20 @@ SELECT DISTINCT doc_id, item_id, n_shingles, n_found, n_found / n_shingles AS co
   SELECT dg.doc_id, dg.k, bg.item_id, count(*) AS n_found FROM dg JOIN bg USING (g) GROUP BY ALL
 ) JOIN n USING (item_id) WHERE n_found >= 0.8 * n_shingles - 1e-9
 """
+
+SQL["op2_line_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x, i: {'line_no': i - 1, 'x': x}), lambda s: trim(s.x) <> '') AS ls FROM documents WHERE text IS NOT NULL
+), l AS (
+  SELECT doc_id, unnest(ls, recursive := true), unnest(range(0, len(ls))) AS seq FROM d
+), w AS (
+  SELECT *, lead(x) OVER (PARTITION BY doc_id ORDER BY seq) AS y FROM l
+), f AS (
+  SELECT *, first_value(doc_id) OVER g AS first_doc_id, first_value(line_no) OVER g AS first_line, row_number() OVER g AS k
+  FROM w WHERE y IS NOT NULL WINDOW g AS (PARTITION BY x, y ORDER BY doc_id, seq)
+), c AS (
+  SELECT *, CASE WHEN seq - lag(seq) OVER (PARTITION BY doc_id ORDER BY seq) <= 2 THEN 0 ELSE 1 END AS new FROM f WHERE k > 1
+), r AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY seq) AS run FROM c)
+SELECT doc_id, CAST(min(line_no) AS INT) AS line_from, CAST(max(seq) + 2 - min(seq) AS INT) AS n_lines, arg_min(first_doc_id, seq) AS first_doc_id, CAST(arg_min(first_line, seq) AS INT) AS first_line
+FROM r GROUP BY doc_id, run
+"""
