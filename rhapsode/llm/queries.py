@@ -48,6 +48,12 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(load(spark, sf_dir, "documents"))
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import find_personal_data
+
+    return find_personal_data(load(spark, sf_dir, "documents"))
+
+
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .egojoin import near_vectors
 
@@ -66,7 +72,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(load(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_line_dedup, op3_substring_dedup, op4_token_output, op5_toxicity, op6_suffix_dedup, op8_embedding_dedup, op9_decontamination, op10_simhash)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_line_dedup, op3_substring_dedup, op4_token_output, op5_toxicity, op6_suffix_dedup, op7_personal_data, op8_embedding_dedup, op9_decontamination, op10_simhash)}
 
 SQL: dict[str, str] = {}
 

@@ -155,7 +155,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     sorted_ = suffix.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     said = materialize(sorted_.mapInPandas(lambda frames: (x[names] for x in scan(frames)), fields), "copies")
     copy = "doc_id {0}, text_key long, lo int, hi int, from_id {0}, from_at int".format(kind)
-    rim = said.where("edge").select("doc_id", "text_key", "at", "ahead", "front").groupBy(F.lit(1)).applyInPandas(edges, copy)  # 2 * LOOK rows a partition
+    rim = said.where("edge").select("doc_id", "text_key", "at", "ahead", "front").groupBy().applyInPandas(edges, copy)  # 2 * LOOK rows a partition
     copies = said.where("not edge").select("doc_id", "text_key", "lo", "hi", "from_id", "from_at").union(rim).distinct()
     per = Window.partitionBy("doc_id", "text_key").orderBy("lo", "hi")
     apart = F.col("lo") > F.max("hi").over(per.rowsBetween(Window.unboundedPreceding, -1))
