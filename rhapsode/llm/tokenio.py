@@ -13,6 +13,8 @@ under names that no other attempt uses; the manifest, a table, names the files t
 from __future__ import annotations
 
 import json
+import os
+import re
 import struct
 import uuid
 import zlib
@@ -20,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,43 +30,89 @@ from .common import materialize, new_path
 
 MAGIC = b"RHTOK1\0\0"
 END_ID = 2
-#: Documents that are encoded and written at a time; ids that are read at a time; words whose ids are remembered.
-BATCH, BLOCK, WORDS = 64, 1 << 20, 200_000
+#: Documents that are encoded and written at a time; ids that are read at a time; words whose ids are remembered, twice.
+BATCH, BLOCK, WORDS = 64, 1 << 20, 150_000
 SHARD_BYTES = 64 << 20
 
 
 # ---- encoding
 
+#: Texts of these characters have no composition or context to mind: lower-cased, they fall into the pieces of PIECES.
+_LETTERS = "a-z\u00df-\u00f6\u00f8-\u017f"
+_OTHER = re.compile(f"[^A-Z{_LETTERS}\u00c0-\u00d6\u00d8-\u00de0-9 \\t\\n\\r\\x0b\\x0c.,;:!?()\\-\"/@+=_%$#&*]|\u0130")
+_PIECES = re.compile(f"[{_LETTERS}]+|[0-9]|[.,;:!?()\\-\"/@+=_%$#&*]+")
+
+
+#: Byte-level vocabularies name bytes that aren't printable in Latin-1 by the characters from 256 on, in turn.
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_NAMES = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _PRINTED)}
+
+
+def pieces(text: str) -> list[str]:
+    """Parts of a text whose ids, in turn, are the ids of the text: pieces of its plain words, and other words as they are."""
+    if not _OTHER.search(text):
+        return _PIECES.findall(text.lower())
+    out = []
+    for w in text.encode().split():
+        w = w.decode()
+        if _OTHER.search(w):
+            out.append(w)
+        else:
+            out += _PIECES.findall(w.lower())
+    return out
+
+
 class WordEncoder:
     """ids of whole texts by a tokenizers file, with a bounded memory of words.
 
-    For a tokenizer whose pre-tokenizer never joins text across ASCII white space and drops that white space, the ids of a text
-    are those of its white-space-separated words in turn; this holds for word_bpe_49k. Words that occur again are not
-    encoded again. by_words=False encodes the texts as they are.
+    For a tokenizer that lower-cases, and whose pre-tokenizer drops white space and parts letters, single digits and other characters, the
+    ids of a text are those of its pieces() in turn; this holds for word_bpe_49k. Pieces that occur again are not encoded
+    again; new ones go to the tokenizer's model directly. by_words=False encodes the texts as they are.
     """
 
     def __init__(self, path: str, by_words: bool = True):
         from tokenizers import Tokenizer
 
-        self.tok, self.by_words, self.seen = Tokenizer.from_file(path), by_words, {}
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        self.tok, self.by_words, self.seen, self.older = Tokenizer.from_file(path), by_words, {}, {}
+
+    def _learn(self, words: list[str]) -> None:
+        model, ids = self.tok.model, None
+        for w in words:
+            if _OTHER.search(w):
+                ids = self.tok.encode(w, add_special_tokens=False).ids
+            else:  # a pre-token already: only its bytes have to be named as the vocabulary names them
+                ids = [t.id for t in model.tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(_BYTE_NAMES))]
+            self.seen[w] = np.array(ids, dtype=np.uint32).tobytes()
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_words:
             return [np.array(e.ids, dtype=np.uint32) for e in self.tok.encode_batch(texts, add_special_tokens=False)]
-        split = [t.split(" ") if t.isascii() and t.isprintable() else _ascii_split(t) for t in texts]
-        new = list({w for ws in split for w in ws if w not in self.seen})
-        if len(self.seen) + len(new) > WORDS:
-            self.seen, new = {}, list({w for ws in split for w in ws})
-        for i in range(0, len(new), 10_000):
-            part = new[i : i + 10_000]
-            for w, e in zip(part, self.tok.encode_batch(part, add_special_tokens=False), strict=True):
-                self.seen[w] = np.array(e.ids, dtype=np.uint32).tobytes()
+        split = [pieces(t) for t in texts]
+        if len(self.seen) > WORDS:
+            self.seen, self.older = {}, self.seen
+        new = []
+        for w in {w for ws in split for w in ws}.difference(self.seen):
+            ids = self.older.get(w)
+            if ids is None:
+                new.append(w)
+            else:
+                self.seen[w] = ids
+        if new:
+            self._learn(new)
         get = self.seen.__getitem__
         return [np.frombuffer(b"".join(map(get, ws)), dtype=np.uint32) for ws in split]
 
+    @classmethod
+    def shared(cls, path: str, by_words: bool) -> WordEncoder:
+        """One encoder for all tasks of a worker process."""
+        import tokenizers
 
-def _ascii_split(text: str) -> list[str]:
-    return [w.decode() for w in text.encode().split()]
+        held = tokenizers.__dict__.setdefault("_rhapsode_encoders", {})
+        if (path, by_words) not in held:
+            held.clear()
+            held[path, by_words] = cls(path, by_words)
+        return held[path, by_words]
 
 
 # ---- minimal perfect hash
@@ -247,24 +296,24 @@ def write_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
         shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
     rows = rows.repartitionByRange(shards, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
 
-    def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, out, end = WordEncoder(tokenizer, by_words), None, np.array([end_id], dtype=np.uint32)
+        encode, out, end = WordEncoder.shared(tokenizer, by_words), None, np.array([end_id], dtype=np.uint32)
         shard, name = TaskContext.get().partitionId(), ""
-        for f in frames:
-            for i in range(0, len(f), BATCH):
-                keys = [None if pd.isna(k) else k if isinstance(k, str) else int(k) for k in f["doc_id"].iloc[i : i + BATCH].tolist()]
-                ids = [np.concatenate([x, end]) for x in encode(f["text"].iloc[i : i + BATCH].tolist())]
+        for b in batches:
+            for i in range(0, b.num_rows, BATCH):
+                part = b.slice(i, BATCH)
+                ids = [np.concatenate([x, end]) for x in encode(part.column(1).to_pylist())]
                 if out is None:
                     name = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex[:8]}.tok"
                     out = ShardWriter(name, encode.tok.get_vocab_size() > 1 << 16)
-                out.add(keys, ids)
+                out.add(part.column(0).to_pylist(), ids)
         if out is not None:
             head = out.close()
-            yield pd.DataFrame({"shard": [shard], "path": [name], "docs": [head["docs"]], "ids": [head["ids"]], "first": [str(out.keys[0])], "last": [str(out.keys[-1])]})
+            yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "path": [name], "docs": [head["docs"]], "ids": [head["ids"]], "first": [str(out.keys[0])], "last": [str(out.keys[-1])]})
 
-    return materialize(rows.mapInPandas(write, "shard int, path string, docs long, ids long, first string, last string"), "manifest")
+    return materialize(rows.mapInArrow(write, "shard int, path string, docs long, ids long, first string, last string"), "manifest")
 
 
 def read_tokens(manifest: DataFrame) -> DataFrame:
