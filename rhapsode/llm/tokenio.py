@@ -26,12 +26,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, new_path
+from .common import materialize, new_path, small_batches
 
 MAGIC = b"RHTOK1\0\0"
 END_ID = 2
 #: Documents that are encoded and written at a time; ids that are read at a time; words whose ids are remembered, twice.
-BATCH, BLOCK, WORDS = 64, 1 << 20, 150_000
+BATCH, BLOCK, WORDS = 64, 1 << 20, 100_000
 SHARD_BYTES = 64 << 20
 
 
@@ -313,7 +313,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
             head = out.close()
             yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "path": [name], "docs": [head["docs"]], "ids": [head["ids"]], "first": [str(out.keys[0])], "last": [str(out.keys[-1])]})
 
-    return materialize(rows.mapInArrow(write, "shard int, path string, docs long, ids long, first string, last string"), "manifest")
+    with small_batches(spark):
+        return materialize(rows.mapInArrow(write, "shard int, path string, docs long, ids long, first string, last string"), "manifest")
 
 
 def read_tokens(manifest: DataFrame) -> DataFrame:
