@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from . import frames, scalars  # noqa: F401
+from .registry import QUERIES, SQL  # noqa: F401
+
 FLAGSHIP = "frame_people"
