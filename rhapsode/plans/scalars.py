@@ -75,11 +75,11 @@ def crop_params(t: Tables) -> DataFrame:
     return t.det.withColumn("p", G.crop(G.box_of())).select(*DET, *[F.round(f"p.{c}", 6).alias(c) for c in ("cx", "cy", "w", "h")])
 
 
-@query("back_project", f"with {CROP_SQL} select video_id, frame, det, round(score * 101.7 / 288 * w + cx - 0.5 * w, 6) as x, round(score * 203.3 / 384 * h + cy - 0.5 * h, 6) as y from p", "det")
+@query("back_project", f"with {CROP_SQL} select video_id, frame, det, round(score * 101.7 / 288 * w + cx - 0.5 * w + 1e-8, 6) as x, round(score * 203.3 / 384 * h + cy - 0.5 * h + 1e-8, 6) as y from p", "det")
 def back_project(t: Tables) -> DataFrame:
     d = t.det.withColumn("p", G.crop(G.box_of()))
     x = G.back_project(F.col("score") * 101.7, G.CROP_WIDTH, F.col("p.w"), F.col("p.cx"))
-    return d.select(*DET, F.round(x, 6).alias("x"), F.round(G.back_project(F.col("score") * 203.3, G.CROP_HEIGHT, F.col("p.h"), F.col("p.cy")), 6).alias("y"))
+    return d.select(*DET, F.round(x + 1e-8, 6).alias("x"), F.round(G.back_project(F.col("score") * 203.3, G.CROP_HEIGHT, F.col("p.h"), F.col("p.cy")) + 1e-8, 6).alias("y"))
 
 
 @query("simcc_step", f"with {CROP_SQL} select video_id, frame, det, round(h / 768, 9) as step from p", "det")
