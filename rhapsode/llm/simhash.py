@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import drop, fresh, materialize
+from .common import fresh, materialize, small
 from .components import connected_components
 
 RADIUS, SHINGLE = 2, 3
@@ -159,14 +159,14 @@ def near_fingerprints(fps: DataFrame, col: str, radius: int = RADIUS) -> DataFra
 
 
 def fingerprint_components(table: DataFrame, fp: str, doc_id: str) -> DataFrame:
-    """(fp, component_id) for each fingerprint of table; component_id: the least doc_id reachable."""
+    """(fp, component, component_id) for each fingerprint of table; component_id: the least doc_id reachable, null where all are null."""
     (least,) = fresh(table, "least_id")
     each = materialize(table.groupBy(fp).agg(F.min(doc_id).alias(least)), "fingerprints")
     comp = connected_components(near_fingerprints(each, fp), "a", "b")
     x = each.join(comp.withColumnRenamed("node", fp), fp, "left").withColumn("component", F.coalesce("component", fp))
     x = materialize(x, "components")
     top = x.groupBy("component").agg(F.min(least).alias("component_id"))
-    return x.join(top, "component").select(fp, "component_id")
+    return x.join(top, "component").select(fp, "component", "component_id")
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -182,15 +182,26 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each component: the one of the least id (nulls last); columns unchanged."""
-    row, body, fp = fresh(docs, "row_no", "body", "fp")
-    whole = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    at = with_fingerprints(whole.withColumn("n", F.monotonically_increasing_id()), "text", "fp").drop("text")
-    table = materialize(at, "simhash", "zstd")
+    """docs with one row of each component: the one of the least id (nulls last); columns unchanged.
+
+    Rows are told apart by a 128-bit hash of all their columns (maps aside); of rows that repeat in all of them one stays. Texts are
+    never shuffled, only hashes are.
+    """
+    fp, h1, h2 = fresh(docs, "fp", "h1", "h2")
+    cols = [F.col(f.name) for f in docs.schema if not isinstance(f.dataType, T.MapType)]
+    keyed = docs.withColumn(h1, F.xxhash64(*cols)).withColumn(h2, F.xxhash64(F.lit(1), *cols))
+    slim = keyed.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(h1).alias("h1"), F.col(h2).alias("h2"))
+    table = materialize(with_fingerprints(slim, "text", "fp").drop("text"), "simhash")
     comp = fingerprint_components(table, "fp", "doc_id")
     # of one fingerprint the first row stands for all; a component's first of those stays
-    first = table.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n")).alias("k"))
-    keep = first.join(comp, "fp").groupBy("component_id").agg(F.min("k").alias("k"))
-    # null component ids: those whose ids are all null; each such fingerprint component keeps its own first row
-    keep = materialize(keep.select(F.col("k.n").alias("n")), "kept")
-    return table.join(keep, "n", "left_semi").select("row.*")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h1", "h2")
+    first = materialize(table.groupBy("fp").agg(F.min(place).alias("k")).join(comp, "fp"), "firsts")
+    keep = first.groupBy("component").agg(F.min("k").alias("k")).select(F.col("k.h1").alias("h1"), F.col("k.h2").alias("h2"))
+    rows = materialize(table.groupBy("h1", "h2").agg(F.count("*").alias("n")).join(keep.withColumn("kept", F.lit(True)), ["h1", "h2"], "left"), "rows")
+    gone = rows.where("kept is null").select(F.col("h1").alias(h1), F.col("h2").alias(h2))
+    left = keyed.join(small(gone, 1_000_000), [h1, h2], "left_anti")
+    again = rows.where("kept and n > 1").select(F.col("h1").alias(h1), F.col("h2").alias(h2))
+    if not again.isEmpty():
+        again = small(again, 1_000_000)
+        left = left.join(again, [h1, h2], "left_anti").union(left.join(again, [h1, h2], "left_semi").dropDuplicates([h1, h2]).select(left.columns))
+    return left.select(docs.columns)

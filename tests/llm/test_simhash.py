@@ -93,3 +93,8 @@ def test_dealt_search_equals_brute_force(spark, monkeypatch):
     at = {int(v): i for i, v in enumerate(x.view("<i8"))}
     got = [(at[r["a"]], at[r["b"]]) for r in near_fingerprints(df, "fp").collect()]
     assert classes(got, len(x)) == classes(brute_pairs(x), len(x))
+
+
+def test_components_of_null_ids_each_keep_a_row(spark):
+    docs = spark.createDataFrame([(None, "a b c d e f g h i j"), (None, "a b c d e f g h i j"), (None, "q w e r t y u i o p"), (3, "one two three four")], "doc_id long, text string")
+    assert sorted(r["text"] for r in one_of_each(docs).collect()) == ["a b c d e f g h i j", "one two three four", "q w e r t y u i o p"]
