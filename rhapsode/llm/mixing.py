@@ -64,11 +64,13 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     counted = docs.withColumn(raw, n_words(text))
     weight = quality if quality is not None else prose_weight(text, F.nullif(F.col(raw), F.lit(0)))
     u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_col), text), 11).cast("double") + 0.5) / float(2**53)
-    sized = counted.select(F.col(id_col).alias("doc_id"), source.alias("source"), F.col(raw).alias("size"), (-F.log(u) / weight).alias("key"), *kept)
+    keyed = counted.select(F.col(id_col).alias("doc_id"), source.alias("source"), F.col(raw).alias("size"), (-F.log(u) / weight).alias("key"), *kept)
     p = (1 - F.exp(-F.col("key"))) * CELLS
     b1 = F.least(F.floor(p), F.lit(CELLS - 1))
     b2 = F.least(F.floor((p - b1) * CELLS), F.lit(CELLS - 1))
-    sized = materialize(sized.withColumn("b1", b1.cast("int")).withColumn("b2", b2.cast("int")), "sized")
+    keyed = keyed.withColumn("b1", b1.cast("int")).withColumn("b2", b2.cast("int"))
+    # whole rows are never written aside: what decides on a row follows from the row and the table of targets
+    sized = materialize(keyed.drop("row"), "sized")
 
     sums = sized.groupBy("source").agg(F.sum("size").alias("size"))
     t = source_targets(sums, "source", "size", weights, share, cap)
@@ -91,7 +93,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     last = x.join(small(y), F.col("x.source").eqNullSafe(F.col("y.source")) & (F.col("x.b1") == F.col("y.end1"))).select("x.source", "x.b2", "x.size")
     t = materialize(ends(last, t, "b2", "before3", "end2", "before2"), "targets")
 
-    x, y = sized.alias("x"), small(t.alias("y"))
+    x, y = (keyed if keep_rows else sized).alias("x"), small(t.alias("y"))
     every = x.join(y, F.col("x.source").eqNullSafe(F.col("y.source"))).select("x.*", "y.source_size", "y.target", "y.epochs", "y.rest", "y.end1", "y.end2", "y.before3")
     inside = F.coalesce((F.col("b1") == F.col("end1")) & (F.col("b2") == F.col("end2")), F.lit(False))
     early = F.coalesce((F.col("b1") < F.col("end1")) | ((F.col("b1") == F.col("end1")) & (F.col("b2") < F.col("end2"))), F.lit(False))
