@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import area, box, box_of, fits_scale, iou
 from . import ranges
+from .stage import settled
 
 
 @dataclass(frozen=True)
@@ -226,15 +227,16 @@ def signer_choice(rows: DataFrame, lengths: DataFrame, p: TrackParams = TrackPar
     rows: posed boxes (video_id, frame, det, x1..y2), with ``active`` if p.min_active asks for it.
     """
     frames = lambda s: int(np.rint(s * rate))
-    linked = rows.join(link_tracks(rows, p.link_iou, frames(p.max_gap_s)), ["video_id", "frame", "det"])
-    seg = spot_rows(linked, p, frames(p.min_visit_s), frames(p.anchor_s), frames(p.merge_gap_s), frames(p.scale_window_s / 2), width)
+    linked = settled(rows.join(link_tracks(rows, p.link_iou, frames(p.max_gap_s)), ["video_id", "frame", "det"]))
+    seg = settled(spot_rows(linked, p, frames(p.min_visit_s), frames(p.anchor_s), frames(p.merge_gap_s), frames(p.scale_window_s / 2), width))
     if "active" not in seg.columns:
         seg = seg.withColumn("active", F.lit(True))
     prior = prior if prior is not None else F.lit(0.0)
-    main = main_spot(seg, lengths, p.main_share, prior)
+    main = settled(main_spot(seg, lengths, p.main_share, prior))
     info = seg.groupBy("video_id", "spot", "segment").agg(F.count("*").alias("presence"), F.min("frame").alias("lo"), F.max("frame").alias("hi"))
     keys = seg.groupBy("video_id", "spot").agg(prior.cast("double").alias("prior"))
     info = info.join(keys, ["video_id", "spot"]).join(main, "video_id", "left")
+    info = settled(info)
     is_main = F.coalesce(F.col("spot") == F.col("main"), F.lit(False))
     others = info.where(~is_main & (F.col("presence") >= frames(p.min_track_s)))
     if p.other_iou > 0:
