@@ -107,3 +107,19 @@ WITH d AS (
 SELECT doc_id, CAST(min(line_no) AS INT) AS line_from, CAST(max(seq) + 2 - min(seq) AS INT) AS n_lines, arg_min(first_doc_id, seq) AS first_doc_id, CAST(arg_min(first_line, seq) AS INT) AS first_line
 FROM r GROUP BY doc_id, run
 """
+
+SQL["op8_embedding_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+), u AS (
+  SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS n FROM v
+  WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE a.n > 0 AND b.n > 0 AND list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.93::DOUBLE
+), r AS (
+  SELECT vec_id AS a, vec_id AS c FROM v UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.a
+), c AS (SELECT a, min(c) AS component_id FROM r GROUP BY a), d AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT v.vec_id, coalesce(d.n, 0) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+FROM v JOIN c ON c.a = v.vec_id LEFT JOIN d ON d.a = v.vec_id
+"""
