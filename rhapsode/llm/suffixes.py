@@ -121,6 +121,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     found = materialize(_select(base, kind).where(F.size("at") > 0), "minimisers")
     each = found.select("doc_id", "text_key", F.explode(F.arrays_zip("at", "grams")).alias("m")).select("doc_id", "text_key", F.col("m.at").alias("at"), F.col("m.grams").alias("gram"))
     twice = each.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    twice = materialize(twice, "grams")  # a table of its own, so that a gram with very many places can be split in the join
     places = each.join(twice, "gram").groupBy("doc_id", "text_key").agg(F.collect_set("at").alias("places"))
     places = materialize(places, "places")
     drop(found)
