@@ -27,11 +27,12 @@ def connected_components(links: DataFrame, a: str, b: str, max_rounds: int = 60)
         seen = now
         both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = materialize(least, "least")  # so that a node of very many links can be split in the join
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
         root = large.groupBy("hi").agg(F.min("lo").alias("m"))
         hang = large.join(root, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         new = materialize(hang.union(root.select("hi", F.col("m").alias("lo"))).distinct(), "links")
-        drop(edges)
+        drop(edges, least)
         edges = new
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
