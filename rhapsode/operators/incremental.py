@@ -94,3 +94,26 @@ def log_sessions(lines: DataFrame, log: str = "log", n: str = "n", text: str = "
     hit = commits.join(s, [log, "video"]).where(F.col("session") <= F.col("at"))
     taken = hit.groupBy("video").agg(F.max_by("lines", F.struct(log, "at", "session")).alias("lines"))
     return taken.where(F.size("lines") > 0).select(F.col("video").alias("video_id"), "lines")
+
+
+def heartbeats(rows: DataFrame, key: str, ts: str, seconds: int = 15) -> DataFrame:
+    """(key, beats): beats from each key's first row to its last, one every so many seconds."""
+    span = F.unix_micros(F.max(ts)) - F.unix_micros(F.min(ts))
+    return rows.groupBy(key).agg((F.floor(span / (seconds * 1_000_000)) + 1).cast("long").alias("beats"))
+
+
+def merge_points(commits: DataFrame, key: str, ts: str, every: int = 50, seconds: int = 1800) -> DataFrame:
+    """(key, merges, left): how often a merge is due, after so many commits or so long after the last one, and the commits since it.
+
+    A fold over each key's commits in time order: whether one is due depends on when the last one was.
+    """
+    at = F.array_sort(F.collect_list(F.unix_micros(ts)))
+    rows = commits.groupBy(key).agg(at.alias("at"))
+    start = F.struct(F.element_at("at", 1).alias("last"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("merges"))
+
+    def step(s, t):
+        due = (s["n"] + 1 >= every) | (t - s["last"] >= seconds * 1_000_000)
+        return F.struct(F.when(due, t).otherwise(s["last"]).alias("last"), F.when(due, F.lit(0).cast("long")).otherwise(s["n"] + 1).alias("n"), (s["merges"] + due.cast("long")).alias("merges"))
+
+    done = F.aggregate("at", start, step)
+    return rows.select(key, done.alias("s")).select(key, F.col("s.merges").alias("merges"), F.col("s.n").alias("left"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,3 +76,19 @@ def posed(pose_set: DataFrame, rule: FrameRule, k: int = 3, keys: tuple[str, ...
     g = pose_set.groupBy(*keys).agg(*[F.min_by("det", r.key()).alias(n) for r, n in ((rule, "a"), (LARGEST, "b"), (HIGHEST, "c"))], F.sort_array(F.collect_list("det")).alias("all"))
     rows = F.array_sort(F.slice(F.array_distinct(F.concat(F.array("a", "b", "c"), F.col("all"))), 1, k))
     return g.withColumn("posed", rows).select(*keys, "posed", (F.array_position("posed", F.col("a")) - 1).cast("long").alias("primary"))
+
+
+@dataclass(frozen=True)
+class VideoRule:
+    """A rule that looks at whole videos: choose(rows, lengths) gives (video_id, t, det); params enter the hash."""
+
+    name: str
+    choose: Callable[[DataFrame, DataFrame], DataFrame]
+    params: dict = field(default_factory=dict)
+
+
+@lru_cache(maxsize=64)
+def processor(rule_name: str, k: int = 3) -> Callable[[DataFrame], DataFrame]:
+    """The posed rows of a pose set under a framework rule, built once for each rule."""
+    rule = FRAMEWORK_RULES[rule_name]
+    return lambda pose_set: posed(pose_set, rule, k)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import frames, scalars, series, tables, tracking  # noqa: F401
+from . import extras, frames, scalars, series, tables, tracking  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401
 
 FLAGSHIP = "frame_people"
