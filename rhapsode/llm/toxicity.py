@@ -203,9 +203,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return model
 
 
-def scored(docs: DataFrame, model: ToxicityModel, text_col: str = "text", names: tuple[str, str, str] = ("score", "evidence", "similarity")) -> DataFrame:
-    """docs and three columns: score, ids of the nearest examples as text, and their similarities. Null texts are empty."""
+def scored(docs: DataFrame, model: ToxicityModel, text_col: str = "text", names: tuple[str, str, str] = ("score", "evidence", "similarity"), below: float | None = None) -> DataFrame:
+    """docs without the text and three columns: score, ids of the nearest examples as text, and their similarities. Null texts are empty.
+
+    below: whole rows come back instead, those of lower scores only.
+    """
     at = docs.columns.index(text_col)
+    rest = [i for i in range(len(docs.columns)) if i != at or below is not None]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, known = TermCounts(model.terms), {}
@@ -220,10 +224,11 @@ def scored(docs: DataFrame, model: ToxicityModel, text_col: str = "text", names:
                     known[key] = model.score(model.vector(c))
                 out.append(known[key])
             cols = [pa.array([o[0] for o in out], pa.float64()), pa.array([[str(x) for x in o[1]] for o in out], pa.list_(pa.string())), pa.array([o[2] for o in out], pa.list_(pa.float64()))]
-            yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=[*b.schema.names, *names])
+            out_batch = pa.RecordBatch.from_arrays([*(b.column(i) for i in rest), *cols], names=[*(b.schema.names[i] for i in rest), *names])
+            yield out_batch if below is None else out_batch.filter(pa.array([o[0] < below for o in out], pa.bool_()))
 
     kinds = [T.DoubleType(), T.ArrayType(T.StringType()), T.ArrayType(T.DoubleType())]
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *(T.StructField(n, k) for n, k in zip(names, kinds, strict=True))]))
+    return docs.mapInArrow(run, T.StructType([*(docs.schema.fields[i] for i in rest), *(T.StructField(n, k) for n, k in zip(names, kinds, strict=True))]))
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
@@ -245,4 +250,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
     model = fit(docs, labels, id_col, text_col, label_col)
     names = fresh(docs, "score", "evidence", "similarity")
-    return scored(docs, model, text_col, tuple(names)).where(F.col(names[0]) < 0.5).drop(*names)
+    return scored(docs, model, text_col, tuple(names), below=0.5).drop(*names)
