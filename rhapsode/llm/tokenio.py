@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialize, new_path, small_batches
@@ -280,6 +280,13 @@ class ShardReader:
 
 # ---- tables
 
+def _uri(spark: SparkSession, path: str) -> str:
+    """A path with the scheme that Spark would use for it, as pyarrow reads it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    full = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+    return f"file://{full[5:]}" if full.startswith("file:/") and not full.startswith("file:///") else full
+
+
 def write_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, path: str | None = None, shards: int | None = None, by_words: bool = True) -> DataFrame:
     """Encodes docs into shards in ascending id order (nulls first); the manifest: (shard, path, docs, ids, first, last).
 
@@ -288,7 +295,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     fit in memory; a shard need not. The manifest is a table in the shared work folder.
     """
     spark = docs.sparkSession
-    folder = path or new_path(spark, "tokens")
+    folder = _uri(spark, path or new_path(spark, "tokens"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn("tie", F.xxhash64("text"))
     if shards is None:

@@ -63,3 +63,8 @@ def test_perfect_hash_is_minimal(n):
     assert sorted(mph.slots(keys).tolist()) == list(range(n))
     with pytest.raises(ValueError):
         PerfectHash.build(np.array([7, 7], dtype=np.uint64))
+
+
+def test_shards_go_where_they_are_told(spark, tmp_path):
+    manifest = write_tokens(documents(spark).limit(20), tokenizer_path(), path=f"{tmp_path}/shards", shards=2)
+    assert all(r["path"].startswith(f"file://{tmp_path}/shards/") for r in manifest.collect()) and read_tokens(manifest).count() == 20
