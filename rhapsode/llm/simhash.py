@@ -47,15 +47,16 @@ def fingerprint(text: str | None, n: int = SHINGLE) -> int:
 
 
 def with_fingerprints(docs: DataFrame, text_col: str, name: str, n: int = SHINGLE) -> DataFrame:
-    """docs and a column of fingerprints as signed longs."""
+    """docs without the text, which need not come back from the workers, and a column of fingerprints as signed longs."""
     at = docs.columns.index(text_col)
+    rest = [i for i in range(len(docs.columns)) if i != at]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([fingerprint(t.as_py(), n) for t in b.column(at)], dtype="<u8").view("<i8")
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fp)], names=[*b.schema.names, name])
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in rest), pa.array(fp)], names=[*(b.schema.names[i] for i in rest), name])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+    return docs.mapInArrow(run, T.StructType([*(docs.schema.fields[i] for i in rest), T.StructField(name, T.LongType())]))
 
 
 def vantage_points(levels: int) -> np.ndarray:
@@ -176,7 +177,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     component, null only where all its ids are null. Rows that repeat each get a row. Extra columns play no part.
     """
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    fp = materialize(with_fingerprints(base, "text", "fp").drop("text"), "simhash")
+    fp = materialize(with_fingerprints(base, "text", "fp"), "simhash")
     comp = fingerprint_components(fp, "fp", "doc_id")
     return fp.join(comp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
@@ -191,7 +192,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     cols = [F.col(f.name) for f in docs.schema if not isinstance(f.dataType, T.MapType)]
     keyed = docs.withColumn(h1, F.xxhash64(*cols)).withColumn(h2, F.xxhash64(F.lit(1), *cols))
     slim = keyed.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(h1).alias("h1"), F.col(h2).alias("h2"))
-    table = materialize(with_fingerprints(slim, "text", "fp").drop("text"), "simhash")
+    table = materialize(with_fingerprints(slim, "text", "fp"), "simhash")
     comp = fingerprint_components(table, "fp", "doc_id")
     # of one fingerprint the first row stands for all; a component's first of those stays
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h1", "h2")
