@@ -78,6 +78,15 @@ def posed(pose_set: DataFrame, rule: FrameRule, k: int = 3, keys: tuple[str, ...
     return g.withColumn("posed", rows).select(*keys, "posed", (F.array_position("posed", F.col("a")) - 1).cast("long").alias("primary"))
 
 
+def posed_rows(rows: Column, k: int = 3) -> tuple[Column, Column]:
+    """(posed, primary) of a frame's candidates as an array in falling score, under the largest-box rule: as posed(), without another shuffle."""
+    largest = F.array_min(F.transform(rows, lambda b: F.struct((-area(b)).alias("a"), b["det"].alias("det"))))["det"]
+    best = F.get(rows, F.lit(0))["det"]
+    every = F.sort_array(F.transform(rows, lambda b: b["det"]))
+    picked = F.array_sort(F.slice(F.array_distinct(F.concat(F.array(largest, best), every)), 1, k))
+    return picked, (F.array_position(picked, largest) - 1).cast("long")
+
+
 @dataclass(frozen=True)
 class VideoRule:
     """A rule that looks at whole videos: choose(rows, lengths) gives (video_id, t, det); params enter the hash."""

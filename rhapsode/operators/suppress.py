@@ -34,15 +34,26 @@ def end_pixels(threshold: float) -> callable:
     return over
 
 
-def suppressed(dets: DataFrame, over: callable, keys: tuple[str, ...] = FRAME, least_score: float | None = None) -> DataFrame:
-    """keys and ``kept``: det numbers that stay, in falling score. Only frames with a candidate have a row."""
+ROWS = "array<struct<order:double,det:bigint,x1:double,y1:double,x2:double,y2:double>>"
+
+
+def gathered(dets: DataFrame, keys: tuple[str, ...] = FRAME, least_score: float | None = None) -> DataFrame:
+    """keys and ``rows``: each frame's candidates in falling score. Filters by score stand before, since no optimizer can push them below a fold."""
     if least_score is not None:
-        dets = dets.where(F.col("score") > least_score)  # before the fold: no optimizer can push it below one
+        dets = dets.where(F.col("score") > least_score)
     row = F.struct((-F.col("score")).alias("order"), "det", "x1", "y1", "x2", "y2")
-    rows = dets.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    kind = "array<struct<order:double,det:bigint,x1:double,y1:double,x2:double,y2:double>>"
-    keep = F.aggregate("rows", F.array().cast(kind), lambda kept, b: F.when(F.exists(kept, lambda k: over(k, b)), kept).otherwise(F.array_append(kept, b)))
-    return rows.select(*keys, F.transform(keep, lambda b: b["det"]).alias("kept"))
+    return dets.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias("rows"))
+
+
+def kept_of(rows: Column, over: callable) -> Column:
+    """The rows that stay, of an array in falling score."""
+    return F.aggregate(rows, F.array().cast(ROWS), lambda kept, b: F.when(F.exists(kept, lambda k: over(k, b)), kept).otherwise(F.array_append(kept, b)))
+
+
+def suppressed(dets: DataFrame, over: callable, keys: tuple[str, ...] = FRAME, least_score: float | None = None) -> DataFrame:
+    """keys and ``kept``: det numbers that stay, in falling score. Only frames with a candidate have a row."""
+    rows = gathered(dets, keys, least_score)
+    return rows.select(*keys, F.transform(kept_of(F.col("rows"), over), lambda b: b["det"]).alias("kept"))
 
 
 def survivors(dets: DataFrame, over: callable, keys: tuple[str, ...] = FRAME, least_score: float | None = None) -> DataFrame:
@@ -52,9 +63,9 @@ def survivors(dets: DataFrame, over: callable, keys: tuple[str, ...] = FRAME, le
 
 def flagged(dets: DataFrame, keys: tuple[str, ...] = FRAME, score: float = 0.3) -> DataFrame:
     """dets with flags: 1 for the pose set, 2 for the count set."""
-    pose = suppressed(dets, end_pixels(POSE_IOU), keys, score).withColumnRenamed("kept", "pose")
-    count = suppressed(dets, standard(COUNT_IOU), keys, score).withColumnRenamed("kept", "count")
-    both = dets.join(pose, list(keys), "left").join(count, list(keys), "left")
+    named = lambda over: F.transform(kept_of(F.col("rows"), over), lambda b: b["det"])
+    sets = gathered(dets, keys, score).select(*keys, named(end_pixels(POSE_IOU)).alias("pose"), named(standard(COUNT_IOU)).alias("count"))
+    both = dets.join(sets, list(keys), "left")
     bit = lambda col, v: F.when(F.array_contains(col, F.col("det")), v).otherwise(0)
     return both.withColumn("flags", bit("pose", POSE).bitwiseOR(bit("count", COUNT)).cast("int")).drop("pose", "count")
 

@@ -123,10 +123,11 @@ def frame_people(t: Tables) -> DataFrame:
 
 
 def people(t: Tables) -> DataFrame:
-    d = t.det.where("score > 0.3")
-    count = N.suppressed(d, N.standard(N.COUNT_IOU)).select(*KEYS, F.size("kept").cast("long").alias("n"))
-    f = t.frames.join(count, KEYS, "left").join(S.posed(d, S.LARGEST), KEYS, "left")
-    return f.withColumn("num_persons", F.coalesce("n", F.lit(0)))
+    """One shuffle of the candidates serves suppression and selection."""
+    rows = N.gathered(t.det, least_score=0.3)
+    posed, primary = S.posed_rows(F.col("rows"))
+    each = rows.select(*KEYS, F.size(N.kept_of(F.col("rows"), N.standard(N.COUNT_IOU))).cast("long").alias("n"), posed.alias("posed"), primary.alias("primary"))
+    return t.frames.join(each, KEYS, "left").withColumn("num_persons", F.coalesce("n", F.lit(0)))
 
 
 # ---- joins
