@@ -3,7 +3,8 @@
 Of every LONG words in a row, each holds LONG - GRAM + 1 grams of GRAM words; the gram of the least hash is its minimiser. Passages of LONG words or
 more that occur twice thus have a minimiser in common, so only suffixes that start at minimisers are kept (about one in 22 words), and of
 those only the ones whose gram occurs twice. Suffixes are sorted by their words in one range-partitioned sort; each is compared with its
-neighbours before it, and the match is extended to the right and, by the words in front, to the left. Where both together reach LONG words, the later of the
+neighbours before it, and the match is extended to the right and, by the words in front, to the left; grams that many suffixes share are sorted and
+compared once more by the words in front. Where both together reach LONG words, the later of the
 two is a copy. Copies that overlap form the runs. Suffixes at the edges of the sort's partitions are compared with each other in the end.
 """
 
@@ -17,14 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop, materialize
+from .common import drop, materialize, small_batches
 from .wordseq import gram_hashes, minimizers, word_hashes
 
 LONG, GRAM = 50, 8
 #: Words kept in front of a minimiser: a passage of LONG words starts no further from its first one.
 FRONT = LONG - GRAM
 #: Neighbours in front with which a suffix is compared.
-LOOK = 4
+LOOK = 16
 
 
 def anchors(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -51,23 +52,24 @@ def _select(docs: DataFrame, kind: str) -> DataFrame:
 
 
 def _contexts(rows: DataFrame, kind: str) -> DataFrame:
-    """(doc_id, text_key, at, ahead, front): the LONG words from each position and, backwards, the FRONT words before it, as hashes."""
+    """(doc_id, text_key, at, crowded, ahead, front): the LONG words from each position and, backwards, the FRONT words before it, as hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 b = batch.slice(lo, 64)
-                ids, keys, ats, ahead, front = [], [], [], [], []
+                ids, keys, ats, crowded, ahead, front = [], [], [], [], [], []
                 for doc_id, key, text, places in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist(), strict=True):
                     h = word_hashes(text.as_py().encode().lower().split()).astype(">u4")
                     n, fore, back = len(h), h.tobytes(), h[::-1].tobytes()
-                    for p in places:
-                        ids.append(doc_id), keys.append(key), ats.append(p)
+                    for place in places:
+                        p = place["at"]
+                        ids.append(doc_id), keys.append(key), ats.append(p), crowded.append(place["crowded"])
                         ahead.append(fore[4 * p : 4 * (p + LONG)])
                         front.append(back[4 * (n - p) : 4 * (n - p + FRONT)])
-                yield pa.RecordBatch.from_arrays([pa.array(ids, b.schema.field(0).type), pa.array(keys, pa.int64()), pa.array(ats, pa.int32()), pa.array(ahead, pa.binary()), pa.array(front, pa.binary())], names=["doc_id", "text_key", "at", "ahead", "front"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids, b.schema.field(0).type), pa.array(keys, pa.int64()), pa.array(ats, pa.int32()), pa.array(crowded, pa.bool_()), pa.array(ahead, pa.binary()), pa.array(front, pa.binary())], names=["doc_id", "text_key", "at", "crowded", "ahead", "front"])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, text_key long, at int, ahead binary, front binary")
+    return rows.mapInArrow(run, f"doc_id {kind}, text_key long, at int, crowded boolean, ahead binary, front binary")
 
 
 def _matrix(col: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -83,53 +85,47 @@ def common(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray) -> np.n
 
 
 def compare(rows: pd.DataFrame, start: int) -> pd.DataFrame:
-    """Copies found by comparing rows from ``start`` on (sorted suffixes) with the LOOK rows before each."""
+    """Copies found by comparing rows from ``start`` on (sorted suffixes) with the LOOK rows before each.
+
+    All matches of a suffix hold its first words, so that one row says what they cover together: from the furthest left end to the furthest right one.
+    """
+    n = len(rows)
     ahead, na = _matrix(rows["ahead"].tolist(), LONG)
     front, nf = _matrix(rows["front"].tolist(), FRONT)
-    ids, keys, at = rows["doc_id"].tolist(), rows["text_key"].to_numpy(), rows["at"].to_numpy()
-    out = []
-    for k in range(1, LOOK + 1):
-        if len(rows) <= k:
-            break
+    ids = rows["doc_id"].tolist()
+    none = np.array([x is None for x in ids], dtype=bool)
+    order = [none, np.array([0 if x is None else x for x in ids], dtype=np.int64), rows["text_key"].to_numpy(dtype=np.int64), rows["at"].to_numpy(dtype=np.int64)]
+    at, left, right, source = order[3], np.full(n, -1, dtype=np.int64), np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+    for k in range(1, min(LOOK, n - 1) + 1):
         r = common(ahead[k:], ahead[:-k], na[k:], na[:-k])
-        hit = np.nonzero(r >= GRAM)[0]
-        if not len(hit):
+        a = np.nonzero(r >= GRAM)[0]
+        if not len(a):
             break  # rows further apart share no more
-        f = common(front[k:][hit], front[:-k][hit], nf[k:][hit], nf[:-k][hit])
-        ok = (f + r[hit] >= LONG) & (hit + k >= start)
-        for i, left, right in zip(hit[ok].tolist(), f[ok].tolist(), r[hit][ok].tolist(), strict=True):
-            a, b = i, i + k
-            x, y = ((ids[j] is None, ids[j] if ids[j] is not None else 0, int(keys[j]), int(at[j])) for j in (a, b))
-            if x == y:
-                continue
-            if x > y:
-                a, b = b, a
-            out.append((ids[b], int(keys[b]), int(at[b]) - left, int(at[b]) + right, ids[a], int(at[a]) - left))
-    return pd.DataFrame(out, columns=["doc_id", "text_key", "lo", "hi", "from_id", "from_at"])
-
-
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, word_from, n_words, first_doc_id, first_word): runs of words to delete, as later copies of LONG words or more.
-
-    Words are lower-cased (A-Z) runs without ASCII white space; word_from counts from 0. Later: in the order of doc_id (nulls last), then of the text's
-    hash, then of the position. first_doc_id and first_word: the copy with which the run's beginning was matched. Null and empty texts, and
-    those of fewer than LONG words, have no runs. Rows that repeat (id and text) count as one document. Ids are integers. Extra columns play no part.
-    """
-    base = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text"))
-    kind = base.schema["doc_id"].dataType.simpleString()
-    spark, parts = docs.sparkSession, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = materialize(_select(base, kind).where(F.size("at") > 0), "minimisers")
-    each = found.select("doc_id", "text_key", F.explode(F.arrays_zip("at", "grams")).alias("m")).select("doc_id", "text_key", F.col("m.at").alias("at"), F.col("m.grams").alias("gram"))
-    twice = each.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
-    twice = materialize(twice, "grams")  # a table of its own, so that a gram with very many places can be split in the join
-    places = each.join(twice, "gram").groupBy("doc_id", "text_key").agg(F.collect_set("at").alias("places"))
-    places = materialize(places, "places")
-    drop(found)
-    d, p = base.alias("d"), places.alias("p")
-    asked = d.join(p, F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("d.text_key") == F.col("p.text_key"))).select("d.doc_id", "d.text_key", "text", "places")
-    suffix = materialize(_contexts(asked, kind), "suffixes")
-    order = ["ahead", "front", "doc_id", "text_key", "at"]
+        b, r = a + k, r[a]
+        f = common(front[b], front[a], nf[b], nf[a])
+        first, tied = np.zeros(len(a), dtype=bool), np.ones(len(a), dtype=bool)  # a comes first in the order of documents
+        for x in order:
+            first |= tied & (x[a] < x[b])
+            tied &= x[a] == x[b]
+        ok = (f + r >= LONG) & (b >= start) & ~tied
+        for side, later, earlier in ((ok & first, b, a), (ok & ~first, a, b)):
+            t, s, fl, fr = later[side], earlier[side], f[side], r[side]  # each row is later at most once here
+            more = fl > left[t]
+            source[t[more]] = s[more]
+            left[t], right[t] = np.maximum(left[t], fl), np.maximum(right[t], fr)
+    t = np.nonzero(left >= 0)[0]
+    s = source[t]
+    pick = lambda i: [ids[j] for j in i.tolist()]
+    return pd.DataFrame({"doc_id": pd.Series(pick(t), dtype=object), "text_key": order[2][t], "lo": at[t] - left[t], "hi": at[t] + right[t], "from_id": pd.Series(pick(s), dtype=object), "from_at": at[s] - left[t]})
+
+
+def _neighbours(suffix: DataFrame, order: list[str], kind: str) -> DataFrame:
+    """Copies found by sorting the suffixes and comparing neighbours; rows at the edges of the sort's partitions are compared in the end."""
+    spark = suffix.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     fields = f"edge boolean, doc_id {kind}, text_key long, at int, ahead binary, front binary, lo int, hi int, from_id {kind}, from_at int"
+    names = [x.split()[0] for x in fields.split(", ")]
+    sort = [c for c in order if c in ("ahead", "front")]
 
     def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, first = None, True
@@ -138,26 +134,57 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 continue
             f = f.astype({"doc_id": object}).where(f.notna(), None)
             if first:
-                yield f.head(LOOK).assign(edge=True, lo=None, hi=None, from_id=None, from_at=None)
+                yield f.head(LOOK).assign(edge=True, lo=None, hi=None, from_id=None, from_at=None)[names]
                 first = False
             rows, start = (f, 0) if held is None else (pd.concat([held, f], ignore_index=True), len(held))
-            yield compare(rows, start).assign(edge=False, at=None, ahead=None, front=None)
+            yield compare(rows, start).assign(edge=False, at=None, ahead=None, front=None)[names]
             held = rows.tail(LOOK)
         if held is not None:
-            yield held.assign(edge=True, lo=None, hi=None, from_id=None, from_at=None)
+            yield held.assign(edge=True, lo=None, hi=None, from_id=None, from_at=None)[names]
 
     def edges(frame: pd.DataFrame) -> pd.DataFrame:
         f = frame.astype({"doc_id": object}).where(frame.notna(), None)
         f = f.drop_duplicates(["doc_id", "text_key", "at"])
-        f = f.assign(none=[x is None for x in f["doc_id"]]).sort_values(["ahead", "front"], kind="stable").reset_index(drop=True)
+        f = f.assign(gram=[x[: 4 * GRAM] for x in f["ahead"]]).sort_values(["gram", *sort], kind="stable").reset_index(drop=True)
         return compare(f, 0)
 
-    names = [x.split()[0] for x in fields.split(", ")]
-    sorted_ = suffix.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    said = materialize(sorted_.mapInPandas(lambda frames: (x[names] for x in scan(frames)), fields), "copies")
-    copy = "doc_id {0}, text_key long, lo int, hi int, from_id {0}, from_at int".format(kind)
+    name = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
+    usual = spark.conf.get(name)
+    spark.conf.set(name, "20")  # the driver sees so many keys a partition, and a key holds the words around a suffix
+    try:
+        said = materialize(suffix.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInPandas(scan, fields), "copies")
+    finally:
+        spark.conf.set(name, usual)
+    copy = f"doc_id {kind}, text_key long, lo int, hi int, from_id {kind}, from_at int"
     rim = said.where("edge").select("doc_id", "text_key", "at", "ahead", "front").groupBy().applyInPandas(edges, copy)  # 2 * LOOK rows a partition
-    copies = said.where("not edge").select("doc_id", "text_key", "lo", "hi", "from_id", "from_at").union(rim).distinct()
+    return said.where("not edge").select("doc_id", "text_key", "lo", "hi", "from_id", "from_at").union(rim)
+
+
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, word_from, n_words, first_doc_id, first_word): runs of words to delete, as later copies of LONG words or more.
+
+    Words are lower-cased (A-Z) runs without ASCII white space; word_from counts from 0. Later: in the order of doc_id (nulls last), then of the text's
+    hash, then of the position. first_doc_id and first_word: the copy with which the run's beginning was matched. Null and empty texts, and
+    those of fewer than LONG words, have no runs. Rows that repeat (id and text) count as one document. Ids are integers. Extra columns play no part.
+    """
+    base = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text"))
+    kind = base.schema["doc_id"].dataType.simpleString()
+    with small_batches(docs.sparkSession):
+        found = materialize(_select(base, kind).where(F.size("at") > 0), "minimisers")
+    each = found.select("doc_id", "text_key", F.explode(F.arrays_zip("at", "grams")).alias("m")).select("doc_id", "text_key", F.col("m.at").alias("at"), F.col("m.grams").alias("gram"))
+    twice = each.groupBy("gram").agg((F.count("*") > LOOK + 1).alias("crowded"), F.count("*").alias("n")).where("n > 1").select("gram", "crowded")
+    twice = materialize(twice, "grams")  # a table of its own, so that a gram with very many places can be split in the join
+    places = each.join(twice, "gram").groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("at", "crowded")).alias("places"))
+    places = materialize(places, "places")
+    drop(found)
+    d, p = base.alias("d"), places.alias("p")
+    asked = d.join(p, F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("d.text_key") == F.col("p.text_key"))).select("d.doc_id", "d.text_key", "text", "places")
+    with small_batches(docs.sparkSession):
+        suffix = materialize(_contexts(asked, kind), "suffixes")
+    copies = _neighbours(suffix.drop("crowded"), ["ahead", "front", "doc_id", "text_key", "at"], kind)
+    # where many suffixes share a gram, those that agree in front of it may lie far apart in that order: once more by the words in front
+    again = suffix.where("crowded").drop("crowded").withColumn("gram", F.substring("ahead", 1, 4 * GRAM))
+    copies = copies.union(_neighbours(again, ["gram", "front", "ahead", "doc_id", "text_key", "at"], kind)).distinct()
     per = Window.partitionBy("doc_id", "text_key").orderBy("lo", "hi")
     apart = F.col("lo") > F.max("hi").over(per.rowsBetween(Window.unboundedPreceding, -1))
     runs = copies.withColumn("new", F.coalesce(apart, F.lit(True)).cast("int")).withColumn("run", F.sum("new").over(per.rowsBetween(Window.unboundedPreceding, 0)))
