@@ -81,7 +81,7 @@ def brute_clusters(rows):
     for d, t in rows:
         w, _, first = P.paragraphs(t)
         for a, b in zip(first, [*first[1:], len(w)], strict=True):
-            if b - a >= P.SHINGLE:
+            if b - a >= P.EDGE or 0 < a and b < len(w):
                 items.setdefault((d, int(a)), b" ".join(w[a:b]).decode())
     keys = sorted(items, key=lambda k: (k[0] is None, k))
     comp = {k: k for k in keys}
