@@ -28,8 +28,8 @@ from .components import connected_components
 from .wordseq import gram_hashes, mixed, sliding_min, word_hashes
 
 REACH, SHINGLE, BANDS, ROWS, LEAST = 8, 5, 4, 1, 0.8
-#: A text's first and last paragraph count from so many words on: with REACH words of context on each side, inner ones stand for as many in common.
-EDGE = 2 * REACH + 1
+#: A text's first and last paragraph count from so many words on: shorter ones hold no shingle. A text of one paragraph always counts.
+EDGE = SHINGLE
 #: Paragraph keys that a task remembers, so that copies within a task are banded once.
 SEEN = 200_000
 #: Keys (with a cluster each at most) that may be broadcast, so that no text is shuffled to find theirs; more of them are joined by a shuffle.
@@ -90,7 +90,7 @@ def _cut(docs: DataFrame, kind: str) -> DataFrame:
                     place = mixed(np.arange(len(flat), dtype=np.uint64) - np.repeat(at, [len(p) for p in pick]).astype(np.uint64), 9)
                     key = np.add.reduceat(mixed(flat ^ place, 11), at).view(np.int64)
                     for k in range(len(first)):
-                        if k in (0, len(first) - 1) and ends[k] - first[k] < EDGE:
+                        if len(first) > 1 and ends[k] - first[k] < EDGE:
                             continue
                         ids.append(doc_id)
                         begins.append(int(first[k]))
@@ -159,8 +159,9 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """(doc_id, word_from, n_words, kept_doc_id, kept_word_from, cluster): the paragraphs to remove, and what stays of each cluster.
 
     Words are lower-cased (A-Z) runs without ASCII white space; word_from counts from 0. Of a cluster, the paragraph of the least doc_id (nulls
-    last), then word_from, stays. Null and empty texts have no paragraphs. A text's first and last paragraph count only from EDGE words on, so
-    that common first lines alone are no repetition. Rows that repeat (id and text) count as one document. Extra columns play no part.
+    last), then word_from, stays. Null and empty texts have no paragraphs. A text's first and last paragraph count from EDGE words on; a text that
+    is one paragraph counts whatever its length, one under SHINGLE words as a single shingle. Rows that repeat (id and text) count as one document.
+    Extra columns play no part.
     """
     def verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:

@@ -123,3 +123,12 @@ def test_odd_rows(spark):
     assert {r["doc_id"] for r in P.repeated_paragraphs(docs).collect()} >= {None, 5}
     for f in (S.repeated_passages, P.repeated_paragraphs):
         assert f(docs.limit(0)).count() == 0
+
+
+def test_copies_of_short_texts_are_found(spark):
+    r = random.Random(6)
+    texts = [" ".join(f"w{r.randrange(9000)}" for _ in range(n)) for n in range(1, 34)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, t) for i, t in enumerate(texts)]
+    got = covered(P.repeated_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert set(got) == {100 + i for i in range(len(texts))}
+    assert all(len(got[100 + i]) >= n - 2 * (P.SHINGLE - 1) for i, n in enumerate(range(1, 34)))
