@@ -8,14 +8,14 @@ are joined, their exact Jaccard similarity is verified, and the components of ve
 cluster stays, later ones are removed.
 
 A bucket of n paragraphs yields fewer than 2n pairs: each member with the bucket's least and with its predecessor in the sorted bucket; both are read
-in a stream. Members that these pairs refuse share a common phrase rather than their text; they are bucketed anew by two, then three, then all
-of their bands together, until none is refused or the bands are used up.
+in a stream. In a bucket of up to three members these are all pairs. The members of larger ones are joined once more, exactly: by the prefixes of
+their shingles in order of rarity, of which two paragraphs of similarity LEAST have one in common. Those that share a prefix shingle are compared
+all against all, but for members that are connected already.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -34,6 +34,8 @@ EDGE = SHINGLE
 SEEN = 200_000
 #: Keys (with a cluster each at most) that may be broadcast, so that no text is shuffled to find theirs; more of them are joined by a shuffle.
 KEYS = 1_000_000
+#: Members of a crowded prefix shingle that are compared in one piece; more of them are dealt into blocks, and every pair of blocks is compared.
+BLOCK = 512
 
 
 def boundaries(h: np.ndarray, reach: int = REACH) -> np.ndarray:
@@ -155,6 +157,65 @@ def jaccard(a: str, b: str) -> float:
     return len(x & y) / len(x | y)
 
 
+def near(s: set[int], t: set[int]) -> bool:
+    """Whether two sets of shingles have a Jaccard similarity of LEAST or more."""
+    if min(len(s), len(t)) < LEAST * max(len(s), len(t)):
+        return False
+    n = len(s & t)
+    return n / (len(s) + len(t) - n) >= LEAST
+
+
+def connecting(members: list[tuple[int, int, set[int]]], across: bool) -> list[tuple[int, int]]:
+    """Near pairs that connect whatever all near pairs connect. members: (key, block, shingles); across: pairs within a block don't count."""
+    out, groups = [], []
+    for key, block, s in members:
+        mine, others = [(key, block, s)], []
+        for g in groups:
+            hit = next((k for k, b, t in g if not (across and b == block) and near(s, t)), None)
+            if hit is None:
+                others.append(g)
+            else:
+                out.append((min(key, hit), max(key, hit)))
+                mine = g + mine
+        groups = [*others, mine]
+    return out
+
+
+def crowded_links(bodies: DataFrame, parts: int) -> DataFrame:
+    """(a, b): near pairs that connect whatever all near pairs of these paragraphs connect. bodies: (key, body), a row a key."""
+
+    def shingles(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield pd.DataFrame({"key": f["key"], "grams": [np.unique(gram_hashes(word_hashes(x.encode().split(b" ")), SHINGLE)).view(np.int64) for x in f["body"]]})
+
+    table = materialize(bodies.mapInPandas(shingles, "key long, grams array<long>"), "shingles")
+    each = table.select("key", F.explode("grams").alias("gram"))
+    often = materialize(each.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"), "gram_counts")  # so that a very common gram can be split in the join
+    rare = each.join(often, "gram", "left").groupBy("key").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "gram"))).alias("g"))
+    prefix = F.slice("g", 1, F.size("g") - F.ceil(F.size("g") * LEAST - 1e-9).cast("int") + 1)
+    held = materialize(rare.select("key", F.explode(prefix).alias("g")).where("g.n > 1").select("key", F.col("g.gram").alias("gram")), "prefixes")
+    blocks = materialize(held.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "prefix_counts")
+    dealt = held.join(blocks, "gram").withColumn("block", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
+    dealt = dealt.select("gram", "key", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    unit = ["gram", "lo", "hi"]
+    work = dealt.join(table, "key").select("gram", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "key", "block", "grams")
+
+    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, members = None, []
+        for f in frames:
+            found = []
+            for gram, lo, hi, key, block, grams_ in zip(*[f[c].tolist() for c in (*unit, "key", "block")], f["grams"], strict=True):
+                if now != (gram, lo, hi):
+                    found += connecting(members, now is not None and now[1] != now[2])
+                    now, members = (gram, lo, hi), []
+                members.append((key, block, set(grams_.tolist())))
+            yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+        if members:
+            yield pd.DataFrame(connecting(members, now[1] != now[2]), columns=["a", "b"], dtype="int64")
+
+    return materialize(work.repartition(parts, *unit).sortWithinPartitions(*unit, "key").mapInPandas(compare, "a long, b long").distinct(), "crowded_links")
+
+
 def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, word_from, n_words, kept_doc_id, kept_word_from, cluster): the paragraphs to remove, and what stays of each cluster.
 
@@ -172,25 +233,17 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     with small_batches(docs.sparkSession):
         table = materialize(_cut(base, base.schema["doc_id"].dataType.simpleString()), "paragraphs", "zstd")
     first = table.where("bands is not null")
-    links = body = None
-    for together in range(1, BANDS + 1):
-        bands = [F.xxhash64(F.lit(together), *[F.element_at("bands", k + 1) for k in c]) for c in combinations(range(BANDS), together)]
-        asking = first if body is None else first.select("key", "bands").join(small(again, KEYS), "key", "left_semi")
-        pairs = materialize(bucket_pairs(asking.select(F.explode(F.array(*bands)).alias("band"), "key"), parts), "bucket_pairs")
-        asked = pairs.select("a", "b").distinct()
-        if body is None:  # later rounds ask about keys of the first one only
-            named = asked.select(F.col("a").alias("key")).union(asked.select("b")).distinct()
-            named = small(materialize(named, "named"), KEYS)
-            body = materialize(first.select("key", "body").join(named, "key", "left_semi").dropDuplicates(["key"]), "bodies", "zstd")
-        both = asked.join(body.select(F.col("key").alias("a"), F.col("body").alias("x")), "a").join(body.select(F.col("key").alias("b"), F.col("body").alias("y")), "b")
-        said = materialize(both.mapInPandas(verify, "a long, b long, near boolean"), "verified")
-        near = said.where("near").select("a", "b")
-        links = near if links is None else links.union(near)
-        judged = pairs.join(said, ["a", "b"]).groupBy("band", F.col("b").alias("key")).agg(F.max("near").alias("near")).where("not near")
-        again = materialize(judged.select("key").distinct(), "refused")
-        drop(pairs)
-        if again.isEmpty():
-            break
+    pairs = materialize(bucket_pairs(first.select(F.explode(F.array(*[F.xxhash64(F.lit(k), F.element_at("bands", k + 1)) for k in range(BANDS)])).alias("band"), "key"), parts), "bucket_pairs")
+    asked = pairs.select("a", "b").distinct()
+    named = small(materialize(asked.select(F.col("a").alias("key")).union(asked.select("b")).distinct(), "named"), KEYS)
+    body = materialize(first.select("key", "body").join(named, "key", "left_semi").dropDuplicates(["key"]), "bodies", "zstd")
+    both = asked.join(body.select(F.col("key").alias("a"), F.col("body").alias("x")), "a").join(body.select(F.col("key").alias("b"), F.col("body").alias("y")), "b")
+    said = materialize(both.mapInPandas(verify, "a long, b long, near boolean"), "verified")
+    full = materialize(pairs.groupBy("band").agg(F.count("*").alias("n")).where("n > 3").select("band"), "full")  # four members have five pairs
+    crowd = pairs.join(small(full, KEYS), "band", "left_semi").select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    crowd = small(materialize(crowd, "crowded"), KEYS)
+    links = said.where("near").select("a", "b").union(crowded_links(body.join(crowd, "key", "left_semi"), parts))
+    drop(pairs)
     comp = connected_components(links, "a", "b").withColumnRenamed("node", "key")
     counts = table.groupBy("key").agg(F.count("*").alias("rows"))
     many = counts.join(comp, "key", "left").where("component is not null or rows > 1").select("key", F.coalesce("component", "key").alias("cluster"))

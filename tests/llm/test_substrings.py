@@ -132,3 +132,34 @@ def test_copies_of_short_texts_are_found(spark):
     got = covered(P.repeated_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert set(got) == {100 + i for i in range(len(texts))}
     assert all(len(got[100 + i]) >= n - 2 * (P.SHINGLE - 1) for i, n in enumerate(range(1, 34)))
+
+
+def test_crowded_buckets_lose_no_link(spark, monkeypatch):
+    """Texts around one phrase whose shingles are least in most bands, each with one near copy."""
+    r = random.Random(8)
+    word = lambda: f"w{r.randrange(10**6)}"
+    shingles = lambda ws: P.gram_hashes(P.word_hashes([w.encode() for w in ws]), P.SHINGLE)
+    phrase = min(([word() for _ in range(6)] for _ in range(3000)), key=lambda ws: max(int(P.mixed(shingles(ws), 100 + b).min()) for b in range(P.BANDS)))
+    monkeypatch.setattr(P, "BLOCK", 16)
+    rows = [(i, " ".join([*phrase, word(), word()])) for i in range(200)]
+    rows += [(1000 + i, f"{t} {word()}") for i, t in rows]
+    got = {x["doc_id"]: x["kept_doc_id"] for x in P.repeated_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1000 + i: i for i in range(200)}
+
+
+def test_crowded_links_connect_what_all_pairs_connect(spark, monkeypatch):
+    """A large group of near copies: chains of paragraphs, and a shingle that all of them share."""
+    monkeypatch.setattr(P, "BLOCK", 8)
+    r = random.Random(3)
+    base = [f"b{i}" for i in range(24)]
+    texts = sorted({" ".join([*(f"x{r.randrange(4)}" for _ in range(r.randrange(3))), *base[r.randrange(4) : 24 - r.randrange(4)], *(f"y{r.randrange(4)}" for _ in range(r.randrange(3)))]) for _ in range(150)})
+    links = {(x["a"], x["b"]) for x in P.crowded_links(spark.createDataFrame(list(enumerate(texts)), "key long, body string"), 3).collect()}
+    near = {(i, j) for j in range(len(texts)) for i in range(j) if P.jaccard(texts[i], texts[j]) >= P.LEAST}
+
+    def components(pairs):
+        comp = list(range(len(texts)))
+        for i, j in pairs:
+            comp = [comp[i] if c == comp[j] else c for c in comp]
+        return [min(k for k in range(len(texts)) if comp[k] == c) for c in comp]
+
+    assert links <= near and components(links) == components(near)
