@@ -54,14 +54,15 @@ def _classes(rows: DataFrame) -> DataFrame:
 
 
 def _axes(classes: DataFrame) -> dict[int, np.ndarray]:
-    """Principal axes for each number of dimensions, of at most AXES_SAMPLE vectors in all."""
+    """Axes for each number of dimensions: principal ones of at most AXES_SAMPLE vectors in all, plain coordinates where the sample holds none."""
     n = classes.count()
     part = classes.where(F.pmod(F.xxhash64("point"), F.lit(1 << 20)) <= int(min(1.0, AXES_SAMPLE / max(n, 1)) * (1 << 20))).select("vec").limit(AXES_SAMPLE)
     by: dict[int, list] = {}
     for v in part.toPandas()["vec"]:
         x = np.frombuffer(v, dtype="<f8")
         by.setdefault(len(x), []).append(x / np.linalg.norm(x))
-    out = {}
+    dims = [r["d"] for r in classes.select((F.length("vec") / 8).cast("int").alias("d")).distinct().collect()]
+    out = {d: np.eye(d)[:, :AXES].copy() for d in dims}
     for d, xs in by.items():
         m = np.array(xs)
         _, axes = np.linalg.eigh(np.cov(m, rowvar=False, bias=True).reshape(d, d))

@@ -61,3 +61,12 @@ def test_odd_rows(spark):
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<float>, label int, grp string, n int")
     check(df)
     assert near_vectors(df.limit(0)).count() == 0
+
+
+def test_dimensions_that_the_sample_misses(spark, monkeypatch):
+    import rhapsode.llm.egojoin as E
+
+    monkeypatch.setattr(E, "AXES_SAMPLE", 0)
+    v, w = [1.0, 2.0, 3.0], [float(i % 7) for i in range(12)]
+    rows = [*clustered(40, 5), (900, v, 0), (901, [1.0, 2.0, 3.01], 0), (902, [-3.0, 2.0, 1.0], 0), (903, w, 0), (904, [*w[:11], 3.5], 0), (905, [5.0], 0), (906, [2.0], 0)]
+    check(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"))
