@@ -3,9 +3,10 @@
 Of every LONG words in a row, each holds LONG - GRAM + 1 grams of GRAM words; the gram of the least hash is its minimiser. Passages of LONG words or
 more that occur twice thus have a minimiser in common, so only suffixes that start at minimisers are kept (about one in 22 words), and of
 those only the ones whose gram occurs twice. Suffixes are sorted by their words in one range-partitioned sort; each is compared with its
-neighbours before it, and the match is extended to the right and, by the words in front, to the left; grams that many suffixes share are sorted and
-compared once more by the words in front. Where both together reach LONG words, the later of the
-two is a copy. Copies that overlap form the runs. Suffixes at the edges of the sort's partitions are compared with each other in the end.
+neighbours before it, and the match is extended to the right and, by the words in front, to the left. Where both together reach LONG words, the later
+of the two is a copy. Suffixes at the edges of the sort's partitions are compared with each other in the end. Of grams that more suffixes share
+than are compared, each run of LONG words whose minimiser they are is hashed instead, and all places of a hash but the first are copies. Copies
+that overlap form the runs.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import drop, materialize, small_batches
-from .wordseq import gram_hashes, minimizers, word_hashes
+from .wordseq import gram_hashes, minimizers, sliding_min, word_hashes
 
 LONG, GRAM = 50, 8
 #: Words kept in front of a minimiser: a passage of LONG words starts no further from its first one.
@@ -51,25 +52,51 @@ def _select(docs: DataFrame, kind: str) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {kind}, text_key long, at array<int>, grams array<long>")
 
 
+def windows(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each LONG words in a row, and the position of their minimiser."""
+    g = gram_hashes(h, GRAM)
+    low = np.uint64((1 << 24) - 1)
+    m = sliding_min((g & ~low) | np.arange(len(g), dtype=np.uint64), LONG - GRAM + 1)
+    return gram_hashes(h, LONG).view(np.int64), (m & low).astype(np.int64)
+
+
+def _crowded(rows: DataFrame, kind: str) -> DataFrame:
+    """(doc_id, text_key, at, run): the place and hash of each LONG words in a row whose minimiser is at one of the places."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 64):
+                b = batch.slice(lo, 64)
+                which, ats, runs = [], [], []
+                for i, (text, places) in enumerate(zip(b.column(2), b.column(3).to_pylist(), strict=True)):
+                    w, owner = windows(word_hashes(text.as_py().encode().lower().split()))
+                    p = np.nonzero(np.isin(owner, places))[0]
+                    which.append(np.full(len(p), i)), ats.append(p.astype(np.int32)), runs.append(w[p])
+                if which:
+                    at = pa.array(np.concatenate(which))
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(np.concatenate(ats)), pa.array(np.concatenate(runs))], names=["doc_id", "text_key", "at", "run"])
+
+    return rows.mapInArrow(run, f"doc_id {kind}, text_key long, at int, run long")
+
+
 def _contexts(rows: DataFrame, kind: str) -> DataFrame:
-    """(doc_id, text_key, at, crowded, ahead, front): the LONG words from each position and, backwards, the FRONT words before it, as hashes."""
+    """(doc_id, text_key, at, ahead, front): the LONG words from each position and, backwards, the FRONT words before it, as hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 b = batch.slice(lo, 64)
-                ids, keys, ats, crowded, ahead, front = [], [], [], [], [], []
+                ids, keys, ats, ahead, front = [], [], [], [], []
                 for doc_id, key, text, places in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist(), strict=True):
                     h = word_hashes(text.as_py().encode().lower().split()).astype(">u4")
                     n, fore, back = len(h), h.tobytes(), h[::-1].tobytes()
-                    for place in places:
-                        p = place["at"]
-                        ids.append(doc_id), keys.append(key), ats.append(p), crowded.append(place["crowded"])
+                    for p in places:
+                        ids.append(doc_id), keys.append(key), ats.append(p)
                         ahead.append(fore[4 * p : 4 * (p + LONG)])
                         front.append(back[4 * (n - p) : 4 * (n - p + FRONT)])
-                yield pa.RecordBatch.from_arrays([pa.array(ids, b.schema.field(0).type), pa.array(keys, pa.int64()), pa.array(ats, pa.int32()), pa.array(crowded, pa.bool_()), pa.array(ahead, pa.binary()), pa.array(front, pa.binary())], names=["doc_id", "text_key", "at", "crowded", "ahead", "front"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids, b.schema.field(0).type), pa.array(keys, pa.int64()), pa.array(ats, pa.int32()), pa.array(ahead, pa.binary()), pa.array(front, pa.binary())], names=["doc_id", "text_key", "at", "ahead", "front"])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, text_key long, at int, crowded boolean, ahead binary, front binary")
+    return rows.mapInArrow(run, f"doc_id {kind}, text_key long, at int, ahead binary, front binary")
 
 
 def _matrix(col: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -174,17 +201,21 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     each = found.select("doc_id", "text_key", F.explode(F.arrays_zip("at", "grams")).alias("m")).select("doc_id", "text_key", F.col("m.at").alias("at"), F.col("m.grams").alias("gram"))
     twice = each.groupBy("gram").agg((F.count("*") > LOOK + 1).alias("crowded"), F.count("*").alias("n")).where("n > 1").select("gram", "crowded")
     twice = materialize(twice, "grams")  # a table of its own, so that a gram with very many places can be split in the join
-    places = each.join(twice, "gram").groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("at", "crowded")).alias("places"))
+    one = lambda crowded: F.collect_set(F.when(F.col("crowded") == crowded, F.col("at")))
+    places = each.join(twice, "gram").groupBy("doc_id", "text_key").agg(one(False).alias("places"), one(True).alias("crowded"))
     places = materialize(places, "places")
     drop(found)
     d, p = base.alias("d"), places.alias("p")
-    asked = d.join(p, F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("d.text_key") == F.col("p.text_key"))).select("d.doc_id", "d.text_key", "text", "places")
+    asked = d.join(p, F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("d.text_key") == F.col("p.text_key"))).select("d.doc_id", "d.text_key", "text", "places", "crowded")
     with small_batches(docs.sparkSession):
-        suffix = materialize(_contexts(asked, kind), "suffixes")
-    copies = _neighbours(suffix.drop("crowded"), ["ahead", "front", "doc_id", "text_key", "at"], kind)
-    # where many suffixes share a gram, those that agree in front of it may lie far apart in that order: once more by the words in front
-    again = suffix.where("crowded").drop("crowded").withColumn("gram", F.substring("ahead", 1, 4 * GRAM))
-    copies = copies.union(_neighbours(again, ["gram", "front", "ahead", "doc_id", "text_key", "at"], kind)).distinct()
+        suffix = materialize(_contexts(asked.where(F.size("places") > 0).drop("crowded"), kind), "suffixes")
+        runs = materialize(_crowded(asked.where(F.size("crowded") > 0).drop("places"), kind), "runs")
+    copies = _neighbours(suffix, ["ahead", "front", "doc_id", "text_key", "at"], kind)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "at")
+    first = runs.groupBy("run").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("run", "first")
+    first = materialize(first, "first_runs")  # so that a run with very many places can be split in the join
+    later = runs.join(first, "run").where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key")) & (F.col("at") == F.col("first.at"))))
+    copies = copies.union(later.select("doc_id", "text_key", F.col("at").alias("lo"), (F.col("at") + LONG).alias("hi"), F.col("first.doc_id").alias("from_id"), F.col("first.at").alias("from_at"))).distinct()
     per = Window.partitionBy("doc_id", "text_key").orderBy("lo", "hi")
     apart = F.col("lo") > F.max("hi").over(per.rowsBetween(Window.unboundedPreceding, -1))
     runs = copies.withColumn("new", F.coalesce(apart, F.lit(True)).cast("int")).withColumn("run", F.sum("new").over(per.rowsBetween(Window.unboundedPreceding, 0)))

@@ -173,3 +173,14 @@ def test_passages_of_51_words_hold_a_whole_paragraph():
         inner = lambda n, m: {int(b) - n for b in P.paragraphs(" ".join([*(f"v{r.randrange(10**6)}" for _ in range(n)), *passage, *(f"v{r.randrange(10**6)}" for _ in range(m))]))[2]}  # noqa: E731, B023
         missed += len({b for b in inner(40, 60) & inner(70, 25) if 0 <= b < 51}) < 2
     assert missed <= 10  # 0.3 % of them; 21 % with cuts that are least among 8 words to either side
+
+
+def test_suffixes_of_a_crowded_gram_lose_no_words(spark):
+    """Templates: a common middle, with many beginnings and many ends around it; a match needs words of both sides."""
+    r = random.Random(4)
+    text = lambda n: [f"w{r.randrange(10**6)}" for _ in range(n)]
+    middle, fronts, ends = text(40), [text(5) for _ in range(100)], [text(5) for _ in range(100)]
+    pairs = [(i, j) for i in range(100) for j in range(100) if r.random() < 0.8]
+    rows = [(k, " ".join([*text(40), *fronts[i], *middle, *ends[j], *text(40)])) for k, (i, j) in enumerate(pairs + r.sample(pairs, 100))]
+    got = covered(S.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == later_copies(rows)
