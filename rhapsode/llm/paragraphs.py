@@ -2,15 +2,15 @@
 
 Passages repeat anywhere, also inside lines, so a text's paragraphs are cut where its words say so: a boundary lies before a word whose hash
 (with the word after it) is the least among REACH words to either side: in 99.7 % of random passages of 50 words, two such cuts or more. Equal passages get equal boundaries whatever surrounds them, and no
-paragraph is shorter than REACH + 1 words but for a text's first and last. Paragraphs of five-word shingles are banded by
-MinHash: BANDS bands of ROWS hashes find a pair of similarity 0.8 with a chance of 1 - (1 - 0.8^ROWS)^BANDS = 0.9984. Paragraphs that collide
-are joined, their exact Jaccard similarity is verified, and the components of verified links are clusters: the first paragraph of a
+paragraph is shorter than REACH + 1 words but for a text's first and last. A paragraph's bands are the least hashes of its s distinct five-word
+shingles, s - ceil(LEAST s) + 1 of them: two sets of similarity LEAST have one of these in common, so that no pair is missed. Paragraphs that
+collide are joined, their exact Jaccard similarity is verified, and the components of verified links are clusters: the first paragraph of a
 cluster stays, later ones are removed.
 
-A bucket of n paragraphs yields fewer than 2n pairs: each member with the bucket's least and with its predecessor in the sorted bucket; both are read
-in a stream. In a bucket of up to three members these are all pairs. The members of larger ones are joined once more, exactly: by the prefixes of
-their shingles in order of rarity, of which two paragraphs of similarity LEAST have one in common. Those that share a prefix shingle are compared
-all against all, but for members that are connected already.
+A bucket's members come with the size of their set and 56 parity bits of it, which tell nearly all strangers apart before any text is read. In
+buckets of up to CROWD members all pairs are asked so. The members of larger ones (and of the first and last bucket of a partition, which may go on in the
+next one) are joined exactly by the prefixes of their shingles in order of rarity, of which two paragraphs of similarity LEAST have one in common.
+Those that share a prefix shingle are compared all against all, but for members that are connected already.
 """
 
 from __future__ import annotations
@@ -20,135 +20,192 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import drop, materialize, small, small_batches
 from .components import connected_components
-from .wordseq import gram_hashes, mixed, sliding_min, word_hashes
+from .wordseq import gram_hashes, mixed, sliding_min, word_hashes, words_in
 
-REACH, SHINGLE, BANDS, ROWS, LEAST = 5, 5, 4, 1, 0.8
+REACH, SHINGLE, LEAST = 5, 5, 0.8
 #: A text's first and last paragraph count from so many words on: shorter ones hold no shingle. A text of one paragraph always counts.
 EDGE = SHINGLE
-#: Paragraph keys that a task remembers, so that copies within a task are banded once.
-SEEN = 200_000
+#: Members of a bucket that are all compared with each other at once.
+CROWD = 16
+#: Paragraph keys that a task remembers, so that copies within a task are banded once; bytes of text that are cut at a time.
+SEEN, BYTES = 200_000, 1 << 20
 #: Keys (with a cluster each at most) that may be broadcast, so that no text is shuffled to find theirs; more of them are joined by a shuffle.
 KEYS = 1_000_000
 #: Members of a crowded prefix shingle that are compared in one piece; more of them are dealt into blocks, and every pair of blocks is compared.
 BLOCK = 512
 
 
-def boundaries(h: np.ndarray, reach: int = REACH) -> np.ndarray:
-    """First words of the paragraphs of a text, given its word hashes."""
-    if len(h) <= 2 * reach + 1:
-        return np.zeros(1 if len(h) else 0, dtype=np.int64)
+def boundaries(h: np.ndarray, text: np.ndarray, reach: int = REACH) -> np.ndarray:
+    """First words of all paragraphs of a row of texts, given the hash and the text of each word."""
+    first = np.flatnonzero(np.diff(text, prepend=-1))
+    width = 2 * reach + 1
+    if len(h) <= width:
+        return first
     g = mixed(h[:-1] * np.uint64(3) + h[1:], 5)
-    if len(g) < 2 * reach + 1:
-        return np.zeros(1, dtype=np.int64)
-    m = sliding_min(g, 2 * reach + 1)
-    at = np.nonzero(g[reach : reach + len(m)] == m)[0] + reach
-    at = at[np.concatenate([[True], np.diff(at) > reach])] if len(at) else at  # ties, in texts of one repeated word
-    return np.concatenate([[0], at[at > 0]])
-
-
-def paragraphs(text: str | None) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Lower-cased words, their hashes and the paragraphs' first words."""
-    words = (text or "").encode().lower().split()
-    h = word_hashes(words)
-    return words, h, boundaries(h)
-
-
-def bands_of_all(grams: np.ndarray, starts: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """A row of band hashes for each paragraph; starts: where each one's grams begin."""
-    out = np.empty((len(starts), bands), dtype=np.uint64)
-    for b in range(bands):
-        v = np.full(len(starts), b + 1, dtype=np.uint64)
-        for r in range(rows):
-            v = mixed(v + np.minimum.reduceat(mixed(grams, 100 + b * rows + r), starts), b)
-        out[:, b] = v
-    return out.view(np.int64)
+    centre = g[reach : len(g) - reach]
+    at = np.flatnonzero((centre == sliding_min(g, width)) & (text[: len(centre)] == text[width:])) + reach
+    near = (np.diff(at, prepend=-width) <= reach) & (text[at] == text[np.concatenate([at[:1], at[:-1]])])
+    return np.union1d(first, at[~near])  # near: ties, in texts of one repeated word
+
+
+def wanted(s: np.ndarray) -> np.ndarray:
+    """How many of the least hashes of s shingles two sets of similarity LEAST surely have one of in common."""
+    return s - np.ceil(s * LEAST - 1e-9).astype(np.int64) + 1
+
+
+def bands_of(h: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bands of all paragraphs, number of bands of each, size and parity of each one's set of shingles)."""
+    counts = np.maximum(1, sizes - (SHINGLE - 1))
+    at = np.concatenate([[0], np.cumsum(counts)])
+    owner = np.repeat(np.arange(len(first)), counts)
+    place = np.arange(at[-1]) - at[:-1][owner] + first[owner]
+    flat = gram_hashes(h, SHINGLE)[np.minimum(place, max(0, len(h) - SHINGLE))]
+    for n in range(1, SHINGLE):
+        few = sizes[owner] == n
+        if few.any():
+            flat[few] = gram_hashes(h, n)[place[few]]
+    flat = mixed(flat, 7)
+    order = np.lexsort((flat, owner))
+    flat, owner = flat[order], owner[order]
+    new = np.ones(len(flat), dtype=bool)
+    new[1:] = (flat[1:] != flat[:-1]) | (owner[1:] != owner[:-1])
+    flat, owner = flat[new], owner[new]
+    s = np.bincount(owner, minlength=len(first))
+    begin = np.cumsum(s) - s
+    k = wanted(s)
+    bits = np.uint64(1) << ((mixed(flat, 3) >> np.uint64(32)) % np.uint64(56))
+    parity = np.bitwise_xor.reduceat(bits, begin) if len(begin) else np.zeros(0, dtype=np.uint64)
+    shape = (parity << np.uint64(8)) | np.minimum(s, 255).astype(np.uint64)
+    return flat[np.arange(len(flat)) - begin[owner] < k[owner]], k, shape
+
+
+def cut(texts: list[str | None], seen: set[int]) -> tuple[dict[str, np.ndarray], bytes]:
+    """Paragraphs of all texts, in arrays, and the text that their bytes are counted in; bands only of those whose key isn't seen yet."""
+    parts = [(t or "").encode().lower() for t in texts]
+    raw = b"\n".join(parts)
+    offsets = np.cumsum([0, *(len(p) + 1 for p in parts[:-1])])
+    begin, end, h = words_in(raw)
+    text = np.searchsorted(offsets, begin, side="right") - 1
+    first = boundaries(h, text)
+    last = np.append(first, len(h))[1:]
+    sizes, of = last - first, text[first]
+    alone = (np.bincount(of, minlength=len(texts)) == 1)[of] if len(of) else np.zeros(0, dtype=bool)
+    kept = alone | (sizes >= EDGE)
+    place = np.arange(len(h)) - np.repeat(first, sizes)
+    key = np.add.reduceat(mixed(h ^ mixed(place.astype(np.uint64), 9), 11), first).view(np.int64) if len(first) else np.zeros(0, dtype=np.int64)
+    opening = np.flatnonzero(np.diff(text, prepend=-1))
+    origin = np.zeros(len(texts), dtype=np.int64)
+    origin[text[opening]] = opening
+    new = np.zeros(len(key), dtype=bool)
+    for i in np.flatnonzero(kept).tolist():
+        x = int(key[i])
+        if x not in seen:
+            seen.add(x)
+            new[i] = True
+    bands, k, shape = bands_of(h, first[new], sizes[new])
+    n_bands, shapes = np.zeros(len(key), dtype=np.int64), np.zeros(len(key), dtype=np.uint64)
+    n_bands[new], shapes[new] = k, shape
+    out = {"text": of, "word_from": first - origin[of], "n_words": sizes, "key": key, "n_bands": n_bands, "shape": shapes.view(np.int64), "new": new, "from": begin[first], "to": end[last - 1]}
+    return {c: x[kept] for c, x in out.items()} | {"bands": bands.view(np.int64)}, raw
 
 
 def _cut(docs: DataFrame, kind: str) -> DataFrame:
-    """(doc_id, word_from, n_words, key, bands, body): paragraphs; bands and body only where a task first meets the key."""
+    """(doc_id, word_from, n_words, key, shape, bands, body): paragraphs; shape, bands and body only where a task first meets the key."""
+
+    def groups(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        lo, held = 0, 0
+        for i, n in enumerate(pc.binary_length(batch.column(1)).fill_null(0).to_pylist()):
+            if i > lo and held + n > BYTES:
+                yield batch.slice(lo, i - lo)
+                lo, held = i, 0
+            held += n
+        if lo < batch.num_rows:
+            yield batch.slice(lo)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            for lo in range(0, batch.num_rows, 64):
-                part = batch.slice(lo, 64)
-                ids, begins, sizes, keys, bands, bodies = [], [], [], [], [], []
-                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1), strict=True):
-                    words, h, first = paragraphs(text.as_py())
-                    if not len(first):
-                        continue
-                    ends = np.append(first[1:], len(words))
-                    grams = gram_hashes(h, SHINGLE)
-                    counts = np.maximum(1, ends - first - (SHINGLE - 1))
-                    short = ends - first < SHINGLE  # only whole texts can be that short, or the first and last paragraph
-                    pick = [gram_hashes(h[a:b], SHINGLE) if s else grams[a : a + c] for a, b, c, s in zip(first, ends, counts, short, strict=True)]
-                    flat, at = np.concatenate(pick), np.concatenate([[0], np.cumsum([len(p) for p in pick])[:-1]]).astype(np.int64)
-                    band = bands_of_all(flat, at)
-                    place = mixed(np.arange(len(flat), dtype=np.uint64) - np.repeat(at, [len(p) for p in pick]).astype(np.uint64), 9)
-                    key = np.add.reduceat(mixed(flat ^ place, 11), at).view(np.int64)
-                    for k in range(len(first)):
-                        if len(first) > 1 and ends[k] - first[k] < EDGE:
-                            continue
-                        ids.append(doc_id)
-                        begins.append(int(first[k]))
-                        sizes.append(int(ends[k] - first[k]))
-                        keys.append(int(key[k]))
-                        if keys[-1] in seen:
-                            bands.append(None), bodies.append(None)
-                        else:
-                            seen.add(keys[-1])
-                            bands.append(band[k].tolist())
-                            bodies.append(b" ".join(words[first[k] : ends[k]]).decode())
-                    if len(seen) > SEEN:
-                        seen.clear()
-                yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field(0).type), pa.array(begins, pa.int32()), pa.array(sizes, pa.int32()), pa.array(keys, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(bodies, pa.string())], names=["doc_id", "word_from", "n_words", "key", "bands", "body"])
-
-    return docs.mapInArrow(run, f"doc_id {kind}, word_from int, n_words int, key long, bands array<long>, body string")
+            for part in groups(batch):
+                p, raw = cut(part.column(1).to_pylist(), seen)
+                if len(seen) > SEEN:
+                    seen.clear()
+                at = np.flatnonzero(p["new"])
+                # new bodies lie in the text one after the other; their gaps are skipped by taking every other piece
+                spots = np.stack([p["from"][at], p["to"][at]], axis=1).ravel().astype(np.int32)
+                pieces = pa.StringArray.from_buffers(max(0, len(spots) - 1), pa.py_buffer(spots.tobytes()), pa.py_buffer(raw)) if len(spots) else pa.array([], pa.string())
+                slot = np.zeros(len(p["new"]), dtype=np.int64)
+                slot[at] = 2 * np.arange(len(at))
+                body = pieces.take(pa.array(slot, mask=~p["new"]))
+                bands = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(p["n_bands"])]).astype(np.int32)), pa.array(p["bands"]))
+                cols = [part.column(0).take(pa.array(p["text"])), pa.array(p["word_from"].astype(np.int32)), pa.array(p["n_words"].astype(np.int32)), pa.array(p["key"]), pa.array(p["shape"], mask=~p["new"]), bands, body]
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "word_from", "n_words", "key", "shape", "bands", "body"])
+
+    return docs.mapInArrow(run, f"doc_id {kind}, word_from int, n_words int, key long, shape long, bands array<long>, body string")
+
+
+def like(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether sets of these shapes may have a similarity of LEAST: by their sizes, and by how many parities differ."""
+    s, t = ((v & np.uint64(255)).astype(np.int64) for v in (x, y))
+    differ = np.bitwise_count((x ^ y) >> np.uint64(8))
+    full = (s == 255) | (t == 255)
+    return full | ((np.minimum(s, t) >= LEAST * np.maximum(s, t) - 1e-9) & (differ <= (s + t) * (1 - LEAST) / (1 + LEAST) + 1e-9))
 
 
 def bucket_pairs(members: DataFrame, parts: int) -> DataFrame:
-    """(band, a, b): in each band bucket, each key with the least and with the one before it. members: (band, key), repeats allowed."""
+    """(a, b): keys that share a bucket and may be near; b is null where a lies in a crowded bucket. members: (band, key, shape), repeats allowed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        band = least = last = None
+        band = key = shape = None  # the bucket that is open
+        first, over = True, None
         for batch in batches:
-            x, y = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
-            fresh = np.ones(len(x), dtype=bool)
-            fresh[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
-            if band is not None and len(x):
-                fresh[0] = x[0] != band or y[0] != last
-            new = np.ones(len(x), dtype=bool)
-            new[1:] = x[1:] != x[:-1]
-            if band is not None and len(x):
-                new[0] = x[0] != band
-            a, b, c = [], [], []
-            lone = fresh & ~new
-            heads = np.maximum.accumulate(np.where(new, np.arange(len(x)), -1))
-            for i in np.nonzero(lone)[0].tolist():
-                head = int(y[heads[i]]) if heads[i] >= 0 else least
-                before = int(y[i - 1]) if i else last
-                c += [int(x[i])]
-                a += [head]
-                b += [int(y[i])]
-                if before != head:
-                    c += [int(x[i])]
-                    a += [before]
-                    b += [int(y[i])]
-            if len(x):
-                band, last = int(x[-1]), int(y[-1])
-                least = int(y[heads[-1]]) if heads[-1] >= 0 else least
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["band", "a", "b"])
-
-    return members.repartition(parts, "band").sortWithinPartitions("band", "key").mapInArrow(run, "band long, a long, b long")
-
-
-def grams(text: str) -> set[tuple[str, ...]]:
-    words = text.split(" ")
+            x, y, z = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            if band is not None:
+                x, y, z = np.concatenate([band, x]), np.concatenate([key, y]), np.concatenate([shape, z])
+            again = np.zeros(len(x), dtype=bool)
+            again[1:] = (x[1:] == x[:-1]) & (y[1:] == y[:-1])
+            x, y, z = x[~again], y[~again], z[~again]
+            if not len(x):
+                continue
+            begin = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
+            n = np.diff(begin, append=len(x))
+            crowded = n > CROWD
+            crowded[0] |= first or (over is not None and x[0] == over)
+            open_ = begin[-1]
+            if n[-1] > CROWD or crowded[-1] and len(n) == 1:  # no need to hold what is crowded anyway
+                over, done = x[-1], len(x)
+                band, key, shape = x[-1:], y[-1:], z[-1:]
+            else:
+                done = open_
+                band, key, shape = x[open_:], y[open_:], z[open_:]
+            first &= len(n) == 1
+            full = np.repeat(crowded, n)[:done]
+            a, b = [], []
+            x, y, z = x[:done], y[:done], z[:done].view(np.uint64)
+            i = np.flatnonzero(~full)
+            x, many, y, z = x[i], y[:done][full], y[i], z[i]
+            for k in range(1, min(CROWD, len(x))):
+                j = np.flatnonzero(x[k:] == x[:-k])
+                if not len(j):
+                    break
+                j = j[like(z[j], z[j + k])]
+                a.append(y[j]), b.append(y[j + k])
+            some = np.concatenate([*a, many]) if len(a) or len(many) else np.zeros(0, dtype=np.int64)
+            other = np.concatenate([*b, np.zeros(len(many), dtype=np.int64)]) if len(some) else some
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(other, pa.int64(), mask=np.arange(len(other)) >= len(other) - len(many))], names=["a", "b"])
+        if band is not None:  # the last bucket may go on in the next partition
+            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.nulls(len(key), pa.int64())], names=["a", "b"])
+
+    return members.repartitionByRange(parts, "band", "key").sortWithinPartitions("band", "key").mapInArrow(run, "a long, b long")
+
+
+def grams(text: str) -> set[tuple[bytes, ...]]:
+    words = text.encode().split()  # at ASCII white space
     return set(zip(*[words[k:] for k in range(min(SHINGLE, len(words)))], strict=False))
 
 
@@ -186,7 +243,7 @@ def crowded_links(bodies: DataFrame, parts: int) -> DataFrame:
 
     def shingles(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            yield pd.DataFrame({"key": f["key"], "grams": [np.unique(gram_hashes(word_hashes(x.encode().split(b" ")), SHINGLE)).view(np.int64) for x in f["body"]]})
+            yield pd.DataFrame({"key": f["key"], "grams": [np.unique(gram_hashes(word_hashes(x.encode().split()), SHINGLE)).view(np.int64) for x in f["body"]]})
 
     table = materialize(bodies.mapInPandas(shingles, "key long, grams array<long>"), "shingles")
     each = table.select("key", F.explode("grams").alias("gram"))
@@ -232,18 +289,15 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     with small_batches(docs.sparkSession):
         table = materialize(_cut(base, base.schema["doc_id"].dataType.simpleString()), "paragraphs", "zstd")
-    first = table.where("bands is not null")
-    pairs = materialize(bucket_pairs(first.select(F.explode(F.array(*[F.xxhash64(F.lit(k), F.element_at("bands", k + 1)) for k in range(BANDS)])).alias("band"), "key"), parts), "bucket_pairs")
-    asked = pairs.select("a", "b").distinct()
-    named = small(materialize(asked.select(F.col("a").alias("key")).union(asked.select("b")).distinct(), "named"), KEYS)
+    first = table.where("shape is not null")
+    pairs = materialize(bucket_pairs(first.select(F.explode("bands").alias("band"), "key", "shape"), parts).distinct(), "bucket_pairs")
+    asked = pairs.where("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    crowd = materialize(pairs.where("b is null").select(F.col("a").alias("key")).distinct(), "crowded")
+    named = small(materialize(asked.select(F.col("a").alias("key")).union(asked.select("b")).union(crowd).distinct(), "named"), KEYS)
     body = materialize(first.select("key", "body").join(named, "key", "left_semi").dropDuplicates(["key"]), "bodies", "zstd")
     both = asked.join(body.select(F.col("key").alias("a"), F.col("body").alias("x")), "a").join(body.select(F.col("key").alias("b"), F.col("body").alias("y")), "b")
     said = materialize(both.mapInPandas(verify, "a long, b long, near boolean"), "verified")
-    full = materialize(pairs.groupBy("band").agg(F.count("*").alias("n")).where("n > 3").select("band"), "full")  # four members have five pairs
-    crowd = pairs.join(small(full, KEYS), "band", "left_semi").select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    crowd = small(materialize(crowd, "crowded"), KEYS)
-    links = said.where("near").select("a", "b").union(crowded_links(body.join(crowd, "key", "left_semi"), parts))
-    drop(pairs)
+    links = said.where("near").select("a", "b").union(crowded_links(body.join(small(crowd, KEYS), "key", "left_semi"), parts))
     comp = connected_components(links, "a", "b").withColumnRenamed("node", "key")
     counts = table.groupBy("key").agg(F.count("*").alias("rows"))
     many = counts.join(comp, "key", "left").where("component is not null or rows > 1").select("key", F.coalesce("component", "key").alias("cluster"))
