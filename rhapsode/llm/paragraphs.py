@@ -301,8 +301,9 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     comp = connected_components(links, "a", "b").withColumnRenamed("node", "key")
     counts = table.groupBy("key").agg(F.count("*").alias("rows"))
     many = counts.join(comp, "key", "left").where("component is not null or rows > 1").select("key", F.coalesce("component", "key").alias("cluster"))
-    many = materialize(many, "clustered")
-    found = table.select("doc_id", "word_from", "n_words", "key").join(small(many, KEYS), "key").select("doc_id", "word_from", "n_words", "cluster")
+    many = materialize(many, "clustered").hint("merge")  # it grows with the input, so it is never broadcast
+    found = materialize(table.select("doc_id", "word_from", "n_words", "key").join(many, "key").select("doc_id", "word_from", "n_words", "cluster"), "found")
+    drop(table, body)
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "word_from")
     kept = materialize(found.groupBy("cluster").agg(F.min(place).alias("kept")), "kept")  # so that a very large cluster can be split in the join
     out = found.join(kept, "cluster").where(~(F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("word_from") == F.col("kept.word_from"))))

@@ -90,7 +90,7 @@ def brute_clusters(rows):
     items = {}
     for d, t in rows:
         w, first = paragraphs_of(t)
-        for a, b in zip(first, [*first[1:], len(w)], strict=True):
+        for a, b in zip(first, [*first[1:], len(w)], strict=False):
             if b - a >= 5 or len(first) == 1:
                 items.setdefault((d, a), b" ".join(w[a:b]).decode())
     keys = sorted(items, key=lambda k: (k[0] is None, k))
@@ -206,7 +206,7 @@ def test_cuts_of_many_texts_at_once_equal_those_of_each():
         assert raw[x:y].split() == words(texts[t])[a : a + n]
     for i, t in enumerate(texts):
         w, first = paragraphs_of(t)
-        assert got.get(i, []) == [(a, b - a) for a, b in zip(first, [*first[1:], len(w)], strict=True) if b - a >= 5 or len(first) == 1]
+        assert got.get(i, []) == [(a, b - a) for a, b in zip(first, [*first[1:], len(w)], strict=False) if b - a >= 5 or len(first) == 1]
 
 
 def test_near_sets_share_a_band_and_pass_the_shape_test():
@@ -219,7 +219,7 @@ def test_near_sets_share_a_band_and_pass_the_shape_test():
         for t in (base, other):
             b, k, shape = P.bands_of(word_hashes([w.encode() for w in t]), np.array([0]), np.array([len(t)]))
             bands.append(set(b.tolist())), shapes.append(shape)
-        if t and P.jaccard(" ".join(base), " ".join(other)) >= P.LEAST:
+        if P.jaccard(" ".join(base), " ".join(other)) >= P.LEAST:
             near += 1
             assert bands[0] & bands[1] and P.like(*shapes)[0]
     assert near > 500
