@@ -93,19 +93,22 @@ SELECT DISTINCT doc_id, item_id, n_shingles, n_found, n_found / n_shingles AS co
 
 SQL["op2_line_dedup"] = r"""
 WITH d AS (
-  SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x, i: {'line_no': i - 1, 'x': x}), lambda s: trim(s.x) <> '') AS ls FROM documents WHERE text IS NOT NULL
+  SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x, i: {'line_no': i - 1, 'x': trim(x, chr(32) || chr(9) || chr(11) || chr(12) || chr(13))}), lambda s: s.x <> '') AS ls FROM documents WHERE text IS NOT NULL
 ), l AS (
   SELECT doc_id, unnest(ls, recursive := true), unnest(range(0, len(ls))) AS seq FROM d
+), m AS (
+  SELECT p.doc_id, p.seq, q.doc_id AS qd, q.seq AS qs FROM l p JOIN l q ON p.x = q.x AND (q.doc_id < p.doc_id OR (q.doc_id = p.doc_id AND q.seq < p.seq))
+), e AS (
+  SELECT *, seq - row_number() OVER (PARTITION BY doc_id, qd, seq - qs ORDER BY seq) AS island FROM m
+), r AS (
+  SELECT *, count(*) OVER (PARTITION BY doc_id, qd, seq - qs, island ORDER BY seq DESC) AS n FROM e
+), b AS (
+  SELECT doc_id, seq, n, qd, qs FROM r QUALIFY row_number() OVER (PARTITION BY doc_id, seq ORDER BY n DESC, qd, qs) = 1
 ), w AS (
-  SELECT *, lead(x) OVER (PARTITION BY doc_id ORDER BY seq) AS y FROM l
-), f AS (
-  SELECT *, first_value(doc_id) OVER g AS first_doc_id, first_value(line_no) OVER g AS first_line, row_number() OVER g AS k
-  FROM w WHERE y IS NOT NULL WINDOW g AS (PARTITION BY x, y ORDER BY doc_id, seq)
-), c AS (
-  SELECT *, CASE WHEN seq - lag(seq) OVER (PARTITION BY doc_id ORDER BY seq) <= 2 THEN 0 ELSE 1 END AS new FROM f WHERE k > 1
-), r AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY seq) AS run FROM c)
-SELECT doc_id, CAST(min(line_no) AS INT) AS line_from, CAST(max(seq) + 2 - min(seq) AS INT) AS n_lines, arg_min(first_doc_id, seq) AS first_doc_id, CAST(arg_min(first_line, seq) AS INT) AS first_line
-FROM r GROUP BY doc_id, run
+  SELECT * FROM b QUALIFY seq + n > coalesce(max(seq + n) OVER (PARTITION BY doc_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+)
+SELECT w.doc_id, CAST(p.line_no AS INT) AS line_from, CAST(w.n AS INT) AS n_lines, w.qd AS first_doc_id, CAST(q.line_no AS INT) AS first_line
+FROM w JOIN l p ON p.doc_id = w.doc_id AND p.seq = w.seq JOIN l q ON q.doc_id = w.qd AND q.seq = w.qs
 """
 
 SQL["op8_embedding_dedup"] = """
