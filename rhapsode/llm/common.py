@@ -19,10 +19,12 @@ _own_dirs: dict[str, str] = {}
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
+    """The shared folder ``spark.checkpoint.dir``; where that is unset, a temporary one in local mode (tests), and an error on a cluster."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dirs:
         _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="rhapsode-")

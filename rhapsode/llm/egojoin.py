@@ -3,9 +3,9 @@
 Vectors of one label are scaled to length 1, so that cosine >= c is distance <= eps = sqrt(2 - 2c). Their leading
 principal coordinates are cut into cells of width eps; sorted by cells, vectors near each other are near in the
 sequence. The sequence is cut into intervals, each with a bounding box; only intervals whose boxes lie within eps are joined
-(in a join on the first cell), and within such a pair smaller intervals are compared in the same way before any
-cosine is computed. Principal axes come from a bounded sample (AXES_SAMPLE); they decide what can be
-skipped, never what links.
+(in a join on the cells of the first KEY_AXES axes). Such a pair is joined recursively: intervals whose boxes are provably apart are skipped,
+others are halved down to PART vectors, whose cosines are computed. A task reads an interval once and its partners one
+after the other. Principal axes come from a bounded sample (AXES_SAMPLE); they decide what can be skipped, never what links.
 
 Equal vectors of a label form a class, so a vector that fills a third of the table is one point of the join. Pairs of
 intervals return, for each class, the number of vectors it links with and one link to a representative, never
@@ -24,26 +24,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop, materialize
+from .common import materialize, small_batches
 from .components import connected_components
 
-AXES, AXES_SAMPLE, INTERVAL, PART = 8, 20_000, 1024, 128
+AXES, KEY_AXES, AXES_SAMPLE, INTERVAL, PART = 8, 3, 20_000, 2048, 128
+#: Partners of an interval that one task compares with it; more of them are dealt to several.
+PARTNERS = 32
 #: Allowance for rounding when intervals are skipped.
 SLACK = 1e-9
 
 
-def _classes(rows: DataFrame) -> DataFrame:
-    """(vec_id, grp, point, vec): vec as doubles, point a digest of it; both null where the vector links with nothing."""
+def _classes(rows: DataFrame, wide: bool) -> DataFrame:
+    """(vec_id, grp, point, vec): vec as its bytes, point a digest of it; both null where the vector links with nothing."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             grp, point, vec = [], [], []
             for label, v in zip(b.column(1).to_pylist(), b.column(2), strict=True):
-                x = np.array([], dtype="<f8") if label is None or not v.is_valid else v.values.to_numpy(zero_copy_only=False).astype("<f8")
+                x = np.array([]) if label is None or not v.is_valid else v.values.to_numpy(zero_copy_only=False)
                 if v.is_valid and v.values.null_count or not len(x) or not np.isfinite(x).all() or not x.any():
                     grp.append(None), point.append(None), vec.append(None)
                     continue
-                raw = (x / np.abs(x).max() + 0.0).tobytes()  # no overflow in norms; -0.0 is 0.0
+                raw = (x + 0).astype("<f8" if wide else "<f4").tobytes()  # -0.0 is 0.0
                 grp.append(f"{label}/{len(x)}")
                 point.append(hashlib.blake2b(raw, digest_size=16).digest())
                 vec.append(raw)
@@ -53,43 +55,57 @@ def _classes(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"vec_id {kind}, grp string, point binary, vec binary")
 
 
-def _axes(classes: DataFrame) -> dict[int, np.ndarray]:
+def unit_rows(raw: bytes, n: int, wide: bool) -> np.ndarray:
+    """n vectors, one after the other, scaled to length 1 in double precision."""
+    x = np.frombuffer(raw, dtype="<f8" if wide else "<f4").reshape(n, -1).astype(np.float64)
+    x = x / np.abs(x).max(axis=1, keepdims=True)  # no overflow in norms
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+
+
+def _axes(classes: DataFrame, wide: bool) -> dict[int, np.ndarray]:
     """Axes for each number of dimensions: principal ones of at most AXES_SAMPLE vectors in all, plain coordinates where the sample holds none."""
-    n = classes.count()
+    n, width = classes.count(), 8 if wide else 4
     part = classes.where(F.pmod(F.xxhash64("point"), F.lit(1 << 20)) <= int(min(1.0, AXES_SAMPLE / max(n, 1)) * (1 << 20))).select("vec").limit(AXES_SAMPLE)
     by: dict[int, list] = {}
     for v in part.toPandas()["vec"]:
-        x = np.frombuffer(v, dtype="<f8")
-        by.setdefault(len(x), []).append(x / np.linalg.norm(x))
-    dims = [r["d"] for r in classes.select((F.length("vec") / 8).cast("int").alias("d")).distinct().collect()]
+        by.setdefault(len(v) // width, []).append(v)
+    dims = [r["d"] for r in classes.select((F.length("vec") / width).cast("int").alias("d")).distinct().collect()]
     out = {d: np.eye(d)[:, :AXES].copy() for d in dims}
-    for d, xs in by.items():
-        m = np.array(xs)
-        _, axes = np.linalg.eigh(np.cov(m, rowvar=False, bias=True).reshape(d, d))
+    for d, vs in by.items():
+        _, axes = np.linalg.eigh(np.cov(unit_rows(b"".join(vs), len(vs), wide), rowvar=False, bias=True).reshape(d, d))
         out[d] = axes[:, ::-1][:, : min(AXES, d)].copy()
     return out
 
 
-def unit_rows(vecs: list[bytes]) -> np.ndarray:
-    x = np.array([np.frombuffer(v, dtype="<f8") for v in vecs])
-    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
-
-
-def boxes_apart(lo: np.ndarray, hi: np.ndarray, lo2: np.ndarray, hi2: np.ndarray) -> np.ndarray:
-    """Squared distances between boxes, all against all."""
-    gap = np.maximum(0, np.maximum(lo2[None] - hi[:, None], lo[:, None] - hi2[None]))
-    return (gap * gap).sum(axis=2)
-
-
-def join_intervals(a: np.ndarray, pa_: np.ndarray, b: np.ndarray, pb: np.ndarray, least: float, eps2: float) -> np.ndarray:
-    """The matrix of links between two intervals, skipping parts whose boxes are provably apart."""
+def near_parts(p: np.ndarray, q: np.ndarray, eps2: float, same: bool) -> Iterator[tuple[int, int, int, int]]:
+    """Parts (begin, end of each) of two intervals that may hold links; both are halved while their boxes lie within eps. same: pairs once."""
+    stack = [(0, len(p), 0, len(q))]
+    while stack:
+        a, b, c, d = stack.pop()
+        if same and d <= a:
+            continue
+        x, y = p[a:b], q[c:d]
+        gap = np.maximum(0, np.maximum(y.min(axis=0) - x.max(axis=0), x.min(axis=0) - y.max(axis=0)))
+        if gap @ gap > eps2 + SLACK:
+            continue
+        if b - a <= PART and d - c <= PART:
+            yield a, b, c, d
+        elif b - a >= d - c:
+            m = (a + b) // 2
+            stack += [(a, m, c, d), (m, b, c, d)]
+        else:
+            m = (c + d) // 2
+            stack += [(a, b, c, m), (a, b, m, d)]
+
+
+def join_intervals(a: np.ndarray, p: np.ndarray, b: np.ndarray, q: np.ndarray, least: float, eps2: float, same: bool = False) -> np.ndarray:
+    """The matrix of links between two intervals of unit vectors a and b with their projections p and q."""
     out = np.zeros((len(a), len(b)), dtype=bool)
-    cut = lambda p: [(i, p[i : i + PART].min(axis=0), p[i : i + PART].max(axis=0)) for i in range(0, len(p), PART)]
-    xs, ys = cut(pa_), cut(pb)
-    far = boxes_apart(np.array([x[1] for x in xs]), np.array([x[2] for x in xs]), np.array([y[1] for y in ys]), np.array([y[2] for y in ys]))
-    for i, j in zip(*np.nonzero(far <= eps2 + SLACK), strict=True):
-        s, t = xs[i][0], ys[j][0]
-        out[s : s + PART, t : t + PART] = a[s : s + PART] @ b[t : t + PART].T >= least
+    for s, e, t, f in near_parts(p, q, eps2, same):
+        out[s:e, t:f] = a[s:e] @ b[t:f].T >= least
+    if same:
+        np.fill_diagonal(out, False)
+        out |= out.T
     return out
 
 
@@ -118,30 +134,33 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedd
     """
     eps = math.sqrt(2 - 2 * least)
     base = rows.select(F.col(id_col).alias("vec_id"), F.col(label_col).cast("string").alias("label"), F.col(vec_col).alias("vec"))
-    table = materialize(_classes(base), "vectors")
+    wide = base.schema["vec"].dataType.elementType.simpleString() != "float"
+    table = materialize(_classes(base, wide), "vectors")
     classes = table.where("point is not null").groupBy("grp", "point").agg(F.first("vec").alias("vec"), F.count("*").alias("n"), F.min("vec_id").alias("least_id"))
     classes = materialize(classes.withColumn("c", F.monotonically_increasing_id()), "classes")
-    axes = _axes(classes)
+    axes, width = _axes(classes, wide), 8 if wide else 4
 
     def project(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            cells = [np.floor(unit_rows([v])[0] @ axes[len(v) // 8] / eps).astype(np.int64).tolist() for v in f["vec"]]
-            yield pd.DataFrame({"grp": f["grp"], "c": f["c"], "n": f["n"], "vec": f["vec"], "cells": cells})
+            for size, g in f.groupby(f["vec"].str.len()):
+                cells = np.floor(unit_rows(b"".join(g["vec"]), len(g), wide) @ axes[size // width] / eps).astype(np.int64)
+                yield pd.DataFrame({"grp": g["grp"], "c": g["c"], "n": g["n"], "vec": g["vec"], "cells": cells.tolist()})
 
     kinds = "grp string, c long, n long, vec binary, cells array<long>"
-    sorted_ = classes.select("grp", "c", "n", "vec").mapInPandas(project, kinds)
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_ = materialize(sorted_, "cells").repartitionByRange(parts, "grp", "cells", "c").sortWithinPartitions("grp", "cells", "c")
+    projected = classes.select("grp", "c", "n", "vec").mapInPandas(project, kinds)
+    sorted_ = projected.repartitionByRange(parts, "grp", "cells", "c").sortWithinPartitions("grp", "cells", "c")
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Intervals of the sequence: at most INTERVAL points of one group each."""
         held: list[tuple] = []
 
         def interval() -> pd.DataFrame:
-            x = unit_rows([h[3] for h in held])
+            raw = b"".join(h[3] for h in held)
+            x = unit_rows(raw, len(held), wide)
             p = x @ axes[x.shape[1]]
             lo, hi = p.min(axis=0), p.max(axis=0)
-            return pd.DataFrame([{"grp": held[0][0], "first": int(math.floor(lo[0] / eps)), "last": int(math.floor(hi[0] / eps)), "lo": lo.tolist(), "hi": hi.tolist(), "ids": [h[1] for h in held], "ns": [h[2] for h in held], "x": b"".join(h[3] for h in held)}])
+            return pd.DataFrame([{"grp": held[0][0], "lo": lo.tolist(), "hi": hi.tolist(), "ids": [h[1] for h in held], "ns": [h[2] for h in held], "x": raw}])
 
         for f in frames:
             for row in f[["grp", "c", "n", "vec"]].itertuples(index=False):
@@ -152,43 +171,60 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedd
         if held:
             yield interval()
 
-    blocks = sorted_.mapInPandas(cut, "grp string, first long, last long, lo array<double>, hi array<double>, ids array<long>, ns array<long>, x binary")
+    blocks = sorted_.mapInPandas(cut, "grp string, lo array<double>, hi array<double>, ids array<long>, ns array<long>, x binary")
     blocks = materialize(blocks.withColumn("b", F.monotonically_increasing_id()), "intervals")
-    boxes = blocks.select("b", "grp", "first", "last", "lo", "hi")
-    one = boxes.select("*", F.explode(F.sequence(F.col("first") - 1, F.col("last") + 1)).alias("cell")).alias("p")
-    two = boxes.select("*", F.explode(F.sequence("first", "last")).alias("cell")).alias("q")
+    boxes = blocks.select("b", "grp", "lo", "hi")
+
+    def with_cells(side: DataFrame, more: int) -> DataFrame:
+        """A row for each cell, on the first axes, that a box comes to within so many cells of."""
+        for k in range(KEY_AXES):
+            edge = lambda c: F.coalesce(F.floor(F.try_element_at(c, F.lit(k + 1)) / eps), F.lit(0))  # noqa: E731, B023
+            side = side.withColumn(f"k{k}", F.explode(F.sequence(edge(F.col("lo")) - more, edge(F.col("hi")) + more)))
+        return side
+
+    one, two = with_cells(boxes, 1).alias("p"), with_cells(boxes, 0).alias("q")
     gap = F.zip_with(F.zip_with("p.lo", "q.hi", lambda x, y: x - y), F.zip_with("q.lo", "p.hi", lambda x, y: x - y), lambda x, y: F.greatest(x, y, F.lit(0.0)))
     near = F.aggregate(gap, F.lit(0.0), lambda s, g: s + g * g) <= eps * eps + SLACK
-    once = F.col("p.cell") == F.greatest(F.col("p.first") - 1, F.col("q.first"))
-    pairs = one.join(two, (F.col("p.grp") == F.col("q.grp")) & (F.col("p.cell") == F.col("q.cell")) & (F.col("p.b") <= F.col("q.b")) & once & near)
-    pairs = materialize(pairs.select(F.col("p.b").alias("b1"), F.col("q.b").alias("b2")), "interval_pairs")
-
-    side = lambda k: blocks.select(F.col("b").alias(f"b{k}"), F.col("ids").alias(f"ids{k}"), F.col("ns").alias(f"ns{k}"), F.col("x").alias(f"x{k}"))
-    work = pairs.join(side(1), "b1").join(side(2), "b2")
+    cell = [F.col(f"p.k{k}") == F.col(f"q.k{k}") for k in range(KEY_AXES)]
+    pairs = one.join(two, [F.col("p.grp") == F.col("q.grp"), *cell, F.col("p.b") <= F.col("q.b"), near])
+    pairs = materialize(pairs.select(F.col("p.b").alias("b1"), F.col("q.b").alias("b2")).distinct(), "interval_pairs")
+
+    # an interval comes first, with no partner's number, and then its partners; of the interval itself no second copy
+    pieces = pairs.groupBy("b1").agg(F.ceil(F.count("*") / PARTNERS).alias("pieces"))
+    dealt = materialize(pairs.join(pieces, "b1").select("b1", F.pmod(F.xxhash64("b2"), "pieces").alias("piece"), "b2"), "dealt_pairs")
+    body = blocks.select(F.col("b").alias("b2"), "ids", "ns", "x")
+    own = dealt.select("b1", "piece").distinct().join(body.withColumnRenamed("b2", "b1"), "b1").select("b1", "piece", F.lit(None).cast("long").alias("b2"), "ids", "ns", "x")
+    itself = dealt.where("b1 = b2").select("b1", "piece", "b2", F.array().cast("array<long>").alias("ids"), F.array().cast("array<long>").alias("ns"), F.lit(b"").alias("x"))
+    partners = dealt.where("b1 <> b2").join(body, "b2").select("b1", "piece", "b2", "ids", "ns", "x")
+    work = own.union(itself).union(partners).repartition(parts, "b1", "piece").sortWithinPartitions("b1", "piece", F.col("b2").asc_nulls_first())
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             for r in f.itertuples(index=False):
-                same = r.b1 == r.b2
-                ids1, ids2 = np.asarray(r.ids1), np.asarray(r.ids2)
-                a = np.frombuffer(r.x1, dtype="<f8").reshape(len(ids1), -1)
-                b = np.frombuffer(r.x2, dtype="<f8").reshape(len(ids2), -1)
-                a, b = (v / np.sqrt((v * v).sum(axis=1, keepdims=True)) for v in (a, b))
-                links = join_intervals(a, a @ axes[a.shape[1]], b, b @ axes[b.shape[1]], least, eps * eps)
+                ids, ns = np.asarray(r.ids, dtype=np.int64), np.asarray(r.ns, dtype=np.int64)
+                same = r.b2 == r.b1
+                if not same:
+                    x = unit_rows(r.x, len(ids), wide)
+                    p = x @ axes[x.shape[1]]
+                if pd.isna(r.b2):
+                    ids1, ns1, a, pa_ = ids, ns, x, p
+                    continue
                 if same:
-                    np.fill_diagonal(links, False)
-                    links |= links.T
-                if not links.any():
+                    ids, ns, x, p = ids1, ns1, a, pa_
+                links = join_intervals(a, pa_, x, p, least, eps * eps, same)
+                rows_, cols = np.flatnonzero(links.any(axis=1)), np.flatnonzero(links.any(axis=0))
+                if not len(rows_):
                     continue
-                r1, r2 = representatives(links, same)
-                every = np.concatenate([ids1, ids2])
-                n1, n2 = links @ np.asarray(r.ns2, dtype=np.int64), np.asarray(r.ns1, dtype=np.int64) @ links
-                out = [pd.DataFrame({"c": ids1[n1 > 0], "rep": every[r1[n1 > 0]], "n": n1[n1 > 0]})]
+                n1, n2 = links @ ns, ns1 @ links
+                r1, r2 = representatives(links[np.ix_(rows_, cols)], same)
+                every = np.concatenate([ids1[rows_], ids[cols]])
+                out = [pd.DataFrame({"c": ids1[rows_], "rep": every[r1], "n": n1[rows_]})]
                 if not same:
-                    out.append(pd.DataFrame({"c": ids2[n2 > 0], "rep": every[r2[n2 > 0]], "n": n2[n2 > 0]}))
+                    out.append(pd.DataFrame({"c": ids[cols], "rep": every[r2], "n": n2[cols]}))
                 yield pd.concat(out)
 
-    found = materialize(work.mapInPandas(compare, "c long, rep long, n long"), "vector_links")
+    with small_batches(rows.sparkSession, 16):
+        found = materialize(work.mapInPandas(compare, "c long, rep long, n long"), "vector_links")
     comp = connected_components(found, "c", "rep").withColumnRenamed("node", "c")
     x = classes.select("grp", "point", "c", F.col("n").alias("copies"), "least_id").join(found.groupBy("c").agg(F.sum("n").alias("linked")), "c", "left").join(comp, "c", "left")
     x = materialize(x.withColumn("component", F.coalesce("component", "c")), "vector_components")

@@ -20,7 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
-MOST, SURE, AROUND = 6, 0.9, 3
+MOST, SURE = 7, 0.9
+#: Tokens to either side of one worth asking about that a window holds: no segment that holds it reaches further.
+AROUND = MOST - 1
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -175,11 +177,13 @@ def sentences(seed: int = 11, count: int = 700) -> list[tuple[str, list[Span]]]:
         k = r.randint(0, 9)
         if k < 4:
             at, dot = r.choice((("at", "dot"), ("(at)", "(dot)"), ("[at]", "[dot]"), ("AT", "DOT")))
-            return 0, f"{name()} {at} {name()} {dot} {r.choice(('com', 'org', 'net', 'de', 'fr'))}"
+            local = f"{name()} {dot} {name()}" if r.random() < 0.2 else name()
+            ends = ("com", "org", "net", "de", "fr") if " " in local else ("com", "org", "net", "de", "fr", f"co {dot} uk", f"com {dot} br")
+            return 0, f"{local} {at} {name()} {dot} {r.choice(ends)}"
         if k < 6:
             return 2, four(number(True), r.choice((".", "/", "_")))
         a, b, c = digits(3), digits(3), digits(4)
-        return 3, r.choice((f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"00{r.choice('1346')} {a} {b} {c}"))
+        return 3, r.choice((f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"00{r.choice('1346')} {a} {b} {c}", f"00{r.choice('346')}{digits(1)} {digits(2)} {digits(6)}", f"00 {r.choice('346')}{digits(1)} {digits(2)} {digits(6)}", f"(0{digits(2)}) {digits(4)} {digits(4)}"))
 
     def other() -> str:
         k = r.randint(0, 15)
@@ -190,7 +194,7 @@ def sentences(seed: int = 11, count: int = 700) -> list[tuple[str, list[Span]]]:
     for _ in range(count):
         text, spans = "", []
         for _ in range(r.randint(1, 3)):
-            text += " ".join([name() for _ in range(r.randint(1, 4))]) + " "
+            text += " ".join([name() for _ in range(r.randint(1, 4))]) + r.choice((" ", " ", " ", " tel. ", " phone: "))
             if r.random() < 0.5:
                 kind, s = personal()
                 spans.append((kind, len(text), len(text) + len(s)))
@@ -238,35 +242,32 @@ def trained(seed: int = 11, rounds: int = 6, rate: float = 0.25, decay: float =
 
 
 def windows(text: str, base: list[Span]) -> Iterator[list[tuple[int, int]]]:
-    """Runs of tokens near a token worth asking about; tokens that a base span touches end a run."""
+    """Runs of tokens within AROUND of a token worth asking about, of any length where these meet; tokens that a base span touches end a run."""
     if not (_DIGIT.search(text) or "@" in text or re.search(r"dot|punkt|punto|point", text, re.I)):
         return
     taken = sorted((a, b) for _, a, b in base)
-    tokens, asked, i = [], [], 0
+    tokens, i, asked, run = [], 0, None, 0  # tokens of the run of free ones so far; the last asked one's place; tokens of the run before these
+
     for m in _TOKEN.finditer(text):
         a, b = m.span()
         while i < len(taken) and taken[i][1] <= a:
             i += 1
-        free = not (i < len(taken) and taken[i][0] < b)
-        w = m.group()
-        if free and (_DIGIT.search(w) or "@" in w or (w[-4:].isascii() and _SPELLED.match(w))):
-            asked.append(len(tokens))
-        tokens.append((a, b, free))
-    last = -1
-    for k, at in enumerate(asked):
-        if at <= last:
+        if i < len(taken) and taken[i][0] < b:
+            if asked is not None:
+                yield tokens[: asked + AROUND + 1 - run]
+            tokens, asked, run = [], None, 0
             continue
-        lo, hi = at, at
-        while lo > max(0, at - AROUND) and lo - 1 > last and tokens[lo - 1][2]:
-            lo -= 1
-        reach, j = at + AROUND, k
-        while hi + 1 < len(tokens) and hi < reach and tokens[hi + 1][2] and hi - lo < 60:
-            hi += 1
-            while j + 1 < len(asked) and asked[j + 1] <= hi:
-                j += 1
-                reach = asked[j] + AROUND
-        last = hi
-        yield [(a, b) for a, b, _ in tokens[lo : hi + 1]]
+        at, w = run + len(tokens), m.group()
+        if asked is not None and at > asked + 2 * AROUND:  # no window of a later token meets this one
+            yield tokens[: asked + AROUND + 1 - run]
+            tokens, asked, run = tokens[asked + AROUND + 1 - run :], None, asked + AROUND + 1
+        if _DIGIT.search(w) or "@" in w or (w[-4:].isascii() and _SPELLED.match(w)):
+            asked = at
+        elif asked is None and len(tokens) == AROUND:
+            tokens, run = tokens[1:], run + 1
+        tokens.append((a, b))
+    if asked is not None:
+        yield tokens[: asked + AROUND + 1 - run]
 
 
 def added_spans(text: str, base: list[Span], model: SemiMarkov) -> list[Span]:

@@ -79,12 +79,13 @@ SQL: dict[str, str] = {}
 SQL["op9_decontamination"] = r"""
 WITH d AS (
   SELECT DISTINCT doc_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w, text FROM documents WHERE text IS NOT NULL
-), dg AS (
-  SELECT DISTINCT doc_id, md5(text) AS k, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS g FROM d WHERE len(w) >= 5
 ), b AS (
   SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM benchmark WHERE text IS NOT NULL
+), k AS (SELECT DISTINCT least(len(w), 5) AS n FROM b WHERE len(w) > 0
+), dg AS (
+  SELECT DISTINCT doc_id, md5(text) AS k, unnest(list_transform(range(1, len(w) - k.n + 2), lambda i: array_to_string(w[i:i + k.n - 1], ' '))) AS g FROM d, k WHERE len(w) >= k.n
 ), bg AS (
-  SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS g FROM b WHERE len(w) >= 5
+  SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - least(len(w), 5) + 2), lambda i: array_to_string(w[i:i + least(len(w), 5) - 1], ' '))) AS g FROM b WHERE len(w) > 0
 ), n AS (SELECT item_id, count(*) AS n_shingles FROM bg GROUP BY item_id)
 SELECT DISTINCT doc_id, item_id, n_shingles, n_found, n_found / n_shingles AS containment FROM (
   SELECT dg.doc_id, dg.k, bg.item_id, count(*) AS n_found FROM dg JOIN bg USING (g) GROUP BY ALL

@@ -5,8 +5,8 @@ has a vantage point, and each node a threshold, the median distance of a bounded
 at most the threshold goes to the inner child, others to the outer one; by the triangle inequality a pair within
 RADIUS that this separates has an inner member less than RADIUS below the threshold, so such members are copied to
 the outer child as well. Each leaf then holds every pair at least once, and the shards (leaves) are searched for
-themselves: further vantage levels in memory, then exact comparison. Leaves return links along which their members
-connect, at most one for each member and leaf, never all pairs; components join them.
+themselves: further vantage levels in memory, then exact comparison. A dense family, which no vantage point parts, is dealt into blocks, and each pair of
+blocks is a shard. Shards return links along which their members connect, at most one for each member and shard, never all pairs; components join them.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ from .common import fresh, materialize, small
 from .components import connected_components
 
 RADIUS, SHINGLE = 2, 3
-#: Fingerprints that a shard is meant to hold; sample from which the thresholds are taken; size below which all are compared.
-SHARD, SAMPLE, BRUTE = 2048, 65536, 256
+#: Fingerprints that a shard is meant to hold; how many more make it dense; sample from which the thresholds are taken; size below which all are compared.
+SHARD, DENSE, SAMPLE, BRUTE = 2048, 8, 65536, 256
 
 
 def fingerprint(text: str | None, n: int = SHINGLE) -> int:
@@ -82,11 +82,12 @@ def fit_thresholds(sample: np.ndarray, levels: int) -> list[np.ndarray]:
     return out
 
 
-def step(points: np.ndarray, nodes: np.ndarray, rows: np.ndarray, p: np.uint64, cut: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """One level down: inner points, outer points, and copies of inner points near the boundary in the outer child."""
+def step(points: np.ndarray, nodes: np.ndarray, rows: np.ndarray, p: np.uint64, cut: np.ndarray | int, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One level down: inner points, outer points, and copies of inner points near the boundary in the outer child. cut: one threshold, or one for each node."""
     d = np.bitwise_count(points ^ p).astype(np.int64)
-    inner = d <= cut[nodes]
-    near = inner & (d + radius > cut[nodes])
+    limit = cut if isinstance(cut, int) else cut[nodes]
+    inner = d <= limit
+    near = inner & (d + radius > limit)
     return np.concatenate([points, points[near]]), np.concatenate([2 * nodes + ~inner, 2 * nodes[near] + 1]), np.concatenate([rows, rows[near]])
 
 
@@ -114,10 +115,15 @@ def links_within(fps: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.
             if level + 1 < len(points) and len(rows) > 8 * BRUTE:  # a poor vantage point here; the next may do
                 stack.append((rows, level + 1))
                 continue
-        x = fps[rows]
-        for i in range(0, len(x), 512):
-            a, b = np.nonzero(np.bitwise_count(x[i : i + 512, None] ^ x[None, i:]) <= radius)
-            for s, t in zip(rows[i + a[a < b]].tolist(), rows[i + b[a < b]].tolist(), strict=True):
+        x, own = fps[rows], np.arange(len(rows))
+        for i in range(0, len(x), 512):  # the least row that each row of these reaches through them; one link for each row that lies in a pair
+            near = np.bitwise_count(x[i : i + 512, None] ^ x[None, :]) <= radius
+            least, before = own.copy(), None
+            while before is None or (least != before).any():
+                before = least
+                low = np.where(near, least, len(x)).min(axis=1)
+                least = np.minimum(least, np.where(near, low[:, None], len(x)).min(axis=0))
+            for s, t in zip(rows[least != own].tolist(), rows[least[least != own]].tolist(), strict=True):
                 s, t = root(s), root(t)
                 if s != t:
                     parent[max(s, t)] = min(s, t)
@@ -146,7 +152,7 @@ def near_fingerprints(fps: DataFrame, col: str, radius: int = RADIUS) -> DataFra
             x = f[col].to_numpy(dtype="<i8").view("<u8")
             nodes, rows = np.zeros(len(x), dtype=np.int64), np.arange(len(x))
             for level in range(levels):
-                cut = cuts[level] if level < deep else np.full(2**level, 31 + level % 2, dtype=np.int64)
+                cut = cuts[level] if level < deep else 31 + level % 2
                 x, nodes, rows = step(x, nodes, rows, points[level], cut, radius)
             yield pd.DataFrame({"shard": nodes, "fp": x.view("<i8")})
 
@@ -155,8 +161,13 @@ def near_fingerprints(fps: DataFrame, col: str, radius: int = RADIUS) -> DataFra
         a, b = links_within(x.view("<u8"), radius)
         return pd.DataFrame({"a": x[a], "b": x[b]})
 
-    dealt = fps.select(col).mapInPandas(deal, "shard long, fp long")
-    return dealt.groupBy("shard").applyInPandas(search, "a long, b long")
+    dealt = materialize(fps.select(col).mapInPandas(deal, "shard long, fp long"), "shards")
+    dense = dealt.groupBy("shard").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("blocks")).where(F.col("blocks") > DENSE)
+    dealt = dealt.join(small(materialize(dense, "dense_shards")), "shard", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    block = F.pmod(F.xxhash64("fp", F.lit(3)), "blocks").cast("int")
+    dealt = dealt.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    unit = ["shard", F.least("block", "other"), F.greatest("block", "other")]
+    return dealt.groupBy(*unit).applyInPandas(search, "a long, b long")
 
 
 def fingerprint_components(table: DataFrame, fp: str, doc_id: str) -> DataFrame:

@@ -62,12 +62,25 @@ def pieces(text: str) -> list[str]:
     return out
 
 
+#: What a tokenizer must do to a text before its model for pieces() to be its parts: fixed values, as tokenizers files have them.
+_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+
+
+def fits_pieces(path: str) -> bool:
+    """Whether the tokenizers file lower-cases and cuts texts so that the ids of a text are those of its pieces() in turn."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    normalizer, cutter = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
+    return normalizer.get("normalizers") == _NORMALIZER and cutter.get("pretokenizers") == [_SPLIT, _BYTES] and spec["model"].get("dropout") is None
+
+
 class WordEncoder:
     """ids of whole texts by a tokenizers file, with a bounded memory of words.
 
-    For a tokenizer that lower-cases, and whose pre-tokenizer drops white space and parts letters, single digits and other characters, the
-    ids of a text are those of its pieces() in turn; this holds for word_bpe_49k. Pieces that occur again are not encoded
-    again; new ones go to the tokenizer's model directly. by_words=False encodes the texts as they are.
+    by_words: the ids of a text are those of its pieces() in turn, which holds where fits_pieces(). Pieces that occur again are not encoded
+    again; new ones go to the tokenizer's model directly. Else the texts are encoded as they are.
     """
 
     def __init__(self, path: str, by_words: bool = True):
@@ -287,14 +300,15 @@ def _uri(spark: SparkSession, path: str) -> str:
     return f"file://{full[5:]}" if full.startswith("file:/") and not full.startswith("file:///") else full
 
 
-def write_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, path: str | None = None, shards: int | None = None, by_words: bool = True) -> DataFrame:
+def write_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, path: str | None = None, shards: int | None = None) -> DataFrame:
     """Encodes docs into shards in ascending id order (nulls first); the manifest: (shard, path, docs, ids, first, last).
 
     Null texts are empty: their documents hold the end id alone. Rows that repeat are all written, in the order of their text
     hashes, and the first is the one found by key. An empty table writes no shard. Extra columns play no part. A document must
-    fit in memory; a shard need not. The manifest is a table in the shared work folder.
+    fit in memory; a shard need not. The manifest is a table in the shared work folder. Any tokenizers file will do; words are
+    remembered where the file's rules allow it (fits_pieces).
     """
-    spark = docs.sparkSession
+    spark, by_words = docs.sparkSession, fits_pieces(tokenizer)
     folder = _uri(spark, path or new_path(spark, "tokens"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn("tie", F.xxhash64("text"))
@@ -324,10 +338,10 @@ def write_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
         return materialize(rows.mapInArrow(write, "shard int, path string, docs long, ids long, first string, last string"), "manifest")
 
 
-def read_tokens(manifest: DataFrame) -> DataFrame:
+def read_tokens(manifest: DataFrame, id_type: str = "long") -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of each document, from the files; start counts the ids of all documents before it.
 
-    Each document is found through its shard's index; of rows that repeat, the second and later ones by their place.
+    id_type: of the ids that were written, a whole number or a string. Each document is found through its shard's index; of rows that repeat, the second and later ones by their place.
     """
     from pyspark.sql import Window
 
@@ -348,9 +362,9 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
                     at = int(found[k]) if found[k] == k else k
                     rows.append((r.keys[k], int(base) + int(r.starts[at]), len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
                 for i in range(0, len(rows), 50_000):
-                    yield pd.DataFrame(rows[i : i + 50_000], columns=["doc_id", "start", "n_tokens", "ids_crc32"]).astype({"doc_id": "Int64"})
+                    yield pd.DataFrame(rows[i : i + 50_000], columns=["doc_id", "start", "n_tokens", "ids_crc32"]).astype({"doc_id": object if id_type == "string" else "Int64"})
 
-    return files.repartition(n).mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.repartition(n).mapInPandas(read, f"doc_id {id_type}, start long, n_tokens long, ids_crc32 long")
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:

@@ -22,6 +22,30 @@ def test_partial_copies_on_both_sides_of_the_limit(spark):
     got = contained_items(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()
     assert sorted((r["doc_id"], r["n_found"]) for r in got if r["item_id"] == 1) == [(1, 80), (2, 81), (3, 100)]
     assert sorted(r["doc_id"] for r in got if r["item_id"] is None) == [0, 1, 2, 3]
+    assert sorted((r["doc_id"], r["n_shingles"]) for r in got if r["item_id"] == 2) == [(0, 1), (1, 1), (2, 1), (3, 1)]
+
+
+def test_items_and_documents_of_few_words(spark):
+    items = spark.createDataFrame([(1, "one"), (2, "Two  words"), (3, "a b c d"), (4, "a b c d e"), (5, "x y")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "ONE"), (2, "two words"), (3, "two\nwords one"), (4, "z a b c d e"), (5, "d c b a"), (6, "words two"), (7, "x"), (8, None)], "doc_id long, text string")
+    got = contained_items(docs, items)
+    assert sorted((r["doc_id"], r["item_id"]) for r in got.collect()) == [(1, 1), (2, 2), (3, 1), (3, 2), (4, 3), (4, 4)]
+    same(got.toPandas(), sql(SQL["op9_decontamination"], documents=docs.toPandas(), benchmark=items.toPandas()))
+
+
+def test_classes_of_all_sizes_find_what_exact_containment_finds(spark):
+    import random
+
+    r = random.Random(5)
+    items = [(n, " ".join(f"i{n}x{k}" for k in range(n))) for n in (5, 19, 20, 21, 67, 68, 69, 259, 261, 900)]
+    docs = []
+    for n, t in items:
+        w = t.split()
+        for m in range(6):  # leading parts, on both sides of the limit
+            cut = max(1, int(n * (0.7 + 0.05 * m)))
+            docs.append((len(docs), " ".join([*(f"f{r.randrange(10**6)}" for _ in range(50)), *w[:cut], *(f"f{r.randrange(10**6)}" for _ in range(50))])))
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    same(contained_items(d, b).toPandas(), sql(SQL["op9_decontamination"], documents=d.toPandas(), benchmark=b.toPandas()))
 
 
 def test_odd_rows(spark):

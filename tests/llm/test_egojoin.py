@@ -52,6 +52,8 @@ def test_chains_and_copies_over_many_intervals(spark, monkeypatch):
 
     monkeypatch.setattr(E, "INTERVAL", 32)
     monkeypatch.setattr(E, "PART", 8)
+    monkeypatch.setattr(E, "PARTNERS", 2)
+    monkeypatch.setattr(E, "PART", 8)
     check(spark.createDataFrame(clustered(400, 3), "vec_id long, embedding array<float>, label int"))
 
 

@@ -70,3 +70,26 @@ def test_quality_weights_draw_more_often(spark):
     rows = mix_sources(docs, share=0.25, quality=w).collect()
     even = sum(r["taken"] for r in rows if r["doc_id"] % 2 == 0)
     assert 0.70 < even / sum(r["taken"] for r in rows) < 0.85
+
+
+def test_the_smallest_keys_are_taken(spark):
+    """The keys, in Spark's hash but summed and sorted here, decide on each row: all smaller keys of a source are in the mix."""
+    from pyspark.sql import functions as F
+
+    docs = documents(spark)
+    junk = docs.select((F.col("doc_id") + 10**6).alias("doc_id"), F.regexp_replace("text", " ", "_").alias("text"), "lang", "source", "n_chars")  # words of great length: the least weight
+    docs = docs.union(junk)
+    want = {}
+    rows = docs.select("doc_id", "source", "text", F.shiftrightunsigned(F.xxhash64(F.lit(1), "doc_id", "text"), 11).alias("u")).collect()
+    for r in rows:
+        n = len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or ""))
+        weight = max(0.1, math.exp(-(((len(r["text"]) / n - 6) / 4) ** 2))) if n else 0.1
+        want.setdefault(r["source"], []).append((-math.log((r["u"] + 0.5) / 2**53) / weight, r["doc_id"], n))
+    got = {r["doc_id"]: r for r in mix_sources(docs).collect()}
+    for rows in want.values():
+        one = got[rows[0][1]]
+        epochs, words = divmod(one["target"], one["source_size"])[0], 0
+        for _, d, n in sorted(rows):
+            more = 2 * (words + n) - n <= 2 * (one["target"] - epochs * one["source_size"])
+            assert got[d]["taken"] == n * (epochs + more) or n == 0
+            words += n

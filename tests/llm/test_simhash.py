@@ -98,3 +98,26 @@ def test_dealt_search_equals_brute_force(spark, monkeypatch):
 def test_components_of_null_ids_each_keep_a_row(spark):
     docs = spark.createDataFrame([(None, "a b c d e f g h i j"), (None, "a b c d e f g h i j"), (None, "q w e r t y u i o p"), (3, "one two three four")], "doc_id long, text string")
     assert sorted(r["text"] for r in one_of_each(docs).collect()) == ["a b c d e f g h i j", "one two three four", "q w e r t y u i o p"]
+
+
+def test_dense_families_are_dealt_into_blocks(spark, monkeypatch):
+    """Fingerprints that no vantage point parts: all within a few bits of one point, among strangers."""
+    import rhapsode.llm.simhash as H
+
+    monkeypatch.setattr(H, "SHARD", 32)
+    monkeypatch.setattr(H, "DENSE", 2)
+    rng = np.random.default_rng(4)
+    base = int(rng.integers(0, 2**62))
+    family = {base ^ (1 << int(a)) ^ (1 << int(b)) ^ (1 << int(c)) for a, b, c in rng.integers(0, 62, (700, 3))}
+    points = sorted(family | {int(x) for x in rng.integers(0, 2**62, 300)})
+    links = [(r["a"], r["b"]) for r in H.near_fingerprints(spark.createDataFrame([(p,) for p in points], "fp long"), "fp").collect()]
+
+    def components(pairs):
+        comp = {p: p for p in points}
+        for a, b in pairs:
+            x, y = comp[a], comp[b]
+            if x != y:
+                comp = {p: min(x, y) if c in (x, y) else c for p, c in comp.items()}
+        return comp
+
+    assert components(links) == components([(a, b) for i, a in enumerate(points) for b in points[:i] if (a ^ b).bit_count() <= 2])
