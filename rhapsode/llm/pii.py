@@ -106,6 +106,7 @@ def span_features(s: str) -> tuple[str, ...]:
     if not letters and len(digits) in (9, 10, 11, 12, 13) and len(re.findall(r"[0-9]+", s)) >= 3:
         out.append(f"phone-like={'(' in s or '-' in s or '.' in s}")
     if at and dot:
+        out.append(f"tail={words[-1].lower()[:4]}")
         out.append(f"spelled={bool(_AT.match(words[1])) if len(words) > 1 else False}/{bool(_SPELLED.match(words[-2])) if len(words) > 1 else False}")
     return tuple(out)
 
@@ -186,8 +187,8 @@ def sentences(seed: int = 11, count: int = 700) -> list[tuple[str, list[Span]]]:
         return 3, r.choice((f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"00{r.choice('1346')} {a} {b} {c}", f"00{r.choice('346')}{digits(1)} {digits(2)} {digits(6)}", f"00 {r.choice('346')}{digits(1)} {digits(2)} {digits(6)}", f"(0{digits(2)}) {digits(4)} {digits(4)}"))
 
     def other() -> str:
-        k = r.randint(0, 15)
-        plain = (digits(r.randint(1, 8)), f"{digits(1)}.{digits(1)}", f"v{digits(1)}.{digits(2)}.{digits(1)}", f"version {digits(1)}", f"20{digits(2)}-{r.randint(10, 12)}-{r.randint(10, 28)}", number(False), four(number(False), r.choice(" .-")), f"{r.randint(256, 999)}.{digits(3)}.{digits(2)}.{digits(3)}", f"password={digits(4)}ab{digits(6)}", f"AK{digits(2)}XY{digits(6)}", f"{digits(1)},{digits(3)}", f"at {name()}", f"{name()} dot {name()}", f"@{name()}", f"{digits(1)}.{digits(1)}.{digits(1)}", f'"{digits(8)}e{digits(12)}"')
+        k = r.randint(0, 16)
+        plain = (digits(r.randint(1, 8)), f"{digits(1)}.{digits(1)}", f"v{digits(1)}.{digits(2)}.{digits(1)}", f"version {digits(1)}", f"20{digits(2)}-{r.randint(10, 12)}-{r.randint(10, 28)}", number(False), four(number(False), r.choice(" .-")), f"{r.randint(256, 999)}.{digits(3)}.{digits(2)}.{digits(3)}", f"password={digits(4)}ab{digits(6)}", f"AK{digits(2)}XY{digits(6)}", f"{digits(1)},{digits(3)}", f"at {name()}", f"{name()} dot {name()}", f"@{name()}", f"{digits(1)}.{digits(1)}.{digits(1)}", f'"{digits(8)}e{digits(12)}"', f"{name()} at the dot {r.choice(('on', 'in', 'of', 'is', 'and', 'to'))}")
         return plain[k]
 
     out = []

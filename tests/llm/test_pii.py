@@ -56,7 +56,12 @@ def test_field_finds_what_patterns_miss():
     assert found("write to marlo at kaner dot com soon") == [("email", "marlo at kaner dot com")]
     assert found("call (555) 123-4567, please") == [("phone", "(555) 123-4567")]
     assert found("pay by 4111.1111.1111.1111 now") == [("card", "4111.1111.1111.1111")]
-    for clean in ("Apache License, Version 2.0. or later", "the 3 of 1999 at 10.5", "password=e3b3ed3cc8548923d6 chte", "id 4111.1111.1111.1112 here", "at the dot of"):
+    assert found("aa bb 7 write to marlo at kaner dot com soon") == [("email", "marlo at kaner dot com")]
+    assert found("mail jane at example dot co dot uk please") == [("email", "jane at example dot co dot uk")]
+    assert found("call tel. (020) 7946 0958 now") == [("phone", "(020) 7946 0958")]
+    assert found("dial 00 49 30 123456 today") == [("phone", "00 49 30 123456")]
+    assert found("phone 415-555-0132, or 415.555.0199") == [("phone", "415-555-0132"), ("phone", "415.555.0199")]
+    for clean in ("he looked at the dot on the map", "in 2024 we sold 300 of 1200 units at 12.5 percent", "order 123456 and 7890 and 55", "version 1.2.3 of 2021-10-11 at noon", "Apache License, Version 2.0. or later", "the 3 of 1999 at 10.5", "password=e3b3ed3cc8548923d6 chte", "id 4111.1111.1111.1112 here", "at the dot of"):
         assert found(clean) == []
 
 
@@ -99,3 +104,27 @@ def test_marginals_and_best_path_equal_enumeration():
 def test_masking():
     assert pii.masked("a@b.c and 1.2.3.4", "email:0:5,ip:10:17") == "[email] and [ip]"
     assert pii.masked(None, "") is None
+
+
+def test_windows_hold_all_tokens_near_one_worth_asking_about():
+    import random
+
+    def naive(text, base):
+        tokens = [m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+        free = [not any(a < y and x < b for _, x, y in base) for a, b in tokens]
+        keep = set()
+        for k, (a, b) in enumerate(tokens):
+            if free[k] and (re.search("[0-9@]", text[a:b]) or text[a:b] == "dot"):
+                for d in (-1, 1):
+                    j = k
+                    while 0 <= j < len(tokens) and abs(j - k) <= pii.MOST - 1 and free[j]:
+                        keep.add(tokens[j])
+                        j += d
+        return sorted(keep)
+
+    r = random.Random(3)
+    for _ in range(800):
+        text = " ".join(r.choice(["w"] * 6 + ["7", "dot", "a@b.co", "x"]) for _ in range(r.randint(0, 90)))
+        base = pii.base_spans(text)
+        assert [t for w in pii.windows(text, base) for t in w] == naive(text, base)
+    assert len(list(pii.windows("7 w " * 500, []))) == 1  # overlapping neighbourhoods are one window, however long
