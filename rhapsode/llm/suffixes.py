@@ -2,11 +2,10 @@
 
 Of every LONG words in a row, each holds LONG - GRAM + 1 grams of GRAM words; the gram of the least hash is its minimiser. Passages of LONG words or
 more that occur twice thus have a minimiser in common, so only suffixes that start at minimisers are kept (about one in 22 words), and of
-those only the ones whose gram occurs twice. Suffixes are sorted by their words in one range-partitioned sort; each is compared with its
-neighbours before it, and the match is extended to the right and, by the words in front, to the left. Where both together reach LONG words, the later
-of the two is a copy. Suffixes at the edges of the sort's partitions are compared with each other in the end. Of grams that more suffixes share
-than are compared, each run of LONG words whose minimiser they are is hashed instead, and all places of a hash but the first are copies. Copies
-that overlap form the runs.
+those only the ones whose gram occurs twice. The suffixes of a gram go to one partition, where all are sorted by their words; each is compared with
+its neighbours before it, as far as they share the gram, and the match is extended to the right and, by the words in front, to the left. Where both together
+reach LONG words, the later of the two is a copy. Of grams that more than LOOK + 1 suffixes share, which could fill a partition, each run of LONG
+words whose minimiser they are is hashed instead, and all places of a hash but the first are copies. Copies that overlap form the runs.
 """
 
 from __future__ import annotations
@@ -25,7 +24,7 @@ from .wordseq import gram_hashes, minimizers, sliding_min, word_hashes
 LONG, GRAM = 50, 8
 #: Words kept in front of a minimiser: a passage of LONG words starts no further from its first one.
 FRONT = LONG - GRAM
-#: Neighbours in front with which a suffix is compared.
+#: Neighbours in front with which a suffix is compared: all that share its gram, as grams of more suffixes go the other way.
 LOOK = 16
 
 
@@ -55,7 +54,7 @@ def _select(docs: DataFrame, kind: str) -> DataFrame:
 def windows(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A hash of each LONG words in a row, and the position of their minimiser."""
     g = gram_hashes(h, GRAM)
-    low = np.uint64((1 << 24) - 1)
+    low = np.uint64((1 << 32) - 1)
     m = sliding_min((g & ~low) | np.arange(len(g), dtype=np.uint64), LONG - GRAM + 1)
     return gram_hashes(h, LONG).view(np.int64), (m & low).astype(np.int64)
 
@@ -146,45 +145,23 @@ def compare(rows: pd.DataFrame, start: int) -> pd.DataFrame:
     return pd.DataFrame({"doc_id": pd.Series(pick(t), dtype=object), "text_key": order[2][t], "lo": at[t] - left[t], "hi": at[t] + right[t], "from_id": pd.Series(pick(s), dtype=object), "from_at": at[s] - left[t]})
 
 
-def _neighbours(suffix: DataFrame, order: list[str], kind: str) -> DataFrame:
-    """Copies found by sorting the suffixes and comparing neighbours; rows at the edges of the sort's partitions are compared in the end."""
-    spark = suffix.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    fields = f"edge boolean, doc_id {kind}, text_key long, at int, ahead binary, front binary, lo int, hi int, from_id {kind}, from_at int"
-    names = [x.split()[0] for x in fields.split(", ")]
-    sort = [c for c in order if c in ("ahead", "front")]
+def _neighbours(suffix: DataFrame, kind: str) -> DataFrame:
+    """Copies found by sorting the suffixes of each gram and comparing neighbours."""
+    parts = int(suffix.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, first = None, True
+        held = None
         for f in frames:
             if not len(f):
                 continue
             f = f.astype({"doc_id": object}).where(f.notna(), None)
-            if first:
-                yield f.head(LOOK).assign(edge=True, lo=None, hi=None, from_id=None, from_at=None)[names]
-                first = False
             rows, start = (f, 0) if held is None else (pd.concat([held, f], ignore_index=True), len(held))
-            yield compare(rows, start).assign(edge=False, at=None, ahead=None, front=None)[names]
+            yield compare(rows, start)
             held = rows.tail(LOOK)
-        if held is not None:
-            yield held.assign(edge=True, lo=None, hi=None, from_id=None, from_at=None)[names]
-
-    def edges(frame: pd.DataFrame) -> pd.DataFrame:
-        f = frame.astype({"doc_id": object}).where(frame.notna(), None)
-        f = f.drop_duplicates(["doc_id", "text_key", "at"])
-        f = f.assign(gram=[x[: 4 * GRAM] for x in f["ahead"]]).sort_values(["gram", *sort], kind="stable").reset_index(drop=True)
-        return compare(f, 0)
-
-    name = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
-    usual = spark.conf.get(name)
-    spark.conf.set(name, "20")  # the driver sees so many keys a partition, and a key holds the words around a suffix
-    try:
-        said = materialize(suffix.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInPandas(scan, fields), "copies")
-    finally:
-        spark.conf.set(name, usual)
-    copy = f"doc_id {kind}, text_key long, lo int, hi int, from_id {kind}, from_at int"
-    rim = said.where("edge").select("doc_id", "text_key", "at", "ahead", "front").groupBy().applyInPandas(edges, copy)  # 2 * LOOK rows a partition
-    return said.where("not edge").select("doc_id", "text_key", "lo", "hi", "from_id", "from_at").union(rim)
+
+    dealt = suffix.repartition(parts, F.xxhash64(F.substring("ahead", 1, 4 * GRAM)))
+    ordered = dealt.sortWithinPartitions("ahead", "front", "doc_id", "text_key", "at")
+    return materialize(ordered.mapInPandas(scan, f"doc_id {kind}, text_key long, lo int, hi int, from_id {kind}, from_at int"), "copies")
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -210,7 +187,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     with small_batches(docs.sparkSession):
         suffix = materialize(_contexts(asked.where(F.size("places") > 0).drop("crowded"), kind), "suffixes")
         runs = materialize(_crowded(asked.where(F.size("crowded") > 0).drop("places"), kind), "runs")
-    copies = _neighbours(suffix, ["ahead", "front", "doc_id", "text_key", "at"], kind)
+    copies = _neighbours(suffix, kind)
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "at")
     first = runs.groupBy("run").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("run", "first")
     first = materialize(first, "first_runs")  # so that a run with very many places can be split in the join

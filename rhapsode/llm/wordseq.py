@@ -90,6 +90,6 @@ def minimizers(g: np.ndarray, width: int) -> np.ndarray:
     """Positions of the least value of each run of ``width`` values, the first one where several are least."""
     if not len(g):
         return np.zeros(0, dtype=np.int64)
-    low = np.uint64((1 << 24) - 1)  # positions; a text has fewer than 2^24 words
+    low = np.uint64((1 << 32) - 1)  # positions; a text has fewer than 2^32 words
     m = sliding_min((g & ~low) | np.arange(len(g), dtype=np.uint64), min(width, len(g)))
     return np.unique(m & low).astype(np.int64)

@@ -80,3 +80,51 @@ def test_odd_rows(spark):
 def test_counts_terms_of_whole_texts():
     c = X.TermCounts(["idiot", "lowei*"])
     assert c("Idiot, idiot " + "x " * 50_000 + "loweiung") == Counter({0: 2, 1: 1}) and c(None) == Counter()
+
+
+def test_scores_equal_brute_force(spark):
+    """The whole query in plain Python: terms by chi-square, frequencies, cosines with all examples, votes."""
+    import math
+    import re
+
+    docs, labels = corpus(spark, 500)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    y = {r["doc_id"]: r["toxic"] for r in labels.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5}
+
+    def terms(text):
+        out = Counter()
+        for w in re.findall(r"[^\W\d_]+", text.lower()):
+            out.update([w, w[:5] + "*"] if len(w) > 5 else [w])
+        return out
+
+    counts = {d: terms(t) for d, t in texts.items()}
+    n, n1 = len(y), sum(y.values())
+    n0, chosen = n - n1, set()
+    for t in {t for d in y for t in counts[d]}:
+        a, b = (sum(t in counts[d] and y[d] == k for d in y) for k in (1, 0))
+        chi = n * (a * (n0 - b) - b * (n1 - a)) ** 2 / ((a + b) * n1 * n0 * (n - a - b + 1e-9))
+        if a + b >= 5 and chi >= X.LEAST_CHI2:
+            chosen.add(t)
+    idf = {t: math.log((1 + len(texts)) / (1 + sum(t in c for c in counts.values()))) + 1 for t in chosen}
+
+    def vector(c):
+        v = {t: (1 + math.log(k)) * idf[t] for t, k in c.items() if t in chosen}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / norm for t, x in v.items()}
+
+    examples = {d: vector(counts[d]) for d in y if vector(counts[d])}
+    none = [y[d] for d in y if d not in examples]
+    base = (sum(none) + 0.5) / (len(none) + 10)
+    for r in X.toxicity_scores(docs, labels).collect():
+        q = vector(counts[r["doc_id"]])
+        sims = sorted((round(sum(x * e.get(t, 0) for t, x in q.items()), 12), d) for d, e in examples.items())[::-1]
+        top = [s for s in sims if s[0] > 0]
+        edge = top[X.K - 1][0] if len(top) >= X.K else 0
+        sure = [(s, y[d]) for s, d in top if s > edge]  # of those tied at the edge, any may vote
+        tied = [y[d] for s, d in top if s == edge] if edge else []
+        room = min(X.K - len(sure), len(tied))
+        scores = set()
+        for ones in range(max(0, room - tied.count(0)), min(room, tied.count(1)) + 1):
+            votes = [*sure, *[(edge, 1)] * ones, *[(edge, 0)] * (room - ones)]
+            scores.add((sum(s * s * v for s, v in votes) + X.PSEUDO * base) / (sum(s * s for s, _ in votes) + X.PSEUDO) if q else base)
+        assert any(abs(r["score"] - s) < 1e-9 for s in scores)
