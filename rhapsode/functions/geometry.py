@@ -127,6 +127,22 @@ def fits_scale(box_area: Column, size: Column, spot_area: Column, spot_size: Col
     return F.when(spot_area <= 0, False).otherwise(near(F.sqrt(box_area / spot_area)) & F.coalesce(near(width), F.lit(True)))
 
 
+def fma32(x: Column, y: Column, z: Column) -> Column:
+    """x y + z of floats, rounded once to the nearest float (as a double).
+
+    The product of two floats is exact in double; the sum's rounding error is, too (two-sum). Rounding the sum again, to float, goes wrong only where
+    it lies half-way between two floats and the error says to which side the true value leans.
+    """
+    x, y, z = (c.cast("float").cast("double") for c in (x, y, z))
+    p = x * y
+    s = p + z
+    back = s - p
+    error = (p - (s - back)) + (z - back)
+    near = s.cast("float").cast("double")
+    other = near + 2 * (s - near)  # the float on the other side, if s is half-way
+    return F.when((s != near) & (other.cast("float").cast("double") == other) & ((s - near) * error > 0), other).otherwise(near)
+
+
 def within_ulps(a: Column, b: Column, ulps: int) -> Column:
     """Whether two values, as floats, differ by at most so many units in the last place of the larger."""
     a, b = a.cast("float").cast("double"), b.cast("float").cast("double")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 #: Patterns and value lists.
 SAFE_ID = r"^[A-Za-z0-9._-]+$"
-SEGMENT_ID = r"_segment_[0-9]+$"
+SEGMENT_ID = r"_segment_\d+$"
 TAG = r"\[[A-Z][A-Z _-]*\]"
 TRACK = r"^[A-Za-z0-9][A-Za-z0-9-]*$"
 CAPTION_SOURCES = ("human", "mt", "shard", "none")

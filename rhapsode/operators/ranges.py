@@ -11,6 +11,18 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 
+#: Distance of scaled() keys of two frames that are a window apart.
+UNIT = 1_000_000_000
+
+
+def scaled(t: Column, half: Column) -> Column:
+    """A key by which frames are within ``half`` of each other just where keys are within UNIT: so that each video can have its own window.
+
+    Exact, as t + half has the key of t plus UNIT, and a frame further on has more; a window of 0 frames holds equal frames only.
+    """
+    return F.when(half > 0, F.floor(F.lit(UNIT) * (t % half) / half) + F.lit(UNIT) * F.floor(t / half)).otherwise(t * (UNIT + 1)).cast("long")
+
+
 def near(key: str | list[str], t: str, half: int) -> WindowSpec:
     return Window.partitionBy(*([key] if isinstance(key, str) else key)).orderBy(t).rangeBetween(-half, half)
 
@@ -72,7 +84,7 @@ def best_per(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
     return rows.withColumn("n_", n).where("n_ = 1").drop("n_")
 
 
-def segments(rows: DataFrame, key: str, spot: str, t: str, gap: int) -> DataFrame:
+def segments(rows: DataFrame, key: str, spot: str, t: str, gap: int | Column) -> DataFrame:
     """rows with ``segment``: a new one where the spot changes or more than gap frames are empty; numbered by first frame within the key."""
     w = Window.partitionBy(key, spot).orderBy(t)
     new = F.coalesce(F.col(t) - F.lag(t).over(w) - 1 > gap, F.lit(True)).cast("int")

@@ -16,8 +16,20 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import area, box, box_of, fits_scale, iou
 from . import ranges
+from .joins import by_bucket
 from .stage import settled
 
+#: Frames of a bucket in which gaps meet the frames of others.
+GAP_BUCKET = 256
+
+
+#: A number of frames: the same for all videos, or each video's own.
+Frames = int | Column
+
+
+def per_video(x: Frames) -> Column:
+    return x if isinstance(x, Column) else F.lit(x)
+
 
 @dataclass(frozen=True)
 class TrackParams:
@@ -90,52 +102,51 @@ class Linker:
         return out
 
 
-def link_tracks(boxes: DataFrame, link_iou: float = 0.5, max_gap: int = 25) -> DataFrame:
-    """(video_id, frame, det, track): ids count from 0 in each video, in the order of first frames.
+def link_tracks(boxes: DataFrame, link_iou: float = 0.5, max_gap: Frames = 25, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(video_id, frame, det, track, keep): ids count from 0 in each video, in the order of first frames. keep: columns of boxes that come along.
 
     A video's boxes are read by one task, since each frame depends on the one before; videos are independent.
     """
 
     def run(f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values(["frame", "det"], kind="stable")
-        xy, linker, out = f[["x1", "y1", "x2", "y2"]].to_numpy(dtype=np.float64), Linker(link_iou, max_gap), []
+        xy, linker, out = f[["x1", "y1", "x2", "y2"]].to_numpy(dtype=np.float64), Linker(link_iou, int(f["max_gap"].iloc[0])), []
         frame = f["frame"].to_numpy()
         cuts = np.flatnonzero(np.diff(frame)) + 1
         for lo, hi in zip([0, *cuts], [*cuts, len(f)], strict=True):
             if hi > lo:
                 out += linker.frame(int(frame[lo]), xy[lo:hi])
-        return pd.DataFrame({"video_id": f["video_id"], "frame": f["frame"], "det": f["det"], "track": out})
+        return f.assign(track=np.array(out, dtype=np.int64))[["video_id", "frame", "det", "track", *keep]]
 
-    cols = boxes.select("video_id", "frame", "det", "x1", "y1", "x2", "y2")
-    return cols.groupBy("video_id").applyInPandas(run, "video_id long, frame long, det long, track long")
+    cols = ["video_id", "frame", "det", "x1", "y1", "x2", "y2"]
+    kinds = "".join(f", {c} {boxes.schema[c].dataType.simpleString()}" for c in keep)
+    read = boxes.select(*cols, *[c for c in keep if c not in cols], per_video(max_gap).alias("max_gap"))
+    return read.groupBy("video_id").applyInPandas(run, f"video_id long, frame long, det long, track long{kinds}")
 
 
-def track_summary(rows: DataFrame, least: int = 1, width: str | None = None) -> DataFrame:
-    """(video_id, track, length, x1..y2, scale): lengths, median boxes, and the median known width of tracks of at least ``least`` boxes."""
+def track_summary(rows: DataFrame, least: Frames = 1, width: str | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(video_id, track, length, x1..y2, scale): lengths, median boxes, and the median known width of tracks of at least ``least`` boxes.
+
+    carry: columns with one value for a video, which come along.
+    """
     med = [F.median(c).alias(c) for c in ("x1", "y1", "x2", "y2")]
-    scale = F.when(F.count("*") >= least, F.median(width)) if width else F.lit(None).cast("double")
-    return rows.groupBy("video_id", "track").agg(F.count("*").alias("length"), *med, scale.alias("scale"))
+    enough = F.count("*") >= (F.max(least) if isinstance(least, Column) else F.lit(least))
+    scale = F.when(enough, F.median(width)) if width else F.lit(None).cast("double")
+    return rows.groupBy("video_id", "track").agg(F.count("*").alias("length"), *med, scale.alias("scale"), *[F.max(c).alias(c) for c in carry])
 
 
-def found_spots(tracks: DataFrame, p: TrackParams, min_visit: int, anchor: int) -> DataFrame:
+def found_spots(tracks: DataFrame, p: TrackParams, min_visit: Frames, anchor: Frames) -> DataFrame:
     """(video_id, track, spot, anchor): tracks take a spot, longest first, or found one; shorter ones than min_visit have none.
 
     A video's tracks (not boxes) are read by one task.
     """
 
-    def fits(a: np.ndarray, sa: float, b: np.ndarray, sb: float) -> bool:
-        if p.fit_scale <= 0:
-            return True
-        size = lambda x: float((x[2] - x[0]) * (x[3] - x[1]))
-        if size(b) <= 0:
-            return False
-        r, w = np.sqrt(size(a) / size(b)), sa / sb if sb else np.nan
-        return 1 / p.fit_scale <= r <= p.fit_scale and (not np.isfinite(w) or 1 / p.fit_scale <= w <= p.fit_scale)
-
     def run(f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values(["length", "track"], ascending=[False, True], kind="stable")
-        f = f[f["length"] >= min_visit]
-        xy, scale, length = f[["x1", "y1", "x2", "y2"]].to_numpy(dtype=np.float64), f["scale"].to_numpy(dtype=np.float64), f["length"].to_numpy()
+        f = f[f["length"] >= f["min_visit"]]
+        xy, width, length = f[["x1", "y1", "x2", "y2"]].to_numpy(dtype=np.float64), f["scale"].to_numpy(dtype=np.float64), f["length"].to_numpy()
+        long = length >= f["anchor"].to_numpy()
+        side = np.sqrt(np.maximum(0, (xy[:, 2] - xy[:, 0]) * (xy[:, 3] - xy[:, 1])))
         spots: list[int] = []  # the row that founded each
         anchors: list[list[int]] = []
         out, held = [], []
@@ -144,31 +155,45 @@ def found_spots(tracks: DataFrame, p: TrackParams, min_visit: int, anchor: int)
             if spots:
                 over = pair_iou(xy[j : j + 1], xy[spots])[0]
                 k = int(np.argmax(over))
-                if over[k] >= p.link_iou and fits(xy[j], scale[j], xy[spots[k]], scale[spots[k]]):
-                    if length[j] >= anchor or pair_iou(xy[j : j + 1], xy[anchors[k]]).max() >= p.fit_iou:
-                        at = k
+                near = over[k] >= p.link_iou and alike(side[[j, spots[k]]], width[[j, spots[k]]], p.fit_scale)
+                if near and (long[j] or pair_iou(xy[j : j + 1], xy[anchors[k]]).max() >= p.fit_iou):
+                    at = k
             if at < 0:
                 at = len(spots)
                 spots.append(j)
                 anchors.append([j])
                 held.append(True)
             else:
-                held.append(bool(length[j] >= anchor))
+                held.append(bool(long[j]))
                 if held[-1]:
                     anchors[at].append(j)
             out.append(at)
         return pd.DataFrame({"video_id": f["video_id"], "track": f["track"], "spot": np.array(out, dtype=np.int64), "anchor": np.array(held, dtype=bool), "founder": np.array([spots[s] == j for j, s in enumerate(out)], dtype=bool)})
 
-    return tracks.groupBy("video_id").applyInPandas(run, "video_id long, track long, spot long, anchor boolean, founder boolean")
+    asked = tracks.select("video_id", "track", "length", "x1", "y1", "x2", "y2", "scale", per_video(min_visit).alias("min_visit"), per_video(anchor).alias("anchor"))
+    return asked.groupBy("video_id").applyInPandas(run, "video_id long, track long, spot long, anchor boolean, founder boolean")
+
 
+def alike(side: np.ndarray, width: np.ndarray, factor: float) -> bool:
+    """Whether two boxes' sides, and their widths where both are known, are within a factor of each other; factor 0: always; a second side of 0: never."""
+    if factor <= 0 or not side[1] > 0:
+        return factor <= 0
+    ratio = np.array([side[0] / side[1], width[0] / width[1]])
+    return not ((ratio < 1 / factor) | (ratio > factor)).any()  # an unknown ratio is neither
 
-def spot_rows(rows: DataFrame, p: TrackParams, min_visit: int, anchor: int, merge_gap: int, half: int, width: str | None = None) -> DataFrame:
+
+def placed_tracks(rows: DataFrame, p: TrackParams, min_visit: Frames, anchor: Frames, width: str | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """The tracks that have a spot: track_summary() and found_spots() of linked boxes."""
+    t = track_summary(rows, min_visit, width, carry)
+    return t.join(found_spots(t, p, min_visit, anchor), ["video_id", "track"])
+
+
+def spot_rows(rows: DataFrame, p: TrackParams, min_visit: Frames, anchor: Frames, merge_gap: Frames, half: Frames, width: str | None = None, placed: DataFrame | None = None) -> DataFrame:
     """Rows of segments: (video_id, frame, det, track, spot, segment, box columns): those of a spot's tracks that lie on it, the best one a frame.
 
-    rows: linked boxes (video_id, frame, det, track, x1..y2, and width, null where unknown).
+    rows: linked boxes (video_id, frame, det, track, x1..y2, and width, null where unknown); placed: their placed_tracks(), if known already.
     """
-    t = track_summary(rows, min_visit, width)
-    s = t.join(found_spots(t, p, min_visit, anchor), ["video_id", "track"])
+    s = placed if placed is not None else placed_tracks(rows, p, min_visit, anchor, width)
     named = {c: f"s_{c}" for c in ("x1", "y1", "x2", "y2", "scale")}
     spots = s.where("founder").select("video_id", "spot", *[F.col(c).alias(n) for c, n in named.items()])
     tracks = s.select("video_id", "track", "spot", "anchor", *[F.col(c).alias(f"t_{c}") for c in named]).join(spots, ["video_id", "spot"])
@@ -178,7 +203,8 @@ def spot_rows(rows: DataFrame, p: TrackParams, min_visit: int, anchor: int, merg
     r = r.withColumn("fit", iou(spot, own)).withColumn("on", (F.col("fit") >= p.link_iou) | (moved & (iou(mid, own) >= p.link_iou)))
     if width and (p.max_scale > 0 or p.min_scale > 0):
         ref = F.when(F.col("anchor") & F.col("t_scale").isNotNull(), F.col("t_scale")).otherwise(F.col("s_scale"))
-        w = ranges.near(["video_id", "track"], "frame", half)
+        r = r.withColumn("s_near", ranges.scaled(F.col("frame"), per_video(half)))
+        w = ranges.near(["video_id", "track"], "s_near", ranges.UNIT)
         r = r.withColumn("on", F.col("on") & ranges.narrow(F.col(width), ref, w, p.min_scale, p.max_scale or float("inf")))
     r = ranges.best_per(r.where("on"), ["video_id", "spot", "frame"], [F.desc("fit"), F.col("det")])
     return ranges.segments(r, "video_id", "spot", "frame", merge_gap).drop(*[c for c in r.columns if c.startswith(("s_", "t_"))], "on")
@@ -191,18 +217,18 @@ def main_spot(rows: DataFrame, lengths: DataFrame, share: float, prior: Column |
     return g.groupBy("video_id").agg(F.max_by("spot", F.struct("prior", "present", -F.col("spot"))).alias("main"))
 
 
-def steady_segments(rows: DataFrame, window: int, density: float, active: float = 0.0) -> DataFrame:
+def steady_segments(rows: DataFrame, window: Frames, density: float, active: float = 0.0) -> DataFrame:
     """(video_id, segment, t, cover): frames of each segment's span at which it is steady (and active) within window frames to either side.
 
-    rows: (video_id, segment, frame, active boolean).
+    rows: (video_id, segment, frame, active boolean), a row a frame. Each row stands for the empty frames up to the next one, so that one partitioning by segment does.
     """
-    key = Window.partitionBy("video_id", "segment").orderBy("t").rangeBetween(-window, window)
-    span = rows.groupBy("video_id", "segment").agg(F.min("frame").alias("lo"), F.max("frame").alias("hi"))
-    grid = span.select("*", F.explode(F.sequence("lo", "hi")).alias("t"))
-    seen = rows.select("video_id", "segment", F.col("frame").alias("t"), F.col("active").cast("int").alias("m"), F.lit(1).alias("s"))
-    g = grid.join(seen, ["video_id", "segment", "t"], "left")
-    g = g.withColumn("cover", F.coalesce(F.sum("s").over(key), F.lit(0))).withColumn("moving", F.coalesce(F.sum("m").over(key), F.lit(0)))
-    width = F.least("hi", F.col("t") + window) - F.greatest("lo", F.col("t") - window) + 1
+    whole = Window.partitionBy("video_id", "segment")
+    upto = F.coalesce(F.lead("frame").over(whole.orderBy("frame")) - 1, F.col("frame"))
+    spans = rows.select("video_id", "segment", "frame", "active", per_video(window).alias("w"), upto.alias("upto"), F.min("frame").over(whole).alias("lo"), F.max("frame").over(whole).alias("hi"))
+    g = spans.select("*", F.explode(F.sequence("frame", "upto")).alias("t")).withColumn("s", (F.col("t") == F.col("frame")).cast("int"))
+    key = whole.orderBy(ranges.scaled(F.col("t"), F.col("w"))).rangeBetween(-ranges.UNIT, ranges.UNIT)
+    g = g.withColumn("cover", F.sum("s").over(key)).withColumn("moving", F.sum(F.col("s") * F.coalesce(F.col("active"), F.lit(False)).cast("int")).over(key))
+    width = F.least("hi", F.col("t") + F.col("w")) - F.greatest("lo", F.col("t") - F.col("w")) + 1
     return g.where((F.col("cover") >= density * width) & (F.col("moving") >= active * F.col("cover"))).select("video_id", "segment", "t", "cover")
 
 
@@ -221,61 +247,80 @@ def with_main(best: DataFrame, main_spans: DataFrame) -> DataFrame:
     return best.join(own, ["video_id", "t"], "full").select("video_id", "t", F.coalesce("m", "segment").alias("segment"))
 
 
+def clock(lengths: DataFrame, p: TrackParams, rate: float) -> DataFrame:
+    """(video_id, n, and the rule's durations in frames): each video's own rate fps_num / fps_den where lengths has it, else ``rate``."""
+    own = F.col("fps_num") / F.col("fps_den") if {"fps_num", "fps_den"} <= set(lengths.columns) else F.lit(float(rate))
+    frames = lambda s: F.rint(F.lit(float(s)) * own).cast("long")
+    some = F.greatest(F.lit(1), F.floor(F.lit(p.max_visit_share) * F.col("n")))
+    times = {"c_gap": p.max_gap_s, "c_anchor": p.anchor_s, "c_merge": p.merge_gap_s, "c_track": p.min_track_s, "c_window": p.window_s, "c_fill": p.fill_min_s}
+    # the median's window is half of a duration to either side: rounded after halving
+    return lengths.select("video_id", "n", F.least(frames(p.min_visit_s), some).alias("c_visit"), F.rint(F.lit(p.scale_window_s) * own / 2).cast("long").alias("c_half"), *[frames(s).alias(c) for c, s in times.items()])
+
+
 def signer_choice(rows: DataFrame, lengths: DataFrame, p: TrackParams = TrackParams(), rate: float = 25.0, width: str | None = None, prior: Column | None = None, fill: bool = False) -> DataFrame:
-    """(video_id, t, det): the signer's row in each frame that has one; lengths: (video_id, n) frames.
+    """(video_id, t, det): the signer's row in each frame that has one; lengths: (video_id, n) frames, and fps_num, fps_den where videos have their own rates.
 
     rows: posed boxes (video_id, frame, det, x1..y2), with ``active`` if p.min_active asks for it.
     """
-    frames = lambda s: int(np.rint(s * rate))
-    linked = settled(rows.join(link_tracks(rows, p.link_iou, frames(p.max_gap_s)), ["video_id", "frame", "det"]))
-    seg = settled(spot_rows(linked, p, frames(p.min_visit_s), frames(p.anchor_s), frames(p.merge_gap_s), frames(p.scale_window_s / 2), width))
+    times = settled(clock(lengths, p, rate))
+    carry = ("c_visit", "c_anchor", "c_merge", "c_half", "c_track", "c_window", "c_fill")
+    boxes = rows.join(F.broadcast(times) if times.count() <= 200_000 else times, "video_id")
+    keep = tuple(c for c in boxes.columns if c not in ("video_id", "frame", "det", "n", "c_gap"))
+    linked = settled(link_tracks(boxes, p.link_iou, F.col("c_gap"), keep))
+    placed = settled(placed_tracks(linked, p, F.col("c_visit"), F.col("c_anchor"), width, carry))
+    seg = spot_rows(linked, p, 0, 0, F.col("c_merge"), F.col("c_half"), width, placed.drop(*carry))
     if "active" not in seg.columns:
         seg = seg.withColumn("active", F.lit(True))
+    seg = settled(seg)
     prior = prior if prior is not None else F.lit(0.0)
-    main = settled(main_spot(seg, lengths, p.main_share, prior))
-    info = seg.groupBy("video_id", "spot", "segment").agg(F.count("*").alias("presence"), F.min("frame").alias("lo"), F.max("frame").alias("hi"))
+    main = settled(main_spot(seg, lengths.select("video_id", "n"), p.main_share, prior))
+    info = seg.groupBy("video_id", "spot", "segment").agg(F.count("*").alias("presence"), F.min("frame").alias("lo"), F.max("frame").alias("hi"), F.max("c_track").alias("c_track"), F.max("c_fill").alias("c_fill"))
     keys = seg.groupBy("video_id", "spot").agg(prior.cast("double").alias("prior"))
     info = info.join(keys, ["video_id", "spot"]).join(main, "video_id", "left")
     info = settled(info)
     is_main = F.coalesce(F.col("spot") == F.col("main"), F.lit(False))
-    others = info.where(~is_main & (F.col("presence") >= frames(p.min_track_s)))
-    if p.other_iou > 0:
-        others = gated(others, seg, main, p)
-    steady = steady_segments(seg.join(others.select("video_id", "segment"), ["video_id", "segment"]), frames(p.window_s), p.min_density, p.min_active)
+    others = info.where(~is_main & (F.col("presence") >= F.col("c_track")))
+    if p.other_iou > 0 or p.other_scale > 0:
+        others = gated(others, seg, main, placed, p, width)
+    steady = steady_segments(seg.join(others.select("video_id", "segment"), ["video_id", "segment"]), F.col("c_window"), p.min_density, p.min_active)
     best = segment_per_frame(steady, others.select("video_id", "segment", "prior", "presence"))
     best = with_main(best, info.where(is_main).select("video_id", "segment", "lo", "hi"))
     if fill:
-        gaps = gap_signers(seg, info.where(is_main), frames(p.fill_min_s), p.fill_cover, p.min_active)
+        gaps = gap_signers(seg, info.where(is_main), F.col("c_fill"), p.fill_cover, p.min_active)
         filled = gaps.select("video_id", F.col("segment").alias("g"), F.explode(F.sequence("a", F.col("b") - 1)).alias("t"))
         best = best.join(filled, ["video_id", "t"], "left").select("video_id", "t", F.coalesce("g", "segment").alias("segment"))
     at = seg.select("video_id", "segment", F.col("frame").alias("t"), "det")
     return best.join(at, ["video_id", "segment", "t"]).select("video_id", "t", "segment", "det")
 
 
-def gated(others: DataFrame, seg: DataFrame, main: DataFrame, p: TrackParams) -> DataFrame:
-    """Segments whose median box overlaps the main spot's by at least other_iou and is within other_scale of its size."""
-    med = [F.median(c).alias(c) for c in ("x1", "y1", "x2", "y2")]
-    own = seg.groupBy("video_id", "segment").agg(*med)
-    spot = seg.join(main, "video_id").where("spot = main").groupBy("video_id").agg(*[F.median(c).alias(f"m_{c}") for c in ("x1", "y1", "x2", "y2")])
+def gated(others: DataFrame, seg: DataFrame, main: DataFrame, placed: DataFrame, p: TrackParams, width: str | None = None) -> DataFrame:
+    """Segments that fit one of the main spot's anchors: their median box overlaps its box by other_iou, and both sizes are within other_scale.
+
+    placed: placed_tracks(), whose anchors count; of videos without a main spot all segments pass.
+    """
+    scale = F.median(width) if width else F.lit(None).cast("double")
+    own = seg.groupBy("video_id", "segment").agg(*[F.median(c).alias(c) for c in ("x1", "y1", "x2", "y2")], scale.alias("own_scale"))
+    held = placed.where("anchor").join(main, "video_id").where("spot = main")
+    held = held.select("video_id", *[F.col(c).alias(f"m_{c}") for c in ("x1", "y1", "x2", "y2", "scale")])
     m = box(*[F.col(f"m_{c}") for c in ("x1", "y1", "x2", "y2")])
-    ok = (iou(box_of(), m) >= p.other_iou) & fits_scale(area(box_of()), F.lit(None).cast("double"), area(m), F.lit(None).cast("double"), p.other_scale)
-    passed = own.join(spot, "video_id", "left").where(F.col("m_x1").isNull() | ok).select("video_id", "segment")
+    ok = (iou(box_of(), m) >= p.other_iou) & fits_scale(area(box_of()), F.col("own_scale"), area(m), F.col("m_scale"), p.other_scale)
+    passed = own.join(held, "video_id", "left").where(F.col("m_x1").isNull() | ok).select("video_id", "segment")
     return others.join(passed, ["video_id", "segment"], "left_semi")
 
 
-def gap_signers(seg: DataFrame, mains: DataFrame, least: int, cover: float, active: float = 0.0) -> DataFrame:
+def gap_signers(seg: DataFrame, mains: DataFrame, least: Frames, cover: float, active: float = 0.0) -> DataFrame:
     """(video_id, a, b, segment): gaps of the main segments' spans, at least ``least`` frames long, and the segment that fills each.
 
     The filler must be present in enough of the gap and active enough; the most active, then most present, then earliest one wins.
     """
     from .runs import islands
 
-    spans = mains.select("video_id", F.col("segment").alias("own"), F.explode(F.sequence("lo", "hi")).alias("t"))
+    spans = mains.select("video_id", F.col("segment").alias("own"), per_video(least).alias("least"), F.explode(F.sequence("lo", "hi")).alias("t"))
     seen = seg.join(mains.select("video_id", "spot").distinct(), ["video_id", "spot"]).select("video_id", F.col("frame").alias("t")).distinct().withColumn("seen", F.lit(True))
-    grid = spans.join(seen, ["video_id", "t"], "left").select(F.struct("video_id", "own").alias("key"), "t", F.col("seen").isNull().alias("gone"))
-    gaps = islands(grid, "gone", "key").where(F.col("b") - F.col("a") >= least).select("key.video_id", "key.own", "a", "b")
+    grid = spans.join(seen, ["video_id", "t"], "left").select(F.struct("video_id", "own", "least").alias("key"), "t", F.col("seen").isNull().alias("gone"))
+    gaps = islands(grid, "gone", "key").where(F.col("b") - F.col("a") >= F.col("key.least")).select("key.video_id", "key.own", "a", "b")
     other = seg.join(mains.select("video_id", F.col("spot").alias("ms")).distinct(), "video_id").where("spot <> ms")
-    hits = gaps.join(other, "video_id").where((F.col("frame") >= F.col("a")) & (F.col("frame") < F.col("b")))
+    hits = by_bucket(other, gaps, "video_id", "frame", "a", "b", GAP_BUCKET, closed=False)
     g = hits.groupBy("video_id", "own", "a", "b", "segment").agg(F.count("*").alias("present"), F.sum(F.col("active").cast("int")).alias("moving"))
     g = g.where((F.col("present") >= cover * (F.col("b") - F.col("a"))) & (F.col("moving") >= active * F.col("present")))
     return g.groupBy("video_id", "a", "b").agg(F.max_by("segment", F.struct("moving", "present", -F.col("segment"))).alias("segment"))

@@ -9,7 +9,7 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.strings import SAFE_ID, TRACK
+from ..functions.strings import SAFE_ID, SEGMENT_ID, TRACK
 from ..operators.select import FrameRule, Rules
 
 
@@ -74,7 +74,7 @@ class Dataset:
     def problems(self, listed: int = 10) -> DataFrame:
         """(video_id, problem): ids that are unsafe or repeat, splits that aren't listed, frame counts below 1, info keys that shadow columns."""
         v = self.videos()
-        bad = v.where(~F.col("video_id").rlike(SAFE_ID) | F.col("video_id").rlike(r"_segment_\d+$")).select("video_id", F.lit("id").alias("problem"))
+        bad = v.where(~F.col("video_id").rlike(SAFE_ID) | F.col("video_id").rlike(SEGMENT_ID)).select("video_id", F.lit("id").alias("problem"))
         twice = v.groupBy("video_id").count().where("count > 1").select("video_id", F.lit("repeated id").alias("problem"))
         out = bad.union(twice).union(v.where("expected_frames < 1").select("video_id", F.lit("expected_frames").alias("problem")))
         if self.split_order:

@@ -48,7 +48,10 @@ SHORT = {"min_track_s": 4.0, "window_s": 8.0, "merge_gap_s": 10.0, "min_visit_s"
 
 
 def _lengths(t: Tables) -> DataFrame:
-    return t.frames.groupBy("video_id").agg((F.max("frame") + 1).alias("n"))
+    """Frames of each video, and rates of three kinds."""
+    n = t.frames.groupBy("video_id").agg((F.max("frame") + 1).alias("n"))
+    kind = F.col("video_id") % 3
+    return n.select("video_id", "n", F.when(kind == 0, 25).when(kind == 1, 30000).otherwise(24).alias("fps_num"), F.when(kind == 1, 1001).otherwise(1).alias("fps_den"))
 
 
 @query("signer_track")
@@ -87,11 +90,11 @@ def arm_motion(t: Tables) -> DataFrame:
     return out.select("video_id", "window", F.round("motion", 9).alias("motion"))
 
 
-@query("fma32", "select video_id, frame, det, cast(cast(cast(cast(score as float) as double) * cast(cast(x1 as float) as double) + cast(cast(y1 as float) as double) as float) as double) as fma from det", "det")
+@query("fma32", """with v as (select video_id, frame, det, score::float::double * x1::float::double as p, y1::float::double as z from det), s as (select *, p + z as s from v),
+    e as (select *, (p - (s - (s - p))) + (z - (s - p)) as e, s::float::double as f from s), o as (select *, f + 2 * (s - f) as o from e)
+    select video_id, frame, det, case when s <> f and o::float::double = o and (s - f) * e > 0 then o else f end as fma from o""", "det")
 def fma32(t: Tables) -> DataFrame:
-    """A fused multiply-add of floats: the product of two floats is exact in double, so one rounding of the sum is all but fused."""
-    f = lambda c: F.col(c).cast("float").cast("double")
-    return t.det.select(*KEYS, "det", (f("score") * f("x1") + f("y1")).cast("float").cast("double").alias("fma"))
+    return t.det.select(*KEYS, "det", G.fma32(F.col("score"), F.col("x1"), F.col("y1")).alias("fma"))
 
 
 # ---- comparisons
@@ -233,7 +236,9 @@ def _chunks(t: Tables, name: str, rows: DataFrame, by: str) -> DataFrame:
 
 @query("stream_tracks")
 def stream_tracks(t: Tables) -> DataFrame:
-    rows = _boxes(t).where("frame < 600").withColumn("chunk", F.floor(F.col("frame") / 200))
+    """All boxes in four chunks of each video's frames; tracks stay open over chunks."""
+    size = t.frames.agg(F.ceil((F.max("frame") + 1) / 4).alias("size"))
+    rows = _boxes(t).join(F.broadcast(size)).withColumn("chunk", F.floor(F.col("frame") / F.col("size"))).drop("size")  # one row
     path = scratch(t, "tracks")
     X.run_to_table(X.tracks(_chunks(t, "boxes", rows, "chunk"), 0.5, 3), path)
     return t.spark.read.parquet(path)
@@ -258,12 +263,24 @@ def follow_commits(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).groupBy("part").agg(F.count("*").alias("n"))
 
 
-@query("settings_validation", "select 'ok' as state")
+@query("settings_validation", """select name, value, case when name = 'max_posed' then value between 1 and 127 when name in ('det_batch', 'max_chunk_frames') then value >= 1
+    when name in ('pose_score', 'count_score') then value between 0.1 and 1 when name = 'cand_score' then value between 0 and 0.3 else value between 0 and 1 end as accepted
+    from (select unnest(['cand_score', 'pose_score', 'count_score', 'pose_iou', 'count_iou', 'max_posed', 'det_batch', 'max_chunk_frames']) as name), (select unnest([-1.0, 0.0, 0.05, 0.2, 0.5, 1.0, 2.0, 127.0, 128.0])::double as value)""")
 def settings_validation(t: Tables) -> DataFrame:
+    """Which values each setting accepts, the others at their defaults."""
+    from dataclasses import fields
+
     from .datasets import Settings
 
-    Settings()
-    return t.spark.sql("select 'ok' as state")
+    def accepted(name: str, value: float) -> bool:
+        try:
+            Settings(**{name: value})
+        except ValueError:
+            return False
+        return True
+
+    tried = [(f.name, v, accepted(f.name, v)) for f in fields(Settings) for v in (-1.0, 0.0, 0.05, 0.2, 0.5, 1.0, 2.0, 127.0, 128.0)]
+    return t.spark.createDataFrame(tried, "name string, value double, accepted boolean")
 
 
 @query("dataset_plugin", "select cast(video_id as varchar) as video_id, split from clips where split <> 'BUILDING'", "clips")

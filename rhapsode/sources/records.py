@@ -44,7 +44,11 @@ def read_sentences(spark: SparkSession, path: str) -> DataFrame:
 def split_ids(raw: DataFrame, order: tuple[str, ...], text: str = "value") -> DataFrame:
     """(id, split) of {split: [id, ...]} JSON texts; an id listed twice keeps its first split in order, splits not in order come last by name."""
     m = F.from_json(text, "map<string,array<string>>")
-    rows = raw.select(F.explode(m).alias("split", "ids")).select("split", F.explode("ids").alias("id"))
+    return first_split(raw.select(F.explode(m).alias("split", "ids")).select("split", F.explode("ids").alias("id")), order)
+
+
+def first_split(rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """(id, split) of rows (split, id): the first split in order that lists an id, and then by name."""
     rank = F.array_position(F.array(*[F.lit(s) for s in order]), F.col("split"))
     rank = F.when(rank > 0, rank).otherwise(len(order) + 1)
     return rows.groupBy("id").agg(F.min_by("split", F.struct(rank, F.col("split"))).alias("split"))
@@ -57,6 +61,32 @@ def read_meta_rows(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     return df.where(same).drop("f_")
 
 
+def write_meta_rows(rows: DataFrame, folder: str) -> None:
+    """A JSON file for each row, named by its video_id; a file appears whole or not at all. Tasks write through pyarrow's file systems."""
+    spark = rows.sparkSession
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    full = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(at).toString()
+    root = f"file://{full[5:]}" if full.startswith("file:/") and not full.startswith("file:///") else full
+
+    def write(frames):
+        import uuid
+
+        import pandas as pd
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(root)
+        store.create_dir(base, recursive=True)
+        for f in frames:
+            for name, text in zip(f["video_id"], f["text"], strict=True):
+                draft = f"{base}/.{name}.{uuid.uuid4().hex[:8]}"  # readers pass over names that begin with a dot
+                with store.open_output_stream(draft) as out:
+                    out.write(text.encode())
+                store.move(draft, f"{base}/{name}.json")
+            yield pd.DataFrame({"n": [len(f)]})
+
+    rows.select("video_id", F.to_json(F.struct(*rows.columns)).alias("text")).mapInPandas(write, "n long").agg(F.sum("n")).collect()
+
+
 #: Columns of the metadata table, those that hold JSON, and those of older versions that are dropped.
 META_COLUMNS = ("video_id", "duration_s", "width", "height", "caption_source", "undetected_ratio", "empty_runs", "handless_runs", "switch_runs", "default_signing_runs", "copy_of", "unreliable_spans")
 META_JSON = ("empty_runs", "handless_runs", "switch_runs", "default_signing_runs", "copy_of", "unreliable_spans")

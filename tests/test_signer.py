@@ -56,3 +56,77 @@ def test_empty_and_gated(spark):
     assert choose(spark, [], 100) == {}
     rows = [box(t, 0, 0) for t in range(60)] + [box(t, 1, 200) for t in range(60, 100)]
     assert choose(spark, rows, 100, replace(P, other_iou=0.5, other_scale=1.3)) == {t: 0 for t in range(60)}
+
+
+def test_each_video_has_its_own_rate(spark):
+    """Videos of three rates in one table: each equals the same video alone, with its rate for all."""
+    import random
+    from dataclasses import replace
+
+    from pyspark.sql import functions as F
+
+    r = random.Random(7)
+    rows, lengths = [], []
+    for v, (num, den) in enumerate([(24, 1), (25, 1), (30000, 1001), (10, 1), (24, 1)]):
+        n = r.randrange(60, 130)
+        lengths.append((v, n, num, den))
+        for person in range(3):
+            x, a = 90.0 * person, r.randrange(0, 30)
+            for t in range(a, n - r.randrange(0, 20)):
+                if r.random() < 0.9:
+                    w = 20.0 + r.random() * 8 if r.random() < 0.8 else None
+                    rows.append((v, t, person, x + r.random() * 4, 0.0, x + 40 + r.random() * 4, 100.0, w, r.random() < 0.7))
+    kind = BOXES + ", width double, active boolean"
+    p = replace(P, fill_min_s=0.3, min_active=0.3, other_iou=0.0, other_scale=1.5, max_visit_share=0.3)
+    options = {"width": "width", "prior": F.median((F.col("x1") + F.col("x2")) / 2), "fill": True}
+    every = spark.createDataFrame(lengths, "video_id long, n long, fps_num long, fps_den long")
+    table = spark.createDataFrame(rows, kind)
+    got = sorted(tuple(x) for x in K.signer_choice(table, every, p, **options).collect())
+    assert len({x[0] for x in got}) == 5
+    for v, n, num, den in lengths:
+        alone = K.signer_choice(table.where(F.col("video_id") == v), every.where(F.col("video_id") == v).select("video_id", "n"), p, num / den, **options)
+        assert sorted(tuple(x) for x in alone.collect()) == [x for x in got if x[0] == v]
+
+
+def test_clips_shorter_than_a_visit_have_spots(spark):
+    rows = [box(t, 0, 0) for t in range(6)]
+    from dataclasses import replace
+
+    long_visits = replace(P, min_visit_s=2.0)  # 20 frames, of a clip of 6: half of the clip is enough
+    assert choose(spark, rows, 6, long_visits) == {t: 0 for t in range(6)}
+    assert choose(spark, rows, 100, long_visits) == {}
+
+
+def test_steady_frames_equal_a_loop(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    r = random.Random(2)
+    rows = [(v, s, t, r.random() < 0.5) for v in range(3) for s in range(2) for t in range(80) if r.random() < 0.6]
+    half = {0: 3, 1: 7, 2: 20}
+    df = spark.createDataFrame(rows, "video_id long, segment long, frame long, active boolean").withColumn("w", F.when(F.col("video_id") == 0, 3).when(F.col("video_id") == 1, 7).otherwise(20))
+    got = {(x["video_id"], x["segment"], x["t"]): x["cover"] for x in K.steady_segments(df, F.col("w"), 0.6, 0.4).collect()}
+    want = {}
+    for v in range(3):
+        for s in range(2):
+            seen = {t: a for vv, ss, t, a in rows if (vv, ss) == (v, s)}
+            lo, hi = min(seen), max(seen)
+            for t in range(lo, hi + 1):
+                span = range(max(lo, t - half[v]), min(hi, t + half[v]) + 1)
+                inside = [seen[u] for u in span if u in seen]
+                if len(inside) >= 0.6 * len(span) and sum(inside) >= 0.4 * len(inside):
+                    want[v, s, t] = len(inside)
+    assert got == want
+
+
+def test_segments_of_others_must_fit_an_anchor_of_the_main_spot(spark):
+    from dataclasses import replace
+
+    rows = [box(t, 0, 0) for t in range(60)] + [(1, t, 1, 10.0, 0.0, 50.0, 100.0) for t in range(62, 100)]
+    tight = replace(P, merge_gap_s=0.1, link_iou=0.7)  # another spot, that overlaps the main one by 0.6
+    assert set(choose(spark, rows, 100, replace(tight, other_iou=0.5))) == {*range(60), *range(62, 100)}
+    assert set(choose(spark, rows, 100, replace(tight, other_iou=0.65))) == set(range(60))
+    small = [box(t, 0, 0) for t in range(60)] + [(1, t, 1, 0.0, 0.0, 24.0, 100.0) for t in range(62, 100)]
+    assert set(choose(spark, small, 100, replace(tight, other_scale=1.2))) == set(range(60))
+    assert set(choose(spark, small, 100, replace(tight, other_scale=1.4))) == {*range(60), *range(62, 100)}
