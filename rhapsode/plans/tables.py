@@ -11,6 +11,7 @@ from ..operators import incremental as I
 from ..operators import joins as J
 from ..operators import report as R
 from ..operators import runs as U
+from ..sources import archives as A
 from ..sources import captions as C
 from ..sources import records as P
 from .fixtures import Tables
@@ -22,14 +23,32 @@ from .series import ISLANDS, joined, merged
 # ---- sources and sinks
 
 
-@query("src_persons", "select l_orderkey, l_partkey, l_quantity from lineitem where l_quantity > 25")
+def archives(t: Tables) -> tuple[str, DataFrame]:
+    """Record files of all videos, and their markers. The first detection of a frame is its primary, posed where its score is above 0.9."""
+    n = t.frames.groupBy("video_id").agg((F.max("frame") + 1).alias("n_frames"))
+    v = F.col("video_id")
+    kind = v % 3
+    videos = n.select(F.concat(F.lit("v"), v.cast("string")).alias("video_id"), (640 + v).alias("width"), (480 + v).alias("height"), F.when(kind == 0, 25).when(kind == 1, 30000).otherwise(24).alias("fps_num"), F.when(kind == 1, 1001).otherwise(1).alias("fps_den"), "n_frames", F.lit("first").alias("primary_rule"), F.lit("{}").alias("meta"), F.lit("{}").alias("provenance"))
+    first = F.col("det") == 0
+    points = F.transform(F.sequence(F.lit(0), F.lit(398)), lambda i: (F.col("x1") + i).cast("float"))
+    d = _record(t).select(F.concat(F.lit("v"), v.cast("string")).alias("video_id"), "frame", "det", "x1", "y1", "x2", "y2", "score", "flags", first.alias("is_primary"), F.when(first & (F.col("score") > 0.9), points).alias("kpts"))
+    path = scratch(t, "archives")
+    return path, A.write_archives(videos, d, path)
+
+
+@query("src_persons", "select 'v' || video_id as video_id, frame, det, x1::float::double as x1, y2::float::double as y2, score::float::double as score from det", "det")
 def src_persons(t: Tables) -> DataFrame:
-    return t.lineitem.where("l_quantity > 25").select("l_orderkey", "l_partkey", "l_quantity")
+    """Record files written and read back; all members, the version, types and shapes are checked."""
+    path, _ = archives(t)
+    known = A.read_archives(t.spark, path, "videos").select("video_id")
+    d = A.read_archives(t.spark, path, "detections").join(known, "video_id", "left_semi")
+    return d.select("video_id", "frame", "det", *[F.col(c).cast("double").alias(c) for c in ("x1", "y2", "score")])
 
 
-@query("src_fps_only", "select video_id, fps_num, fps_den from videos", "videos")
+@query("src_fps_only", "select distinct 'v' || video_id as video_id, cast(case cast(video_id % 3 as int) when 0 then 25 when 1 then 30000 else 24 end as bigint) as fps_num, cast(case cast(video_id % 3 as int) when 1 then 1001 else 1 end as bigint) as fps_den from frames", "frames")
 def src_fps_only(t: Tables) -> DataFrame:
-    return t.videos.select("video_id", "fps_num", "fps_den")
+    """Only the member with the rate is read."""
+    return A.read_archives(t.spark, archives(t)[0], "rates")
 
 
 @query("sink_persons", "select video_id, frame, num_persons from (select video_id, frame, video_id + frame % 3 as num_persons from frames)", "frames")
@@ -58,15 +77,21 @@ def sink_spill(t: Tables) -> DataFrame:
     return P.read_record(t.spark, path, "detections", ["video_id"]).groupBy(F.col("video_id").cast("long").alias("video_id")).agg(F.count("*").alias("n_rows"))
 
 
-@query("src_probe", "select video_id, width, height, fps_num, fps_den, coalesce(expected_frames, nb_frames) as frames from clips where fps_den = 1", "clips")
+@query("src_probe", "select video_id, width, height, fps_num, fps_den, nb_frames, case when video_id % 7 = 0 then 'no video stream' when video_id % 11 = 0 then 'variable frame rate' end as problem from (select video_id, case when video_id % 7 <> 0 then width end as width, case when video_id % 7 <> 0 then height end as height, case when video_id % 7 <> 0 then fps_num end as fps_num, case when video_id % 7 <> 0 then fps_den end as fps_den, case when video_id % 7 <> 0 then nb_frames end as nb_frames from clips)", "clips")
 def src_probe(t: Tables) -> DataFrame:
-    return t.clips.where("fps_den = 1").select("video_id", "width", "height", "fps_num", "fps_den", F.coalesce("expected_frames", "nb_frames").alias("frames"))
+    """Probe texts of all clips, some without a stream or with a rate that varies."""
+    n = F.col("video_id")
+    rate = F.concat_ws("/", (F.col("fps_num") * 2).cast("string"), (F.col("fps_den") * 2).cast("string"))
+    other = F.concat_ws("/", (F.col("fps_num") * 2 + 1).cast("string"), (F.col("fps_den") * 2).cast("string"))
+    stream = F.struct("width", "height", rate.alias("r_frame_rate"), F.when(n % 11 == 0, other).otherwise(rate).alias("avg_frame_rate"), F.col("nb_frames").cast("string").alias("nb_frames"))
+    text = F.to_json(F.struct(F.filter(F.array(F.when(n % 7 != 0, stream)), lambda x: x.isNotNull()).alias("streams")))
+    return P.probed(t.clips.select("video_id", text.alias("value")), strict=False)
 
 
-@query("src_decode", "select c.video_id, c.nb_frames, f.n as decoded from clips c join (select video_id, count(*) as n from frames group by video_id) f on c.video_id = f.video_id where c.nb_frames <> f.n", "clips frames")
+@query("src_decode", "select c.video_id, c.nb_frames as expected, coalesce(f.n, 0) as decoded from clips c left join (select video_id, count(*) as n from frames group by video_id) f on c.video_id = f.video_id where c.nb_frames <> coalesce(f.n, 0)", "clips frames")
 def src_decode(t: Tables) -> DataFrame:
-    n = t.frames.groupBy("video_id").agg(F.count("*").alias("decoded"))
-    return t.clips.select("video_id", "nb_frames").join(n, "video_id").where("nb_frames <> decoded")
+    """Videos whose frames are not exactly as many as the container says (with strict on, an error)."""
+    return P.decoded_counts(t.clips.select("video_id", F.col("nb_frames").alias("expected")), t.frames, strict=False)
 
 
 def vtt_files(t: Tables) -> DataFrame:
@@ -113,9 +138,15 @@ def sink_subs(t: Tables) -> DataFrame:
     return P.changed_only(v, old, "k", "vtt").groupBy("k.track", "action").agg(F.count("*").alias("files"))
 
 
-@query("sink_splits", "select split, count(*) as videos, min(video_id) as first_id from splits group by split", "splits")
+@query("sink_splits", "select 'splits' as file, split, count(*) as videos, min(video_id) as first_id from splits group by split union all select 'splits_manual', split, count(*), min(video_id) from splits where video_id % 2 = 0 group by split", "splits")
 def sink_splits(t: Tables) -> DataFrame:
-    return t.splits.groupBy("split").agg(F.count("*").alias("videos"), F.min("video_id").alias("first_id"))
+    """Split files of two names written over older ones, and read back."""
+    path = scratch(t, "split-files")
+    s = t.splits.select(F.lit("").alias("name"), "video_id", "split")
+    P.write_splits(s.limit(1).withColumn("name", F.lit("stale")), path)
+    P.write_splits(s.union(s.where("video_id % 2 = 0").withColumn("name", F.lit("manual"))), path)
+    files = t.spark.read.schema("video_id long, split string, file string").csv(path, header=True)
+    return files.groupBy("file", "split").agg(F.count("*").alias("videos"), F.min("video_id").alias("first_id"))
 
 
 @query("split_counts", "select coalesce(nullif(split, 'BUILDING'), '(none)') as split, count(*) as videos from splits group by 1", "splits")
@@ -127,11 +158,13 @@ def split_counts(t: Tables) -> DataFrame:
 SPAN_TEXT = "string_agg('[' || cast(cast(a as bigint) as varchar) || ', ' || cast(cast(b as bigint) as varchar) || ']', ', ' order by a)"
 
 
-@query("sink_meta_files", f"""with {merged('spans')}, x as (select video_id, '[' || {SPAN_TEXT} || ']' as spans from m group by video_id) select s.split, s.video_id, coalesce(x.spans, '[]') as unreliable_spans from splits s join clips c on s.video_id = c.video_id left join x on s.video_id = x.video_id where c.video_id % 2 = 0""", "spans splits clips")
+@query("sink_meta_files", f"""with {merged('spans')}, x as (select video_id, '[' || {SPAN_TEXT} || ']' as spans from m group by video_id) select s.split, s.video_id, coalesce(x.spans, '[]') as unreliable_spans from splits s join clips c on s.video_id = c.video_id left join x on s.video_id = x.video_id""", "spans splits clips")
 def sink_meta_files(t: Tables) -> DataFrame:
     spans = U.as_text(U.merged_spans(t.spans), "video_id", "spans")
-    rows = t.splits.join(t.clips.where("video_id % 2 = 0").select("video_id"), "video_id").join(spans, "video_id", "left")
-    return rows.select("split", "video_id", F.coalesce("spans", F.lit("[]")).alias("unreliable_spans"))
+    rows = t.splits.join(t.clips.select("video_id"), "video_id").join(spans, "video_id", "left")
+    path = scratch(t, "meta-files")
+    rows.select("split", "video_id", F.coalesce("spans", F.lit("[]")).alias("unreliable_spans")).write.partitionBy("split").csv(path, header=True, quote='"', escape='"')
+    return t.spark.read.schema("video_id long, unreliable_spans string, split string").csv(path, header=True, quote='"', escape='"')
 
 
 @query("sink_index", "select video_id, split, 'n/' || cast(video_id as varchar) as source, case when video_id % 2 = 0 then cast(width as varchar) else '' end as width, case when video_id % 3 = 0 then name else '' end as name from clips", "clips")
@@ -210,9 +243,9 @@ def sink_video_meta(t: Tables) -> DataFrame:
     return P.meta_cells(_meta_rows(t)).select("video_id", "width", "undetected_ratio", "copy_of")
 
 
-@query("csv_row", "select video_id, width, height, '[]' as switch_runs, '[]' as default_signing_runs from clips", "clips")
+@query("csv_row", "select 'v' || cast(video_id as varchar) as video_id, cast(width as int) as width, round(case when video_id % 4 <> 0 then video_id / 7 end, 6) as undetected_ratio, '[]' as switch_runs, '[]' as default_signing_runs from clips", "clips")
 def csv_row(t: Tables) -> DataFrame:
-    return t.clips.select("video_id", "width", "height", F.lit("[]").alias("switch_runs"), F.lit("[]").alias("default_signing_runs"))
+    return P.csv_row(_meta_rows(t).withColumn("people", F.lit(1))).withColumn("undetected_ratio", F.round("undetected_ratio", 6))
 
 
 @query("sink_failed", "select user_id as video_id, count(*) as failures from events where event_type = 'error' group by user_id")
@@ -448,12 +481,13 @@ def rule_primary(t: Tables) -> DataFrame:
     return pick(t.det.where("score > 0.3"), LARGEST).withColumn("not_posed", F.col("det") >= 3)
 
 
-@query("file_problems", "select video_id, case when video_id % 9 = 0 then 'missing' when nb_frames % 13 = 0 then 'size' end as problem from clips where video_id % 9 = 0 or nb_frames % 13 = 0", "clips")
+@query("file_problems", "select 'v' || video_id as video_id, case when video_id = 3 then 'size' when video_id = 4 then 'frames' else 'no marker' end as problem from (select distinct video_id from frames where video_id in (3, 4, 5)) union all select 'gone', 'missing'", "frames")
 def file_problems(t: Tables) -> DataFrame:
-    n = F.col("video_id")
-    files = t.clips.where(n % 9 != 0).select("video_id", (F.col("nb_frames") + F.when(F.col("nb_frames") % 13 == 0, 1).otherwise(0)).alias("size"))
-    j = t.clips.select("video_id", "nb_frames").join(files, "video_id", "left")
-    return j.select("video_id", F.when(F.col("size").isNull(), "missing").when(F.col("size") != F.col("nb_frames"), "size").alias("problem")).where("problem is not null")
+    """Markers of the record files, four of them wrong, against the files."""
+    path, markers = archives(t)
+    v = F.col("video_id")
+    wrong = markers.where(v != "v5").select("video_id", (F.col("bytes") + (v == "v3").cast("int")).alias("bytes"), (F.col("n_frames") + (v == "v4").cast("int")).alias("n_frames"))
+    return A.file_problems(wrong.union(t.spark.sql("select 'gone', 1L, 1L")), path)
 
 
 @query("derivation_problems", "select video_id from clips where video_id % 6 = 0", "clips")
@@ -479,12 +513,15 @@ def dataset_contract(t: Tables) -> DataFrame:
     return a.union(b).union(c.where("expected_frames < 1000").select("video_id", F.lit("frames").alias("problem")))
 
 
-@query("holds_poses", "select video_id, frame, det % 9 = 4 as differs from det where score > 0.8", "det")
+@query("holds_poses", "select 'v' || video_id as video_id, frame, video_id = 2 as differs from det where det = 0 and score > 0.9", "det")
 def holds_poses(t: Tables) -> DataFrame:
-    d = t.det.where("score > 0.8")
-    row = lambda c: F.xxhash64("x1", "y1", "x2", "y2", c)
-    stored = d.select("video_id", "frame", "det", row(F.col("score") + F.when(F.col("det") % 9 == 4, 1e-12).otherwise(0.0)).alias("stored"))
-    return d.select("video_id", "frame", "det", row(F.col("score")).alias("again")).join(stored, ["video_id", "frame", "det"]).select("video_id", "frame", (~F.col("stored").eqNullSafe(F.col("again"))).alias("differs"))
+    """Posed rows of the record files against rows computed again, bit for bit; one video is computed otherwise."""
+    stored = A.read_archives(t.spark, archives(t)[0], "posed").select("video_id", "frame", F.xxhash64("kpts").alias("stored"))
+    v = F.concat(F.lit("v"), F.col("video_id").cast("string"))
+    d = t.det.where("det = 0 and score > 0.9").select(v.alias("video_id"), "frame", (F.col("x1") + (F.col("video_id") == 2).cast("int")).alias("x1"))
+    points = F.transform(F.sequence(F.lit(0), F.lit(398)), lambda i: (F.col("x1") + i).cast("float"))
+    again = d.select("video_id", "frame", F.xxhash64(points).alias("again"))
+    return again.join(stored, ["video_id", "frame"], "full").select("video_id", "frame", (~F.col("stored").eqNullSafe(F.col("again"))).alias("differs"))
 
 
 LIM = "m as (select label as g, avg(case when score > 0.3 then 1.0 else 0.0 end) as v, avg(case when x > y then 0.4 else 0.0 end) as noise from kpts group by label)"

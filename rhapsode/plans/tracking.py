@@ -166,12 +166,26 @@ def jitter_summary(t: Tables) -> DataFrame:
 
 @query("derive", "select video_id, case when video_id % 4 = 0 then 'write' else 'keep' end as action from (select distinct video_id from det)", "det")
 def derive(t: Tables) -> DataFrame:
-    """Derived rows computed again from stored detections; only videos whose rows differ are written."""
-    from ..sources.records import changed_only
-
-    new = N.suppressed(t.det, N.standard(N.COUNT_IOU), least_score=0.3).select("video_id", F.xxhash64("frame", "kept").cast("decimal(38,0)").alias("h")).groupBy("video_id").agg(F.sum("h").alias("hash"))
-    old = new.withColumn("hash", F.when(F.col("video_id") % 4 == 0, F.col("hash") + 1).otherwise(F.col("hash")).cast("decimal(38,0)"))
-    return changed_only(new, old, "video_id", "hash").select("video_id", "action")
+    """Derived rows computed again from stored detections: only videos whose stored rows (some are of another limit) differ are written, and then none differ."""
+    from ..sources import records as P
+
+    fresh = lambda least: N.suppressed(t.det, N.standard(N.COUNT_IOU), least_score=least)
+    path = scratch(t, "derived")
+    stale = F.col("video_id") % 4 == 0
+    new = fresh(0.3)
+    P.write_record({"detections": fresh(0.6).where(stale).union(new.where(~stale))}, path)
+
+    def digest(df: DataFrame) -> DataFrame:
+        h = df.select(F.col("video_id").cast("long").alias("video_id"), F.xxhash64("frame", "kept").cast("decimal(38,0)").alias("h"))
+        return h.groupBy("video_id").agg(F.sum("h").alias("hash"))
+
+    plan = scratch(t, "actions")  # a table of its own: the stored rows are about to change
+    P.changed_only(digest(new), digest(P.read_record(t.spark, path, "detections")), "video_id", "hash").write.parquet(plan)
+    actions = t.spark.read.parquet(plan)
+    P.write_record({"detections": new.join(actions.where("action = 'write'").select("video_id"), "video_id", "left_semi")}, path)
+    after = P.changed_only(digest(new), digest(P.read_record(t.spark, path, "detections")), "video_id", "hash").where("action <> 'keep'")
+    left = after.select("video_id", F.lit("still differs").alias("action"))
+    return actions.select("video_id", "action").union(left)
 
 
 # ---- logs

@@ -132,6 +132,45 @@ def write_meta_table(rows: DataFrame, path: str) -> None:
     lines.orderBy("o", "k").coalesce(1).select("line").write.mode("overwrite").option("lineSep", "\r\n").text(path)
 
 
+def write_splits(rows: DataFrame, path: str) -> None:
+    """Split files from rows (name, video_id, split): a folder of CSV for each name ("" is the main one); names that rows lack are removed."""
+    name = F.when(F.col("name").rlike("^[A-Za-z0-9-]*$"), F.concat(F.lit("splits"), F.when(F.col("name") != "", F.concat(F.lit("_"), "name")).otherwise("")))
+    file = F.coalesce(name, F.raise_error(F.concat(F.lit("not a split name: "), F.coalesce("name", F.lit("null")))).cast("string"))
+    rows.select("video_id", "split", file.alias("file")).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("file").csv(path, header=True)
+
+
+def csv_row(rows: DataFrame) -> DataFrame:
+    """What a video's own row gives to the metadata table, with the two run lists that are always empty there; other columns keep their values elsewhere."""
+    own = [c for c in ("video_id", "duration_s", "width", "height", "caption_source", "undetected_ratio", "empty_runs", "handless_runs") if c in rows.columns]
+    return rows.select(*own, F.lit("[]").alias("switch_runs"), F.lit("[]").alias("default_signing_runs"))
+
+
+def probed(texts: DataFrame, strict: bool = True) -> DataFrame:
+    """(video_id, width, height, fps_num, fps_den, nb_frames, problem) of probe texts (video_id, value): JSON with the first stream's size, rates and number of frames.
+
+    No stream, a rate or number that is missing or zero, and a rate that varies (r_frame_rate isn't avg_frame_rate) are problems: errors if strict. Rates are in lowest terms."""
+    kind = "streams array<struct<width:long,height:long,r_frame_rate:string,avg_frame_rate:string,nb_frames:string>>"
+    s = texts.select("video_id", F.get(F.from_json("value", kind)["streams"], 0).alias("s"))
+    part = lambda c, i: F.regexp_extract(F.col(f"s.{c}"), r"^(\d+)/(\d+)$", i).try_cast("long")
+    p = s.select("video_id", "s", *[part(c, i).alias(f"{c[0]}{i}") for c in ("r_frame_rate", "avg_frame_rate") for i in (1, 2)], F.col("s.nb_frames").try_cast("long").alias("nb_frames"))
+    bad = ~F.coalesce((F.col("r2") > 0) & (F.col("a2") > 0) & F.col("nb_frames").isNotNull(), F.lit(False))
+    varies = (F.col("r1") <= 0) | (F.col("r1") * F.col("a2") != F.col("a1") * F.col("r2"))
+    problem = F.when(F.col("s").isNull(), "no video stream").when(bad, "missing frame rate or nb_frames").when(varies, "variable frame rate")
+    if strict:
+        problem = F.when(problem.isNotNull(), F.raise_error(F.concat_ws(": ", F.col("video_id").cast("string"), problem)).cast("string"))
+    # the greatest common divisor by Euclid, which takes at most 92 steps on longs; rates need few
+    pair = F.aggregate(F.sequence(F.lit(1), F.lit(92)), F.struct(F.col("r1").alias("a"), F.col("r2").alias("b")), lambda x, _: F.when(x["b"] == 0, x).otherwise(F.struct(x["b"].alias("a"), (x["a"] % F.when(x["b"] != 0, x["b"])).alias("b"))))
+    p = p.withColumn("g", pair["a"]).withColumn("problem", problem)
+    return p.select("video_id", F.col("s.width").alias("width"), F.col("s.height").alias("height"), F.expr("r1 div nullif(g, 0)").alias("fps_num"), F.expr("r2 div nullif(g, 0)").alias("fps_den"), "nb_frames", "problem")
+
+
+def decoded_counts(expected: DataFrame, frames: DataFrame, strict: bool = True) -> DataFrame:
+    """(video_id, expected, decoded) of videos whose frames (video_id, frame) aren't exactly as many as expected (video_id, expected); any is an error if strict."""
+    n = frames.groupBy("video_id").agg(F.count("*").alias("decoded"))
+    off = expected.select("video_id", "expected").join(n, "video_id", "left").select("video_id", "expected", F.coalesce("decoded", F.lit(0)).alias("decoded")).where("expected <> decoded or expected is null")
+    return off.where(F.raise_error(F.format_string("video %s: %s frames decoded, %s expected", F.col("video_id").cast("string"), "decoded", "expected")).cast("boolean")) if strict else off
+
+
 def changed_only(new: DataFrame, old: DataFrame, key: str, value: str) -> DataFrame:
     """(key, value, action): write (new or changed), keep, or delete (old keys that new lacks)."""
     j = new.select(F.col(key), F.col(value).alias("n")).join(old.select(F.col(key), F.col(value).alias("o")), key, "full")

@@ -2,8 +2,10 @@
 
 import zipfile
 
+import numpy as np
 import pytest
 
+from rhapsode.sources import archives as A
 from rhapsode.sources import captions as C
 from rhapsode.sources import records as P
 from rhapsode.sources.workbook import FirstSheet, frame_cues
@@ -94,3 +96,67 @@ def test_meta_rows_must_be_named_by_their_file(spark, tmp_path):
     (tmp_path / "b.json").write_text('{"video_id": "c", "width": 3}')
     with pytest.raises(Exception, match="file's name"):
         P.read_meta_rows(spark, str(tmp_path), "video_id string, width int").collect()
+
+
+def archive(spark, folder, n=("a", "b")):
+    videos = spark.createDataFrame([(v, 640, 480, 30000, 1001, 4, "first", "{}", "{}") for v in n], "video_id string, width long, height long, fps_num long, fps_den long, n_frames long, primary_rule string, meta string, provenance string")
+    points = [float(i) for i in range(399)]
+    rows = [(v, f, d, 0.0, 1.0, 2.0, 3.0, 0.9 - d / 10, 7 if d else 1, d == 1, points if d else None) for v in n for f, k in ((0, 2), (2, 3)) for d in range(k)]
+    dets = spark.createDataFrame(rows, "video_id string, frame long, det long, x1 double, y1 double, x2 double, y2 double, score double, flags int, is_primary boolean, kpts array<float>")
+    return A.write_archives(videos, dets, folder)
+
+
+def test_archives_round_trip(spark, tmp_path):
+    markers = archive(spark, str(tmp_path))
+    assert {(r["video_id"], r["bytes"]) for r in markers.collect()} == {(p.stem, p.stat().st_size) for p in tmp_path.glob("*.npz")}
+    with np.load(tmp_path / "a.npz") as z:
+        assert set(z.files) == set(A.MEMBERS) and z["det_offsets"].tolist() == [0, 2, 2, 5, 5] and z["kpt_det"].tolist() == [1, 3, 4] and z["kpts"].shape == (3, 133, 3)
+    read = lambda table: A.read_archives(spark, str(tmp_path), table).where("video_id = 'a'")
+    assert [(r["frame"], r["num_persons"], r["primary"]) for r in read("frames").orderBy("frame").collect()] == [(0, 1, 0), (1, 0, -1), (2, 2, 0), (3, 0, -1)]
+    assert [(r["frame"], r["det"], r["flags"]) for r in read("detections").orderBy("frame", "det").collect()] == [(0, 0, 1), (0, 1, 7), (2, 0, 1), (2, 1, 7), (2, 2, 7)]
+    assert [(r["frame"], r["pos"], r["det"], r["kpts"][398]) for r in read("posed").orderBy("frame", "pos").collect()] == [(0, 0, 1, 398.0), (2, 0, 3, 398.0), (2, 1, 4, 398.0)]
+    assert read("videos").first()["width"] == 640 and read("rates").first()["fps_den"] == 1001
+    assert A.file_problems(markers, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("change, table, message", [
+    ({"kpts": None}, "videos", "missing members"), ({"schema_version": np.array(2)}, "detections", "schema_version"), ({"video_id": np.array("z")}, "videos", "holds video"),
+    ({"det_boxes": np.zeros((5, 4))}, "detections", "det_boxes holds float64"), ({"det_scores": np.zeros(4, "f4")}, "detections", "differ in length"), ({"num_frames": np.array(5)}, "frames", "differ in length"), ({"det_offsets": np.array([1, 2])}, "detections", "offsets"),
+])
+def test_bad_archives(spark, tmp_path, change, table, message):
+    archive(spark, str(tmp_path), ("a",))
+    with np.load(tmp_path / "a.npz") as z:
+        members = {**{k: z[k] for k in z.files}, **change}
+    np.savez(tmp_path / "a.npz", **{k: v for k, v in members.items() if v is not None})
+    with pytest.raises(Exception, match=message):
+        A.read_archives(spark, str(tmp_path), table).collect()
+
+
+def test_probe_texts(spark):
+    one = '{"streams": [{"width": 4, "height": 3, "r_frame_rate": "%s", "avg_frame_rate": "%s", "nb_frames": %s}]}'
+    rows = [("ok", one % ("60000/2002", "30000/1001", '"9"')), ("varies", one % ("25/1", "24/1", '"9"')), ("zero", one % ("0/0", "25/1", '"9"')), ("none", '{"streams": []}'), ("count", one % ("25/1", "25/1", "null")), ("text", "x")]
+    df = spark.createDataFrame(rows, "video_id string, value string")
+    got = {r["video_id"]: (r["fps_num"], r["fps_den"], r["problem"]) for r in P.probed(df, strict=False).collect()}
+    assert got["ok"] == (30000, 1001, None) and {k: v[2] for k, v in got.items() if k != "ok"} == {"varies": "variable frame rate", "zero": "missing frame rate or nb_frames", "none": "no video stream", "count": "missing frame rate or nb_frames", "text": "no video stream"}
+    assert P.probed(df.where("video_id = 'ok'")).first()["nb_frames"] == 9
+    with pytest.raises(Exception, match="varies: variable frame rate"):
+        P.probed(df.where("video_id = 'varies'")).collect()
+
+
+def test_frames_must_be_as_many_as_expected(spark):
+    want = spark.createDataFrame([("a", 2), ("b", 1), ("c", 0)], "video_id string, expected long")
+    have = spark.createDataFrame([("a", 0), ("a", 1)], "video_id string, frame long")
+    assert [tuple(r) for r in P.decoded_counts(want, have, strict=False).collect()] == [("b", 1, 0)]
+    assert P.decoded_counts(want.where("video_id <> 'b'"), have).count() == 0
+    with pytest.raises(Exception, match="video b: 0 frames decoded, 1 expected"):
+        P.decoded_counts(want, have).collect()
+
+
+def test_split_files_replace_older_ones(spark, tmp_path):
+    path = str(tmp_path / "s")
+    make = lambda *n: spark.createDataFrame([(x, 1, "train") for x in n], "name string, video_id long, split string")
+    for names in (("", "old"), ("", "new")):
+        P.write_splits(make(*names), path)
+    assert {p.name for p in (tmp_path / "s").glob("file=*")} == {"file=splits", "file=splits_new"}
+    with pytest.raises(Exception, match="not a split name: a b"):
+        P.write_splits(make("a b"), path)
