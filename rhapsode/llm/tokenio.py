@@ -18,6 +18,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -76,6 +77,25 @@ def fits_pieces(path: str) -> bool:
     return normalizer.get("normalizers") == _NORMALIZER and cutter.get("pretokenizers") == [_SPLIT, _BYTES] and spec["model"].get("dropout") is None
 
 
+class _Ids(dict):
+    """Ids of pieces as bytes: of those met before, from here or the memory before this one; of others, from the tokenizer's model."""
+
+    def __init__(self, tok, older: _Ids | None = None):
+        super().__init__()
+        self.tok, self.tokenize, self.older = tok, tok.model.tokenize, {} if older is None else dict(older)
+
+    def __missing__(self, w: str) -> bytes:
+        ids = self.older.get(w)
+        if ids is None:
+            if _OTHER.search(w):
+                new = self.tok.encode(w, add_special_tokens=False).ids
+            else:  # a pre-token already: only its bytes have to be named as the vocabulary names them
+                new = [t.id for t in self.tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(_BYTE_NAMES))]
+            ids = array("I", new).tobytes()
+        self[w] = ids
+        return ids
+
+
 class WordEncoder:
     """ids of whole texts by a tokenizers file, with a bounded memory of words.
 
@@ -87,34 +107,15 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        self.tok, self.by_words, self.seen, self.older = Tokenizer.from_file(path), by_words, {}, {}
-
-    def _learn(self, words: list[str]) -> None:
-        model, ids = self.tok.model, None
-        for w in words:
-            if _OTHER.search(w):
-                ids = self.tok.encode(w, add_special_tokens=False).ids
-            else:  # a pre-token already: only its bytes have to be named as the vocabulary names them
-                ids = [t.id for t in model.tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(_BYTE_NAMES))]
-            self.seen[w] = np.array(ids, dtype=np.uint32).tobytes()
+        self.tok, self.by_words = Tokenizer.from_file(path), by_words
+        self.seen = _Ids(self.tok)
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_words:
             return [np.array(e.ids, dtype=np.uint32) for e in self.tok.encode_batch(texts, add_special_tokens=False)]
-        split = [pieces(t) for t in texts]
         if len(self.seen) > WORDS:
-            self.seen, self.older = {}, self.seen
-        new = []
-        for w in {w for ws in split for w in ws}.difference(self.seen):
-            ids = self.older.get(w)
-            if ids is None:
-                new.append(w)
-            else:
-                self.seen[w] = ids
-        if new:
-            self._learn(new)
-        get = self.seen.__getitem__
-        return [np.frombuffer(b"".join(map(get, ws)), dtype=np.uint32) for ws in split]
+            self.seen = _Ids(self.tok, self.seen)
+        return [np.frombuffer(b"".join(map(self.seen.__getitem__, pieces(t))), dtype=np.uint32) for t in texts]
 
     @classmethod
     def shared(cls, path: str, by_words: bool) -> WordEncoder:
