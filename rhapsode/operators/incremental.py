@@ -26,12 +26,24 @@ def schedule(videos: DataFrame, order: tuple[str, ...], limit: int | None = None
 
 
 def round_robin(videos: DataFrame, order: tuple[str, ...], seed: int = 0) -> DataFrame:
-    """videos with ``place``: splits in turn, each in a seeded hash order."""
+    """videos with ``place``: splits in turn, each in a seeded hash order.
+
+    Turns are counted in buckets of the hash, to which the sizes of the buckets before are added; places follow from the sizes of the splits,
+    so that no task sorts a whole split, or all videos. With an order of many splits the sizes are a row of as many numbers.
+    """
     rank = F.array_position(F.array(*[F.lit(s) for s in order]), F.col("split"))
-    rank = F.when(rank > 0, rank).otherwise(len(order) + 1)
+    rank = F.when(rank > 0, rank).otherwise(len(order) + 1).cast("int")
     shuffled = F.sha2(F.concat_ws("/", F.lit(str(seed)), F.col("video_id").cast("string")), 256)
-    turn = F.row_number().over(Window.partitionBy("rank_").orderBy(shuffled))
-    return videos.withColumn("rank_", rank).withColumn("turn", turn).withColumn("place", F.row_number().over(Window.orderBy("turn", "rank_"))).drop("rank_", "turn")
+    v = videos.withColumn("rank_", rank).withColumn("hash_", shuffled).withColumn("bucket_", F.substring("hash_", 1, 3))
+    sizes = v.groupBy("rank_", "bucket_").agg(F.count("*").alias("size_"))  # 4,096 buckets a split
+    before = F.sum("size_").over(Window.partitionBy("rank_").orderBy("bucket_")) - F.col("size_")
+    turn = F.row_number().over(Window.partitionBy("rank_", "bucket_").orderBy("hash_")) + F.col("before_")
+    v = v.join(F.broadcast(sizes.withColumn("before_", before).drop("size_")), ["rank_", "bucket_"]).withColumn("turn_", turn)
+    of = [F.coalesce(F.sum(F.when(F.col("rank_") == r, F.col("size_"))), F.lit(0)) for r in range(1, len(order) + 2)]
+    v = v.join(F.broadcast(sizes.agg(F.array(*of).alias("sizes_"))))  # one row
+    ahead = F.transform("sizes_", lambda n, i: F.least(n, F.col("turn_") - F.when(i + 1 < F.col("rank_"), 0).otherwise(1)))
+    place = F.aggregate(ahead, F.lit(0).cast("long"), lambda s, x: s + x) + 1
+    return v.withColumn("place", place.cast("int")).select(*videos.columns, "place")
 
 
 def spread_windows(videos: DataFrame, windows: int, length: int, n: str = "nb_frames", seed: int = 0) -> DataFrame:

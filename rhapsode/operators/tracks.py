@@ -331,10 +331,10 @@ def person_tracks(rows: DataFrame, jump: float = 0.10, keys: tuple[str, ...] = (
 
     def run(f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values(["frame", "pos"], kind="stable").reset_index(drop=True)
-        last, out, known, taken, frame = np.zeros((0, 2)), [], 0, set(), None
+        last, n, out, known, taken, frame = np.zeros((16, 2)), 0, [], 0, set(), None  # last: n people, room for more
         for t, x, y in zip(f["frame"], f["cx"], f["cy"], strict=True):
             if t != frame:
-                frame, known, taken = t, len(last), set()
+                frame, known, taken = t, n, set()
             d = np.hypot(last[:known, 0] - x, last[:known, 1] - y)
             d[list(taken)] = np.inf
             k = int(np.argmin(d)) if known else -1
@@ -342,8 +342,10 @@ def person_tracks(rows: DataFrame, jump: float = 0.10, keys: tuple[str, ...] = (
                 taken.add(k)
                 last[k] = x, y
             else:
-                k = len(last)
-                last = np.vstack([last, [x, y]])
+                if n == len(last):
+                    last = np.concatenate([last, np.zeros_like(last)])
+                k, n = n, n + 1
+                last[k] = x, y
             out.append(k)
         return f.assign(person=np.array(out, dtype=np.int64))
 
