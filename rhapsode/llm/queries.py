@@ -72,7 +72,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(load(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_line_dedup, op3_substring_dedup, op4_token_output, op5_toxicity, op6_suffix_dedup, op7_personal_data, op8_embedding_dedup, op9_decontamination, op10_simhash)}
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .phrases import collocations
+
+    return collocations(load(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_line_dedup, op3_substring_dedup, op4_token_output, op5_toxicity, op6_suffix_dedup, op7_personal_data, op8_embedding_dedup, op9_decontamination, op10_simhash, op13_collocations)}
 
 SQL: dict[str, str] = {}
 
@@ -127,3 +133,28 @@ WITH RECURSIVE v AS (
 SELECT v.vec_id, coalesce(d.n, 0) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
 FROM v JOIN c ON c.a = v.vec_id LEFT JOIN d ON d.a = v.vec_id
 """
+
+SQL["op13_collocations"] = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), w AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p
+), g AS (
+  SELECT lang, k.m, unnest(list_transform(range(1, len(ws) - k.m + 2), lambda i: ws[i:i + k.m - 1])) AS ph FROM w, (SELECT unnest(range(1, 6)) AS m) k WHERE len(ws) >= k.m
+), f AS (SELECT lang, m, ph, count(*) AS f FROM g GROUP BY ALL
+), n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang
+), c AS (SELECT lang, m, ph, f AS a FROM f WHERE m > 1 AND f >= 100
+), sub AS (
+  SELECT lang, ph[i:i + j - 1] AS ph, max(a) AS longest FROM (
+    SELECT lang, a, m, ph, j, unnest(range(1, m - j + 2)) AS i FROM (SELECT lang, a, m, ph, unnest(range(2, m)) AS j FROM c)) GROUP BY ALL
+), k AS (
+  SELECT c.lang, c.ph, c.a, c.m FROM c LEFT JOIN sub ON sub.lang = c.lang AND sub.ph = c.ph WHERE longest IS NULL OR 100 * longest < 100 * c.a
+), s AS (
+  SELECT k.lang, k.ph, k.a, x.f AS l, y.f AS r, n.n, h.cut, 1000::HUGEINT * k.a * n.n // (x.f::HUGEINT * y.f) AS score
+  FROM k JOIN (SELECT unnest(range(1, 5)) AS cut) h ON h.cut < k.m JOIN f x ON x.lang = k.lang AND x.ph = k.ph[1:h.cut] JOIN f y ON y.lang = k.lang AND y.ph = k.ph[h.cut + 1:k.m] JOIN n ON n.lang = k.lang
+), b AS (
+  SELECT lang, array_to_string(ph, ' ') AS phrase, a, l, r, n, score::BIGINT AS score FROM s QUALIFY row_number() OVER (PARTITION BY lang, ph ORDER BY score, cut) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM b QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""
