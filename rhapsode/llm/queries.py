@@ -72,13 +72,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(load(spark, sf_dir, "documents"))
 
 
+def op12_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ppm import lm_scores
+
+    return lm_scores(load(spark, sf_dir, "documents"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .phrases import collocations
 
     return collocations(load(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_line_dedup, op3_substring_dedup, op4_token_output, op5_toxicity, op6_suffix_dedup, op7_personal_data, op8_embedding_dedup, op9_decontamination, op10_simhash, op13_collocations)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_line_dedup, op3_substring_dedup, op4_token_output, op5_toxicity, op6_suffix_dedup, op7_personal_data, op8_embedding_dedup, op9_decontamination, op10_simhash, op12_language_model, op13_collocations)}
 
 SQL: dict[str, str] = {}
 

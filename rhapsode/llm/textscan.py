@@ -57,3 +57,37 @@ def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Ta
         last = tuple(c[-1].as_py() for c in cols)
     if held:
         yield pa.concat_tables(held)
+
+
+class Tally:
+    """Counts of 64-bit keys in sorted arrays; full() beyond ``size`` different ones."""
+
+    def __init__(self, size: int = 1 << 21):
+        self.most = size
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, keys: np.ndarray) -> None:
+        u, n = np.unique(keys, return_counts=True)
+        self.held.append((u, n))
+        self.size += len(u)
+        if self.size > self.most and len(self.held) > 1:
+            self.merge()
+
+    def merge(self) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.held) > 1:
+            k, n = (np.concatenate(x) for x in zip(*self.held, strict=True))
+            by = np.argsort(k, kind="stable")
+            k, n = k[by], n[by]
+            at = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+            self.held = [(k[at], np.add.reduceat(n, at))]
+            self.size = len(at)
+        return self.held[0] if self.held else (np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64))
+
+    def full(self) -> bool:
+        return self.size > self.most
+
+    def take(self) -> tuple[np.ndarray, np.ndarray]:
+        out = self.merge()
+        self.held, self.size = [], 0
+        return out
