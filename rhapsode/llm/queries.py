@@ -72,6 +72,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(load(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .prefixtrie import prefix_trie
+
+    return prefix_trie(load(spark, sf_dir, "conversations"))
+
+
 def op12_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ppm import lm_scores
 
@@ -84,7 +90,7 @@ def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(load(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_line_dedup, op3_substring_dedup, op4_token_output, op5_toxicity, op6_suffix_dedup, op7_personal_data, op8_embedding_dedup, op9_decontamination, op10_simhash, op12_language_model, op13_collocations)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mixing, op2_line_dedup, op3_substring_dedup, op4_token_output, op5_toxicity, op6_suffix_dedup, op7_personal_data, op8_embedding_dedup, op9_decontamination, op10_simhash, op11_prefix_trie, op12_language_model, op13_collocations)}
 
 SQL: dict[str, str] = {}
 
@@ -164,3 +170,24 @@ WITH p AS (
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
 FROM b QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
 """
+
+#: crc32 is spelled out: a table of 256 steps of the polynomial, then a fold over the digits.
+SQL["op11_prefix_trie"] = """
+WITH e AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda a, b: xor(a >> 1, 3988292384 * (a & 1))) ORDER BY i) AS tab FROM range(256) t(i)
+), o AS (
+  SELECT conv_id AS c, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS s FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), h AS (
+  SELECT c, s, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), lambda a, b: xor(a >> 8, tab[1 + (xor(a, b) & 255)])), 4294967295) % 9 AS h FROM o, e
+), q AS (
+  SELECT h.c, list_concat(coalesce(b.s, [])[1:h.h], h.s[h.h + 1:]) AS s FROM h LEFT JOIN o b ON b.c = h.c - h.c % 5
+), p AS (SELECT c, unnest(range(0, len(s) + 1)) AS d, s, len(s) AS n FROM q
+), m AS (
+  SELECT d, s[1:d] AS k, min(c) AS conv_id, count(*) AS n_convs, coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (d = n), '') AS ends FROM p GROUP BY ALL
+), w AS (
+  SELECT m.*, u.conv_id AS parent, (SELECT count(*) FROM m x WHERE x.d = m.d + 1 AND x.k[1:m.d] = m.k) AS kids FROM m LEFT JOIN m u ON u.d = m.d - 1 AND u.k = m.k[1:m.d - 1]
+), b AS (
+  SELECT d, k, kids, unnest(range(0, d + 1)) AS up, CASE WHEN d > 0 THEN (n_convs - 1) * strlen(k[d].t) ELSE 0 END AS own FROM w
+), t AS (SELECT up AS d, k[1:up] AS k, count(*) FILTER (kids = 0) AS n_leaves, sum(own)::BIGINT AS saved_tokens FROM b GROUP BY ALL)
+SELECT w.conv_id, w.d AS depth, w.parent AS parent_conv_id, w.n_convs, w.kids AS n_children, t.n_leaves, t.saved_tokens, sha256(w.ends) AS ends_sha256 FROM w JOIN t ON t.d = w.d AND t.k = w.k
+"""

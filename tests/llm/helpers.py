@@ -22,7 +22,8 @@ def sql(query, **frames):
     con = duckdb.connect()
     for k, v in frames.items():
         con.register(k, v)
-    return con.sql(query).df()
+    out = con.sql(query).df()
+    return out.astype({c: "float64" for c, kind in out.dtypes.items() if str(kind) == "Int64"})  # as Spark's toPandas has whole numbers with nulls
 
 
 def same(a, b):
