@@ -22,12 +22,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import drop, materialize, small_batches
-from .textscan import LOWER, bytes_of, groups, segments
+from .textscan import LOWER, Tally, bytes_of, groups, segments
 from .wordseq import mixed, words_in
 
 LONGEST, LEAST, FIRST = 5, 100, 2000
 #: Bytes of text that are scanned at a time; different rows of a prefix that one task takes.
-CHUNK, LOCAL = 1 << 24, 500_000
+CHUNK, LOCAL = 1 << 22, 500_000
 #: Bits of a filter, at least and at most.
 BITS = (1 << 16, 1 << 28)
 BREAKS = b".,;:!?\x0b\x0c\r"
@@ -117,11 +117,19 @@ def word_counts(rows: DataFrame) -> DataFrame:
     """(lang, key, n): partial counts by word, lang null, and by language, key null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally = Tally()
+
+        def taken() -> pa.RecordBatch:
+            key, n = tally.take()
+            return pa.RecordBatch.from_arrays([pa.nulls(len(key), pa.string()), _longs(key), _longs(n)], names=["lang", "key", "n"])
+
         for w in scanned(batches):
-            key, n = np.unique(w.key[w.counts], return_counts=True)
+            tally.add(w.key[w.counts])
             total = np.bincount(w.lang[w.counts], minlength=len(w.langs))
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(key), pa.string()), _longs(key), _longs(n)], names=["lang", "key", "n"])
             yield pa.RecordBatch.from_arrays([pa.array(w.langs, pa.string()), pa.nulls(len(total), pa.int64()), _longs(total)], names=["lang", "key", "n"])
+            if tally.full():
+                yield taken()
+        yield taken()
 
     return rows.mapInArrow(run, "lang string, key long, n long")
 
@@ -131,11 +139,17 @@ def pair_counts(rows: DataFrame, words: BitFilter) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(words.bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = BitFilter(shared.value)
+        known, tally = BitFilter(shared.value), Tally()
+
+        def taken() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([_longs(x) for x in tally.take()], names=["key", "n"])
+
         for w in scanned(batches):
             often = known.has(w.key)
-            key, n = np.unique(w.pairs()[w.counts & w.joined & often & np.roll(often, -1)], return_counts=True)
-            yield pa.RecordBatch.from_arrays([_longs(key), _longs(n)], names=["key", "n"])
+            tally.add(w.pairs()[w.counts & w.joined & often & np.roll(often, -1)])
+            if tally.full():
+                yield taken()
+        yield taken()
 
     return rows.mapInArrow(run, "key long, n long")
 
