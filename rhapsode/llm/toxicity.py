@@ -1,12 +1,13 @@
 """Operator 5: toxicity by the nearest labelled examples, exact TF-IDF cosine over a block-max inverted index.
 
 Terms are words and five-letter beginnings of longer words. From a bounded sample of labelled rows (EXAMPLES of each label, by hash order)
-come the examples and the index terms: all that go with a label beyond chance (chi-square of LEAST_CHI2 or more, in five examples at least). Over all words alike, nearest
-examples are those of the same subject and tell a tenth of the toxic texts (README). Document
-frequencies of the index terms count every document. A text's neighbours are its K most similar examples, exactly: blocks of
-examples are visited by falling upper bound until no bound reaches the K-th similarity. Their votes, weighted by squared
-similarity and by what share of its label the sample holds, give the score; a few pseudo-votes at the rate of examples
-without neighbours keep it calibrated. The neighbours are the evidence.
+come the examples, and every term of theirs is indexed. A term's idf counts every document; it is multiplied by what the term tells about the label:
+its log odds ratio over the sample, drawn towards nothing by n / (n + PRIOR) where few (n) examples hold it, to the power SHARP. No term is left
+out by a limit; what tells nothing weighs next to nothing. PRIOR and SHARP were set by cross-validation over learned rows only (README).
+A text's neighbours are its K most similar examples, exactly: the terms that can add most are summed over their postings first, what the
+others could add at most to an example is known by blocks of examples, and those that could still be among the K are summed whole. Their votes, weighted by squared
+similarity and by what share of its label the sample holds, give the score; a few pseudo-votes at the base rate keep it calibrated. The
+neighbours are the evidence.
 """
 
 from __future__ import annotations
@@ -23,9 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize
+from .common import drop, materialize, small_batches
 
-EXAMPLES, LEAST_CHI2, K, BLOCK, PSEUDO = 4000, 40.0, 25, 64, 0.2
+EXAMPLES, K, BLOCK, PSEUDO, PRIOR, SHARP = 4000, 25, 64, 0.2, 5.0, 2.5
+#: What terms that are left for later may add to a similarity altogether; any value gives the same neighbours.
+SLACK = 0.03
 WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -54,73 +57,119 @@ class TermCounts:
         return out
 
 
+Vector = tuple[np.ndarray, np.ndarray]
+
+
+def _lists(starts: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the elements of the given lists in their flat array, and the lists' sizes."""
+    n = starts[which + 1] - starts[which]
+    return np.repeat(starts[which] - (np.cumsum(n) - n), n) + np.arange(int(n.sum())), n
+
+
 @dataclass
 class BlockMaxIndex:
-    """Unit TF-IDF vectors of the examples, in blocks, with each term's largest weight in each block."""
+    """Unit TF-IDF vectors of the examples by term and by example, and each term's largest weight in each block of examples."""
 
     ids: np.ndarray
     labels: np.ndarray
     votes: np.ndarray
-    blocks: list[dict[int, np.ndarray]]
-    bounds: dict[int, np.ndarray]
-    sizes: list[int]
+    by_term: tuple[np.ndarray, np.ndarray, np.ndarray]  # starts, examples, weights
+    by_block: tuple[np.ndarray, np.ndarray, np.ndarray]  # starts, blocks, largest weights
+    by_example: tuple[np.ndarray, np.ndarray, np.ndarray]  # starts, terms, weights
+    top: np.ndarray
 
     @classmethod
-    def build(cls, vectors: list[dict[int, float]], ids: list, labels: list[int], votes: list[float]) -> BlockMaxIndex:
-        order = sorted(range(len(vectors)), key=lambda e: (max(vectors[e], key=lambda t: (vectors[e][t], -t)), sorted(vectors[e]), e))
-        blocks, bounds, n = [], {}, -(-len(order) // BLOCK)
-        for b in range(n):
-            part = order[b * BLOCK : (b + 1) * BLOCK]
-            rows: dict[int, np.ndarray] = {}
-            for k, e in enumerate(part):
-                for t, x in vectors[e].items():
-                    rows.setdefault(t, np.zeros(len(part)))[k] = x
-            for t, x in rows.items():
-                bounds.setdefault(t, np.zeros(n))[b] = x.max()
-            blocks.append(rows)
-        take = lambda v, kind: np.array([v[e] for e in order], dtype=kind)
-        return cls(take(ids, object), take(labels, np.int64), take(votes, np.float64), blocks, bounds, [min(BLOCK, len(order) - b * BLOCK) for b in range(n)])
-
-    def nearest(self, query: dict[int, float], k: int = K) -> tuple[np.ndarray, np.ndarray]:
+    def build(cls, vectors: list[Vector], ids: list, labels: list[int], votes: list[float]) -> BlockMaxIndex:
+        strongest = [int(t[np.argmax(w)]) for t, w in vectors]
+        order = sorted(range(len(vectors)), key=lambda e: (strongest[e], e))
+        sizes = np.array([len(vectors[e][0]) for e in order], dtype=np.int64)
+        flat = lambda k, kind: np.concatenate([np.zeros(0, dtype=kind), *(vectors[e][k] for e in order)]).astype(kind)
+        terms, weights, example = flat(0, np.int64), flat(1, np.float64), np.repeat(np.arange(len(order)), sizes)
+        n_terms = int(terms.max()) + 1 if len(terms) else 0
+        starts = lambda keys, n: np.searchsorted(keys, np.arange(n + 1))
+        by = np.lexsort((example, terms))
+        t, e, w = terms[by], example[by], weights[by]
+        cut = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (e[1:] // BLOCK != e[:-1] // BLOCK)])) if len(t) else np.zeros(0, dtype=np.int64)
+        most = np.maximum.reduceat(w, cut) if len(t) else w
+        top = np.zeros(n_terms)
+        np.maximum.at(top, t, w)
+        take = lambda v, kind: np.array([v[x] for x in order], dtype=kind)
+        return cls(
+            take(ids, object), take(labels, np.int64), take(votes, np.float64),
+            (starts(t, n_terms), e.astype(np.int32), w),
+            (starts(t[cut], n_terms), (e[cut] // BLOCK).astype(np.int32), most),
+            (np.concatenate([[0], np.cumsum(sizes)]), terms.astype(np.int32), weights),
+            top,
+        )
+
+    def _sums(self, lists: tuple, terms: np.ndarray, weights: np.ndarray, n: int) -> np.ndarray:
+        at, size = _lists(lists[0], terms)
+        return np.bincount(lists[1][at], weights=np.repeat(weights, size) * lists[2][at], minlength=n).astype(np.float64)
+
+    def nearest(self, query: Vector, k: int = K) -> Vector:
         """(examples, similarities) of the k most similar examples of similarity above 0, ties to the earlier one."""
-        upper = np.zeros(len(self.blocks))
-        for t, q in query.items():
-            if t in self.bounds:
-                upper += q * self.bounds[t]
-        found, sims, floor = np.empty(0, dtype=np.int64), np.empty(0), 0.0
-        for b in np.argsort(-upper, kind="stable"):
-            if upper[b] * (1 + 1e-12) < floor or upper[b] <= 0:
-                break
-            s = np.zeros(self.sizes[b])
-            for t, q in query.items():
-                row = self.blocks[b].get(t)
-                if row is not None:
-                    s += q * row
-            hit = np.nonzero(s > 0)[0]
-            found, sims = np.concatenate([found, b * BLOCK + hit]), np.concatenate([sims, s[hit]])
-            if len(found) > k:
-                best = np.lexsort((found, -np.round(sims, 12)))[:k]
-                found, sims = found[best], sims[best]
-                floor = sims.min()
-        best = np.lexsort((found, -np.round(sims, 12)))
-        return found[best], sims[best]
+        terms, weights = query
+        known = terms < len(self.top)
+        terms, weights = terms[known], weights[known]
+        bound = weights * self.top[terms]
+        by = np.argsort(-bound, kind="stable")
+        terms, weights, bound = terms[by], weights[by], bound[by]
+        rest = np.cumsum(bound[::-1])[::-1]
+        first = int(np.count_nonzero(rest > SLACK))
+        n = len(self.labels)
+        sims = self._sums(self.by_term, terms[:first], weights[:first], n)
+        if first < len(terms) and n:
+            later = self._sums(self.by_block, terms[first:], weights[first:], -(-n // BLOCK))
+            upper = sims + np.repeat(later, BLOCK)[:n] * (1 + 1e-9)
+            floor = np.partition(sims, n - k)[n - k] if n > k else 0.0
+            at = np.flatnonzero((upper >= floor - 1e-11) & (upper > 0))
+            if len(at) * 8 > n:
+                sims += self._sums(self.by_term, terms[first:], weights[first:], n)
+                at = np.flatnonzero(sims > 0)
+                s = sims[at]
+            else:
+                dense = np.zeros(len(self.top))
+                dense[terms] = weights
+                place, size = _lists(self.by_example[0], at)
+                s = np.add.reduceat(dense[self.by_example[1][place]] * self.by_example[2][place], np.cumsum(size) - size) if len(at) else np.zeros(0)
+        else:
+            at = np.flatnonzero(sims > 0)
+            s = sims[at]
+        at, s = at[s > 0], s[s > 0]
+        if len(at) > k:
+            near = s >= np.partition(s, len(s) - k)[len(s) - k] - 1e-11
+            at, s = at[near], s[near]
+        best = np.lexsort((at, -np.round(s, 12)))[:k]
+        return at[best], s[best]
+
+
+def term_weights(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """What terms tell that a of n1 toxic and b of n0 clean examples hold; nothing where either label has no example."""
+    if not n1 or not n0:
+        return np.zeros(len(a))
+    odds = np.log((a + 0.5) / (n1 - a + 0.5)) - np.log((b + 0.5) / (n0 - b + 0.5))
+    return np.abs(odds * (a + b) / (a + b + PRIOR)) ** SHARP
 
 
 @dataclass
 class ToxicityModel:
     terms: list[str]
-    idf: np.ndarray
+    weights: np.ndarray
     index: BlockMaxIndex
     base: float
 
-    def vector(self, counts: Counter) -> dict[int, float]:
-        v = {t: (1 + np.log(n)) * self.idf[t] for t, n in sorted(counts.items())}
-        norm = float(np.sqrt(sum(x * x for x in v.values())))
-        return {t: x / norm for t, x in v.items()} if norm else {}
+    def vector(self, counts: Counter) -> Vector:
+        """Terms and weights of the unit vector; both empty where no term weighs anything."""
+        t = np.fromiter(counts.keys(), dtype=np.int64, count=len(counts))
+        v = (1 + np.log(np.fromiter(counts.values(), dtype=np.float64, count=len(counts)))) * self.weights[t]
+        by = np.argsort(t)
+        t, v = t[by], v[by]
+        norm = float(np.sqrt((v * v).sum()))
+        return (t[v > 0], v[v > 0] / norm) if norm else (t[:0], v[:0])
 
-    def score(self, vector: dict[int, float]) -> tuple[float, list, list[float]]:
+    def score(self, vector: Vector) -> tuple[float, list, list[float]]:
         """(score, ids of the nearest examples, their similarities); texts without index terms get the base rate."""
-        if not vector:
+        if not len(vector[0]):
             return self.base, [], []
         at, sims = self.index.nearest(vector)
         w = sims * sims * self.index.votes[at]
@@ -159,48 +208,51 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 yield pd.DataFrame({"term": found, "y": int(y)})
 
     n1, n0 = (sample.where(F.col("y") == y).count() for y in (1, 0))
-    n = max(1, n0 + n1)
-    a, b = F.sum("y").cast("double"), F.sum(1 - F.col("y")).cast("double")
-    table = sample.select("text", "y").mapInPandas(presence, "term string, y int").groupBy("term").agg(a.alias("a"), b.alias("b")).where("a + b >= 5")
-    chi = n * F.pow(F.col("a") * (n0 - F.col("b")) - F.col("b") * (n1 - F.col("a")), 2) / ((F.col("a") + F.col("b")) * max(1, n1) * max(1, n0) * (n - F.col("a") - F.col("b") + 1e-9))
-    best = table.withColumn("chi2", chi).where(F.col("chi2") >= LEAST_CHI2).select("term").collect()  # bounded by the sample
-    terms = sorted(r["term"] for r in best)
+    table = sample.select("text", "y").mapInPandas(presence, "term string, y int").groupBy("term").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
+    table = table.toArrow().sort_by("term")  # bounded by the sample
+    terms = table.column("term").to_pylist()
+    tells = term_weights(np.asarray(table.column("a"), dtype=np.float64), np.asarray(table.column("b"), dtype=np.float64), n1, n0)
+    shared = docs.sparkSession.sparkContext.broadcast(terms)
 
     def frequencies(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        count, df, total = TermCounts(terms), np.zeros(len(terms) + 1, dtype=np.int64), 0
+        count, df, total = TermCounts(shared.value), np.zeros(len(shared.value) + 1, dtype=np.int64), 0
         for f in frames:
             total += len(f)
             for t in f["text"]:
                 found = list(count(t))
                 df[found] += 1
         df[-1] = total
-        yield pd.DataFrame({"term": np.arange(len(df)), "n": df})
+        there = np.flatnonzero(df)
+        yield pd.DataFrame({"term": there, "n": df[there]})
 
     df = np.zeros(len(terms) + 1)
-    for r in text.select("text").mapInPandas(frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
-        df[r["term"]] = r["n"]
+    with small_batches(docs.sparkSession):
+        found = text.select("text").mapInPandas(frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    df[np.asarray(found.column("term"))] = np.asarray(found.column("n"))
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
 
     def sparse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        count = TermCounts(terms)
+        count = TermCounts(shared.value)
         for f in frames:
             c = [sorted(count(t).items()) for t in f["text"]]
             yield pd.DataFrame({"id": f["id"].astype(str), "y": f["y"], "t": [[k for k, _ in x] for x in c], "n": [[v for _, v in x] for x in c]})
 
-    got = sample.mapInPandas(sparse, "id string, y int, t array<int>, n array<int>").collect()
-    got.sort(key=lambda r: r["id"])
+    got = sample.mapInPandas(sparse, "id string, y int, t array<int>, n array<int>").toArrow().sort_by("id")
     share = {y: totals.get(y, 0) / max(1, k) for y, k in ((0, n0), (1, n1))}  # each example stands for so many labelled rows
     top = max([*share.values(), 1e-9])
-    model = ToxicityModel(terms, idf, BlockMaxIndex.build([], [], [], []), 0.0)
+    model = ToxicityModel(terms, idf * tells, BlockMaxIndex.build([], [], [], []), 0.0)
     kept, none = [], Counter()
-    for r in got:
-        v = model.vector(Counter(dict(zip(r["t"], r["n"], strict=True))))
-        none[r["y"]] += not v
-        if v:
-            kept.append((v, int(r["id"]) if r["id"].lstrip("-").isdigit() else r["id"], r["y"], share[r["y"]] / top))
+    for i in range(got.num_rows):
+        name, y, t, n = (got.column(x)[i] for x in ("id", "y", "t", "n"))
+        name, y = name.as_py(), y.as_py()
+        v = model.vector(Counter(dict(zip(t.as_py(), n.as_py(), strict=True))))
+        none[y] += not len(v[0])
+        if len(v[0]):
+            kept.append((v, int(name) if name.lstrip("-").isdigit() else name, y, share[y] / top))
     model.index = BlockMaxIndex.build(*([k[i] for k in kept] for i in range(4)))
     clean, toxic = none[0] * share[0], none[1] * share[1]
     model.base = (toxic + 0.5) / (clean + toxic + 10)
+    drop(lab, sample)
     return model
 
 
@@ -212,18 +264,13 @@ def scored(docs: DataFrame, model: ToxicityModel, text_col: str = "text", names:
     at = docs.columns.index(text_col)
     rest = [i for i in range(len(docs.columns)) if i != at or below is not None]
 
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count, known = TermCounts(model.terms), {}
+        model = shared.value
+        count = TermCounts(model.terms)
         for b in batches:
-            out = []
-            for t in b.column(at):
-                c = count(t.as_py())
-                key = tuple(sorted(c.items()))
-                if key not in known:
-                    if len(known) > 20_000:
-                        known.clear()
-                    known[key] = model.score(model.vector(c))
-                out.append(known[key])
+            out = [model.score(model.vector(count(t.as_py()))) for t in b.column(at)]
             cols = [pa.array([o[0] for o in out], pa.float64()), pa.array([[str(x) for x in o[1]] for o in out], pa.list_(pa.string())), pa.array([o[2] for o in out], pa.list_(pa.float64()))]
             out_batch = pa.RecordBatch.from_arrays([*(b.column(i) for i in rest), *cols], names=[*(b.schema.names[i] for i in rest), *names])
             yield out_batch if below is None else out_batch.filter(pa.array([o[0] < below for o in out], pa.bool_()))

@@ -2,13 +2,16 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from rhapsode.llm import toxicity as X
 
 from .helpers import odd_documents
 
 
-def test_index_is_exact():
+@pytest.mark.parametrize("slack", [0.0, 0.03, 0.4, 9.0])
+def test_index_is_exact(slack, monkeypatch):
+    monkeypatch.setattr(X, "SLACK", slack)
     rng = np.random.default_rng(5)
 
     def vector():
@@ -17,13 +20,14 @@ def test_index_is_exact():
         return dict(zip(t.tolist(), (w / np.linalg.norm(w)).tolist(), strict=True))
 
     examples = [vector() for _ in range(900)]
-    index = X.BlockMaxIndex.build(examples, list(range(900)), [0] * 900, [1.0] * 900)
+    arrays = lambda v: tuple(np.array(x) for x in zip(*sorted(v.items()), strict=True))
+    index = X.BlockMaxIndex.build([arrays(v) for v in examples], list(range(900)), [0] * 900, [1.0] * 900)
     for _ in range(60):
         q = vector()
         sims = np.array([sum(q.get(t, 0) * x for t, x in examples[e].items()) for e in index.ids])
         want = np.lexsort((np.arange(900), -np.round(sims, 12)))[:10]
         want = want[sims[want] > 0]
-        at, got = index.nearest(q, 10)
+        at, got = index.nearest(arrays(q), 10)
         assert at.tolist() == want.tolist() and np.allclose(got, sims[want])
 
 
@@ -83,7 +87,7 @@ def test_counts_terms_of_whole_texts():
 
 
 def test_scores_equal_brute_force(spark):
-    """The whole query in plain Python: terms by chi-square, frequencies, cosines with all examples, votes."""
+    """The whole query in plain Python: weights of all terms, frequencies, cosines with all examples, votes."""
     import math
     import re
 
@@ -99,18 +103,17 @@ def test_scores_equal_brute_force(spark):
 
     counts = {d: terms(t) for d, t in texts.items()}
     n, n1 = len(y), sum(y.values())
-    n0, chosen = n - n1, set()
+    n0, tells = n - n1, {}
     for t in {t for d in y for t in counts[d]}:
         a, b = (sum(t in counts[d] and y[d] == k for d in y) for k in (1, 0))
-        chi = n * (a * (n0 - b) - b * (n1 - a)) ** 2 / ((a + b) * n1 * n0 * (n - a - b + 1e-9))
-        if a + b >= 5 and chi >= X.LEAST_CHI2:
-            chosen.add(t)
-    idf = {t: math.log((1 + len(texts)) / (1 + sum(t in c for c in counts.values()))) + 1 for t in chosen}
+        odds = math.log((a + 0.5) / (n1 - a + 0.5)) - math.log((b + 0.5) / (n0 - b + 0.5))
+        tells[t] = abs(odds * (a + b) / (a + b + X.PRIOR)) ** X.SHARP
+    idf = {t: math.log((1 + len(texts)) / (1 + sum(t in c for c in counts.values()))) + 1 for t in tells}
 
     def vector(c):
-        v = {t: (1 + math.log(k)) * idf[t] for t, k in c.items() if t in chosen}
+        v = {t: (1 + math.log(k)) * idf[t] * tells[t] for t, k in c.items() if t in tells}
         norm = math.sqrt(sum(x * x for x in v.values()))
-        return {t: x / norm for t, x in v.items()}
+        return {t: x / norm for t, x in v.items()} if norm else {}
 
     examples = {d: vector(counts[d]) for d in y if vector(counts[d])}
     none = [y[d] for d in y if d not in examples]
