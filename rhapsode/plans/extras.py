@@ -18,13 +18,20 @@ from .tables import scratch
 from .tracking import SHORT, _boxes, _lengths, log_lines
 
 
-@query("sink_npy_stream", "select video_id, count(*) as length from series group by video_id", "series")
+@query("sink_npy_stream", "select cast(video_id as varchar) as video_id, count(*) as length, 128 + 4 * count(*) as bytes, round(sum(value::float::double), 3) as total from series group by video_id", "series")
 def sink_npy_stream(t: Tables) -> DataFrame:
-    """Rows of unknown number appended in blocks; the length is known at the end."""
+    """A stream of rows of unknown number into one growing array for each video, whose header is settled at the end; the files are read back."""
+    from ..sources import growing
+
     path = scratch(t, "growing")
-    for k in range(3):
-        t.series.where(F.col("t") % 3 == k).select("video_id", "t", "value").write.mode("append").parquet(path)
-    return t.spark.read.parquet(path).groupBy("video_id").agg(F.count("*").alias("length"))
+    rows = t.series.select(F.col("video_id").cast("string").alias("array"), F.col("t").alias("position"), F.array(F.col("value").cast("float")).alias("value"))
+    rows.repartitionByRange(3, "position").write.parquet(f"{path}/in")
+    growing.register(t.spark)
+    source = t.spark.readStream.schema("array string, position long, value array<float>").option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    source.writeStream.format("growing_arrays").option("path", growing.qualified(t.spark, f"{path}/sink")).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
+    done = growing.settle(t.spark, f"{path}/sink", f"{path}/out")
+    totals = growing.read_arrays(t.spark, f"{path}/out").groupBy("array").agg(F.round(F.sum(F.col("value")[0].cast("double")), 3).alias("total"))
+    return done.join(totals, "array").select(F.col("array").alias("video_id"), F.col("rows").alias("length"), "bytes", "total")
 
 
 @query("src_xlsx", "select cast(range + 2 as int) as row, 'n' || cast(range % 7 as varchar) as name, cast(range * 3 as bigint) as begin from range(0, 500) where range % 7 <> 3")

@@ -154,7 +154,7 @@ def write_archives(videos: DataFrame, detections: DataFrame, folder: str) -> Dat
         numbers = np.array(d["kpts"][posed].tolist(), "f4").reshape(-1, 133, 3)
         members = {
             "schema_version": np.array(VERSION, "i8"), "video_id": np.array(v["video_id"]), "frame_size": np.array([v["width"], v["height"]], "i8"), "fps": np.array([v["fps_num"], v["fps_den"]], "i8"),
-            "num_frames": np.array(t, "i8"), "det_offsets": starts(frame), "det_boxes": d[["x1", "y1", "x2", "y2"]].to_numpy("f4"), "det_scores": d["score"].to_numpy("f4"), "det_flags": flags,
+            "num_frames": np.array(t, "i8"), "det_offsets": starts(frame), "det_boxes": np.ascontiguousarray(d[["x1", "y1", "x2", "y2"]].to_numpy("f4")), "det_scores": d["score"].to_numpy("f4"), "det_flags": flags,
             "num_persons": np.minimum(counted, 255).astype("u1"), "kpt_offsets": kpt_offsets, "kpt_det": kpt_det, "kpts": numbers, "kpt_primary": primary,
             "primary_rule": np.array(v["primary_rule"]), "meta": np.array(v["meta"] or json.dumps({})), "provenance": np.array(v["provenance"] or json.dumps({})),
         }
@@ -168,7 +168,8 @@ def write_archives(videos: DataFrame, detections: DataFrame, folder: str) -> Dat
         return pd.DataFrame({"video_id": [v["video_id"]], "bytes": [size], "n_frames": [t]})
 
     done = videos.groupBy("video_id").cogroup(detections.groupBy("video_id")).applyInPandas(write, "video_id string, bytes long, n_frames long")
-    return spark.createDataFrame(done.collect(), done.schema)  # a row for each file
+    done.write.mode("overwrite").parquet(f"{root}/.written")  # readers pass over names that begin with a dot
+    return spark.read.parquet(f"{root}/.written")
 
 
 def file_problems(markers: DataFrame, folder: str) -> DataFrame:
