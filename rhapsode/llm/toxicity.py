@@ -1,60 +1,73 @@
 """Operator 5: toxicity by the nearest labelled examples, exact TF-IDF cosine over a block-max inverted index.
 
-Terms are words and five-letter beginnings of longer words. From a bounded sample of labelled rows (EXAMPLES of each label, by hash order)
+Terms are words (runs of ASCII letters and characters beyond ASCII, lower-cased), known by 64-bit hashes. From a bounded sample of labelled rows (EXAMPLES of each label, by hash order)
 come the examples, and every term of theirs is indexed. A term's idf counts every document; it is multiplied by what the term tells about the label:
 its log odds ratio over the sample, drawn towards nothing by n / (n + PRIOR) where few (n) examples hold it, to the power SHARP. No term is left
 out by a limit; what tells nothing weighs next to nothing. PRIOR and SHARP were set by cross-validation over learned rows only (README).
 A text's neighbours are its K most similar examples, exactly: the terms that can add most are summed over their postings first, what the
-others could add at most to an example is known by blocks of examples, and those that could still be among the K are summed whole. Their votes, weighted by squared
+others could add at most to any example, or to those of a block of examples, is known, and those that could still be among the K are summed whole. Their votes, weighted by squared
 similarity and by what share of its label the sample holds, give the score; a few pseudo-votes at the base rate keep it calibrated. The
 neighbours are the evidence.
 """
 
 from __future__ import annotations
 
-import re
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import drop, materialize, small_batches
+from .ppm import Lookup
+from .wordseq import words_in
 
 EXAMPLES, K, BLOCK, PSEUDO, PRIOR, SHARP = 4000, 25, 64, 0.2, 5.0, 2.5
 #: What terms that are left for later may add to a similarity altogether; any value gives the same neighbours.
-SLACK = 0.03
-WORDS = re.compile(r"[^\W\d_]+")
+SLACK = 0.02
+#: More examples than this that could still be among the nearest are told apart by blocks.
+FEW = 100
+#: Every byte that no word holds becomes a space.
+_LETTERS = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
+PIECE = 4 << 20
+
+
+def term_occurrences(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(text, key) of all term occurrences, in pieces of about PIECE bytes that hold whole texts; null texts have none."""
+    held: list[bytes] = []
+    size = first = 0
+    for i, t in enumerate(texts):
+        held.append((t or "").lower().encode().translate(_LETTERS))
+        size += len(held[-1])
+        if size >= PIECE or i + 1 == len(texts):
+            raw = b"\n".join(held)
+            begin = np.cumsum([0] + [len(x) + 1 for x in held[:-1]])
+            start, _, key = words_in(raw)
+            of = first + np.searchsorted(begin, start, "right") - 1
+            yield of, key
+            held, size, first = [], 0, i + 1
 
 
-def terms_of(word: str) -> tuple[str, ...]:
-    return (word, word[:5] + "*") if len(word) > 5 else (word,)
+class TermCounts:
+    """Counts the index terms, given by their sorted keys, of many texts at a time."""
 
+    def __init__(self, keys: np.ndarray):
+        self.n, self.at = max(1, len(keys)), Lookup(keys)
 
-class TermCounts:
-    """Counts the index terms of texts; the words seen are remembered, as most have none."""
-
-    def __init__(self, terms: list[str]):
-        self.at = {t: i for i, t in enumerate(terms)}
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def __call__(self, text: str | None) -> Counter:
-        out: Counter = Counter()
-        known = self.known
-        for w, n in Counter(WORDS.findall((text or "").lower())).items():
-            ids = known.get(w)
-            if ids is None:
-                ids = known[w] = tuple(self.at[t] for t in terms_of(w) if t in self.at)
-                if len(known) > 500_000:
-                    known.clear()
-            for i in ids:
-                out[i] += n
-        return out
+    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first entry of each text and the end, term, count)."""
+        pairs, counts = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        for of, key in term_occurrences(texts):
+            term = self.at(key)
+            pair, n = np.unique(of[term >= 0] * self.n + term[term >= 0], return_counts=True)
+            pairs.append(pair), counts.append(n)
+        pair, n = np.concatenate(pairs), np.concatenate(counts)
+        return np.searchsorted(pair, np.arange(len(texts) + 1) * self.n), pair % self.n, n
 
 
 Vector = tuple[np.ndarray, np.ndarray]
@@ -77,6 +90,7 @@ class BlockMaxIndex:
     by_block: tuple[np.ndarray, np.ndarray, np.ndarray]  # starts, blocks, largest weights
     by_example: tuple[np.ndarray, np.ndarray, np.ndarray]  # starts, terms, weights
     top: np.ndarray
+    dense: np.ndarray | None = None  # a query by term, while it is asked
 
     @classmethod
     def build(cls, vectors: list[Vector], ids: list, labels: list[int], votes: list[float]) -> BlockMaxIndex:
@@ -106,6 +120,13 @@ class BlockMaxIndex:
         at, size = _lists(lists[0], terms)
         return np.bincount(lists[1][at], weights=np.repeat(weights, size) * lists[2][at], minlength=n).astype(np.float64)
 
+    def _whole(self, at: np.ndarray) -> np.ndarray:
+        """Similarities of the given examples with the query in ``dense``."""
+        if not len(at):
+            return np.zeros(0)
+        place, size = _lists(self.by_example[0], at)
+        return np.add.reduceat(self.dense[self.by_example[1][place]] * self.by_example[2][place], np.cumsum(size) - size)
+
     def nearest(self, query: Vector, k: int = K) -> Vector:
         """(examples, similarities) of the k most similar examples of similarity above 0, ties to the earlier one."""
         terms, weights = query
@@ -119,19 +140,25 @@ class BlockMaxIndex:
         n = len(self.labels)
         sims = self._sums(self.by_term, terms[:first], weights[:first], n)
         if first < len(terms) and n:
-            later = self._sums(self.by_block, terms[first:], weights[first:], -(-n // BLOCK))
-            upper = sims + np.repeat(later, BLOCK)[:n] * (1 + 1e-9)
-            floor = np.partition(sims, n - k)[n - k] if n > k else 0.0
-            at = np.flatnonzero((upper >= floor - 1e-11) & (upper > 0))
+            floor = (np.partition(sims, n - k)[n - k] if n > k else 0.0) - 1e-11
+            at = np.flatnonzero(sims + rest[first] * (1 + 1e-9) >= floor)
+            if len(at) > FEW:
+                later = self._sums(self.by_block, terms[first:], weights[first:], -(-n // BLOCK))
+                at = np.flatnonzero(sims + np.repeat(later, BLOCK)[:n] * (1 + 1e-9) >= floor)
             if len(at) * 8 > n:
                 sims += self._sums(self.by_term, terms[first:], weights[first:], n)
                 at = np.flatnonzero(sims > 0)
                 s = sims[at]
             else:
-                dense = np.zeros(len(self.top))
-                dense[terms] = weights
-                place, size = _lists(self.by_example[0], at)
-                s = np.add.reduceat(dense[self.by_example[1][place]] * self.by_example[2][place], np.cumsum(size) - size) if len(at) else np.zeros(0)
+                at = at[np.argsort(-sims[at], kind="stable")]
+                if self.dense is None:
+                    self.dense = np.zeros(len(self.top))
+                self.dense[terms] = weights
+                s = self._whole(at[:k])
+                if len(at) > k:  # the k-th of some is a better floor
+                    more = at[k:][sims[at[k:]] + rest[first] * (1 + 1e-9) >= s.min() - 1e-11]
+                    at, s = np.concatenate([at[:k], more]), np.concatenate([s, self._whole(more)])
+                self.dense[terms] = 0.0
         else:
             at = np.flatnonzero(sims > 0)
             s = sims[at]
@@ -153,17 +180,14 @@ def term_weights(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarray:
 
 @dataclass
 class ToxicityModel:
-    terms: list[str]
+    terms: np.ndarray
     weights: np.ndarray
     index: BlockMaxIndex
     base: float
 
-    def vector(self, counts: Counter) -> Vector:
-        """Terms and weights of the unit vector; both empty where no term weighs anything."""
-        t = np.fromiter(counts.keys(), dtype=np.int64, count=len(counts))
-        v = (1 + np.log(np.fromiter(counts.values(), dtype=np.float64, count=len(counts)))) * self.weights[t]
-        by = np.argsort(t)
-        t, v = t[by], v[by]
+    def vector(self, t: np.ndarray, n: np.ndarray) -> Vector:
+        """Terms and weights of the unit vector of terms that occur n times; both empty where no term weighs anything."""
+        v = (1 + np.log(n)) * self.weights[t]
         norm = float(np.sqrt((v * v).sum()))
         return (t[v > 0], v[v > 0] / norm) if norm else (t[:0], v[:0])
 
@@ -201,51 +225,56 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = sample.groupBy("id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     sample = materialize(sample, "toxic_examples")
 
-    def presence(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for t, y in zip(f["text"], f["y"], strict=True):
-                found = sorted({x for w in set(WORDS.findall(t.lower())) for x in terms_of(w)})
-                yield pd.DataFrame({"term": found, "y": int(y)})
+    def presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            y = np.asarray(b.column(1))
+            for of, key in term_occurrences(b.column(0).to_pylist()):
+                by = np.lexsort((of, key))
+                of, key = of[by], key[by]
+                new = np.concatenate([[True], (key[1:] != key[:-1]) | (of[1:] != of[:-1])]) if len(key) else np.zeros(0, dtype=bool)
+                found, at = np.unique(key[new], return_inverse=True)
+                n1 = np.bincount(at, weights=y[of[new]], minlength=len(found)).astype(np.int64)
+                n = np.bincount(at, minlength=len(found))
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n1), pa.array(n - n1)], names=["term", "a", "b"])
 
     n1, n0 = (sample.where(F.col("y") == y).count() for y in (1, 0))
-    table = sample.select("text", "y").mapInPandas(presence, "term string, y int").groupBy("term").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
-    table = table.toArrow().sort_by("term")  # bounded by the sample
-    terms = table.column("term").to_pylist()
+    table = sample.select("text", "y").mapInArrow(presence, "term long, a long, b long").groupBy("term").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).toArrow()  # bounded by the sample
+    terms = np.asarray(table.column("term")).view(np.uint64)
     tells = term_weights(np.asarray(table.column("a"), dtype=np.float64), np.asarray(table.column("b"), dtype=np.float64), n1, n0)
+    by = np.argsort(terms)
+    terms, tells = terms[by], tells[by]
     shared = docs.sparkSession.sparkContext.broadcast(terms)
 
-    def frequencies(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, df, total = TermCounts(shared.value), np.zeros(len(shared.value) + 1, dtype=np.int64), 0
-        for f in frames:
-            total += len(f)
-            for t in f["text"]:
-                found = list(count(t))
-                df[found] += 1
+        for b in batches:
+            total += b.num_rows
+            df[:-1] += np.bincount(count(b.column(0).to_pylist())[1], minlength=len(df) - 1)
         df[-1] = total
         there = np.flatnonzero(df)
-        yield pd.DataFrame({"term": there, "n": df[there]})
+        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(df[there])], names=["term", "n"])
 
     df = np.zeros(len(terms) + 1)
     with small_batches(docs.sparkSession):
-        found = text.select("text").mapInPandas(frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+        found = text.select("text").mapInArrow(frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     df[np.asarray(found.column("term"))] = np.asarray(found.column("n"))
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
 
-    def sparse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = TermCounts(shared.value)
-        for f in frames:
-            c = [sorted(count(t).items()) for t in f["text"]]
-            yield pd.DataFrame({"id": f["id"].astype(str), "y": f["y"], "t": [[k for k, _ in x] for x in c], "n": [[v for _, v in x] for x in c]})
+        for b in batches:
+            begin, term, n = count(b.column(2).to_pylist())
+            lists = [pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(x)) for x in (term, n)]
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.string()), b.column(1), *lists], names=["id", "y", "t", "n"])
 
-    got = sample.mapInPandas(sparse, "id string, y int, t array<int>, n array<int>").toArrow().sort_by("id")
+    got = sample.select("id", "y", "text").mapInArrow(sparse, "id string, y int, t array<bigint>, n array<bigint>").toArrow().sort_by("id")
     share = {y: totals.get(y, 0) / max(1, k) for y, k in ((0, n0), (1, n1))}  # each example stands for so many labelled rows
     top = max([*share.values(), 1e-9])
     model = ToxicityModel(terms, idf * tells, BlockMaxIndex.build([], [], [], []), 0.0)
     kept, none = [], Counter()
     for i in range(got.num_rows):
-        name, y, t, n = (got.column(x)[i] for x in ("id", "y", "t", "n"))
-        name, y = name.as_py(), y.as_py()
-        v = model.vector(Counter(dict(zip(t.as_py(), n.as_py(), strict=True))))
+        name, y = got.column("id")[i].as_py(), got.column("y")[i].as_py()
+        v = model.vector(*(np.asarray(got.column(x)[i].values) for x in ("t", "n")))
         none[y] += not len(v[0])
         if len(v[0]):
             kept.append((v, int(name) if name.lstrip("-").isdigit() else name, y, share[y] / top))
@@ -268,9 +297,19 @@ def scored(docs: DataFrame, model: ToxicityModel, text_col: str = "text", names:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        count = TermCounts(model.terms)
+        count, known = TermCounts(model.terms), {}
+
+        def scored(t: np.ndarray, n: np.ndarray) -> tuple[float, list, list[float]]:
+            same = hashlib.blake2b(t.tobytes() + n.tobytes(), digest_size=16).digest()  # copies are scored once
+            if same not in known:
+                if len(known) > 20_000:
+                    known.clear()
+                known[same] = model.score(model.vector(t, n))
+            return known[same]
+
         for b in batches:
-            out = [model.score(model.vector(count(t.as_py()))) for t in b.column(at)]
+            begin, term, n = count(b.column(at).to_pylist())
+            out = [scored(term[lo:hi], n[lo:hi]) for lo, hi in zip(begin, begin[1:], strict=False)]
             cols = [pa.array([o[0] for o in out], pa.float64()), pa.array([[str(x) for x in o[1]] for o in out], pa.list_(pa.string())), pa.array([o[2] for o in out], pa.list_(pa.float64()))]
             out_batch = pa.RecordBatch.from_arrays([*(b.column(i) for i in rest), *cols], names=[*(b.schema.names[i] for i in rest), *names])
             yield out_batch if below is None else out_batch.filter(pa.array([o[0] < below for o in out], pa.bool_()))
