@@ -59,12 +59,6 @@ def review_windows(marks: DataFrame, half: int, lengths: DataFrame, key: str = "
     return merged_spans(w, key)
 
 
-def masked_runs(windows: DataFrame, least: float, key: str = "video_id") -> DataFrame:
-    """Hop windows whose motion exceeds least, or is unknown there (then the run's motion counts) and in the run; merged where they touch."""
-    motion = F.coalesce("motion", "whole")
-    return merged_spans(windows.where(motion.isNull() | (motion > least)).select(key, F.col("lo").alias("a"), F.col("hi").alias("b")), key)
-
-
 def as_text(runs: DataFrame, key: str, name: str, none: str = "[]") -> DataFrame:
     """A JSON list of pairs for each key that has runs."""
     pair = F.concat(F.lit("["), F.col("a").cast("long").cast("string"), F.lit(", "), F.col("b").cast("long").cast("string"), F.lit("]"))

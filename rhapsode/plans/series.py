@@ -60,18 +60,6 @@ def merged(of: str, name: str = "m") -> str:
     {name}_g as (select *, sum(new) over (partition by video_id order by a, b rows unbounded preceding) as gg from {name}_n), {name} as (select video_id, min(a) as a, max(b) as b from {name}_g group by video_id, gg)"""
 
 
-@query("masked_runs", f"""with {QUALIFY}, {HOPS}, w as (select h.video_id, h.a, h.b, h.lo, least(h.lo + 6, h.b) as hi from h), mo as (select w.*, (select case when count(*) filter (where s.t % 2 = 0) >= 2 then stddev_pop(s.value) filter (where s.t % 2 = 0) end from series s where s.video_id = w.video_id and s.t >= w.lo and s.t < w.hi) as m,
-    (select stddev_pop(s.value) from series s where s.video_id = w.video_id and s.t >= w.a and s.t < w.b) as whole from w), k as (select video_id, lo as a, hi as b from mo where coalesce(m, whole) is null or coalesce(m, whole) > 30), {merged('k')} select video_id, a, b from m""", "series")
-def masked_runs(t: Tables) -> DataFrame:
-    w = R.hop_windows(_qualifying(t), 6)
-    at = w.withColumn("t", F.explode(F.sequence("lo", F.col("hi") - 1))).join(t.series.select("video_id", "t", "value"), ["video_id", "t"])
-    even = F.when(F.col("t") % 2 == 0, F.col("value"))
-    m = at.groupBy("video_id", "a", "b", "lo", "hi").agg(F.when(F.count(even) >= 2, F.stddev_pop(even)).alias("motion"))
-    runs = w.select("video_id", "a", "b").distinct()
-    whole = runs.withColumn("t", F.explode(F.sequence("a", F.col("b") - 1))).join(t.series.select("video_id", "t", "value"), ["video_id", "t"]).groupBy("video_id", "a", "b").agg(F.stddev_pop("value").alias("whole"))
-    return R.masked_runs(m.join(whole, ["video_id", "a", "b"]), 30.0)
-
-
 @query("merge_spans", f"with {merged('spans')} select video_id, a, b from m", "spans")
 def merge_spans(t: Tables) -> DataFrame:
     return R.merged_spans(t.spans)

@@ -464,9 +464,6 @@ def exactly_once_commit(t: Tables) -> DataFrame:
 
 # ---- checks
 
-RECORD = "r as (select *, cast(case when score > 0.3 then 1 else 0 end + case when score > 0.45 then 2 else 0 end + case when det < 3 and l % 50 <> 0 then 4 else 0 end as int) as flags, lag(score) over (partition by video_id, frame order by det) as before from (select *, video_id + frame + det as l from det))"
-
-
 def _record(t: Tables) -> DataFrame:
     bit = lambda c, v: F.when(c, v).otherwise(0)
     s = F.col("score")
@@ -474,27 +471,69 @@ def _record(t: Tables) -> DataFrame:
     return t.det.withColumn("flags", bit(s > 0.3, 1).bitwiseOR(bit(s > 0.45, 2)).bitwiseOR(bit((F.col("det") < 3) & odd, 4)))
 
 
-@query("structure_problems", "with b as (select frame from det where det < 0 or x2 < x1 or score is null or score > 1.0) select 'bad rows' as check, count(*) as n_frames, (select string_agg(cast(frame as varchar), ',' order by frame) from (select frame from b order by frame limit 5)) as first_frames from b having count(*) > 0", "det")
-def structure_problems(t: Tables) -> DataFrame:
-    bad = (F.col("det") < 0) | (F.col("x2") < F.col("x1")) | F.col("score").isNull() | (F.col("score") > 1.0)
-    return R.problem(t.det, "bad rows", bad)
+#: Faults of the stored record by arithmetic on frames: a score that rises, a count off by one, a posed row that lacks, one that is another, a primary off by one.
+FAULTS = {"scores": 31, "persons": 37, "fewer": 41, "other": 43, "primary": 47}
+AUDIT = f"""r as (select *, score + case when frame % {FAULTS['scores']} = 0 and det = 1 then 2 else 0 end as s, (x2 - x1) * (y2 - y1) as area, (score > 0.3) as f1, (score > 0.45) as f2, (det < 3 and (video_id + frame + det) % 50 <> 0) as f4 from det),
+    b as (select *, lag(s) over (partition by video_id, frame order by det) as before, row_number() over (partition by video_id, frame order by case when f1 then 0 else 1 end, area desc, det) as rank, sum(f4::int) over (partition by video_id, frame order by det) as np from r),
+    d as (select video_id, frame, bool_or(s > before) as rises, bool_or(f4 and not f1) as outside, count(*) filter (f2) as counted, count(*) filter (f4) as posed, max(det) filter (rank = 1 and f1) as chosen, bool_or(f4) filter (rank = 1 and f1) as chosen_posed, max(np - 1) filter (rank = 1 and f1) as place from b group by video_id, frame),
+    g as (select f.video_id, f.frame, coalesce(rises, false) as rises, coalesce(outside, false) as outside, coalesce(counted, 0) as counted, coalesce(posed, 0) as posed, chosen, coalesce(chosen_posed, false) as cp, place,
+    case when f.frame % {FAULTS['fewer']} = 0 then greatest(coalesce(posed, 0) - 1, 0) else coalesce(posed, 0) end as kept, f.frame % {FAULTS['other']} = 0 as other from frames f left join d on d.video_id = f.video_id and d.frame = f.frame),
+    h as (select *, coalesce(case when chosen is not null and cp and not other and place < kept then place end, -1) as spot, coalesce(case when chosen is not null and cp then place end, -1) + case when frame % {FAULTS['primary']} = 0 then 1 else 0 end as prim from g),
+    c as (select video_id, frame, unnest([case when rises then 'scores rise' end, case when outside then 'posed outside the pose set' end, case when frame % {FAULTS['persons']} = 0 then 'num_persons' end, case when posed <> kept then 'number of posed rows' end, case when posed = kept and kept > 0 and other then 'posed rows' end,
+    case when prim < -1 or prim >= kept then 'primary outside the posed rows' end, case when chosen is not null and spot < 0 then 'pick isn''t posed' end, case when (chosen is null or spot >= 0) and spot <> prim then 'primary isn''t the pick' end]) as check from h)"""
 
 
-def _check(name: str, of: str) -> str:
-    return f"select '{name}' as check, count(*) as n_frames, (select string_agg(cast(frame as varchar), ',' order by frame) from (select frame from {of} order by frame limit 5)) as first_frames from {of} having count(*) > 0"
+def _stored(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Frames, detections and posed rows of a record with FAULTS: posed rows other than theirs are numbered 100 higher."""
+    from pyspark.sql import Window
 
+    from ..operators.audit import largest
 
-@query("record_problems", f"with {RECORD}, a as (select frame from r where score > before), b as (select frame from r where (flags & 4) <> 0 and (flags & 1) = 0), c as (select frame from r group by video_id, frame having sum(case when (flags & 2) <> 0 then 1 else 0 end) > 7) {_check('scores increase', 'a')} union all {_check('posed outside the pose set', 'b')} union all {_check('count set too large', 'c')}", "det")
+    r = _record(t)
+    w = Window.partitionBy("video_id", "frame").orderBy("det")
+    posed = r.where(F.col("flags").bitwiseAND(4) != 0).withColumn("pos", F.row_number().over(w) - 1)
+    n = r.groupBy("video_id", "frame").agg(F.array_sort(F.collect_list(F.struct("det", "score", "flags", "x1", "y1", "x2", "y2"))).alias("d"))
+    chosen = n.select("video_id", "frame", F.size(F.filter("d", lambda x: x["flags"].bitwiseAND(2) != 0)).alias("counted"), largest(F.col("d")).alias("det"))
+    at = chosen.join(posed.select("video_id", "frame", "det", "pos"), ["video_id", "frame", "det"], "left")
+    off = lambda k: (F.col("frame") % FAULTS[k] == 0).cast("int")
+    frames = t.frames.join(at, ["video_id", "frame"], "left").select("video_id", "frame", (F.coalesce("counted", F.lit(0)) + off("persons")).alias("num_persons"), (F.coalesce("pos", F.lit(-1)) + off("primary")).alias("primary"))
+    last = F.lead("pos").over(w).isNull()
+    kept = posed.withColumn("last", last).where(~F.col("last") | (off("fewer") == 0))
+    return frames, r.withColumn("score", F.col("score") + F.when(F.col("det") == 1, off("scores") * 2).otherwise(0)), kept.select("video_id", "frame", "pos", (F.col("det") + 100 * off("other")).alias("det"))
+
+
+@query("record_problems", f"with {AUDIT} select video_id, \"check\", count(*) as n, array_to_string(list(frame order by frame)[1:5], ',') as first from c where \"check\" is not null group by video_id, \"check\"", "det frames")
 def record_problems(t: Tables) -> DataFrame:
-    from pyspark.sql import Window
+    """All checks of all frames in one pass, over a record with faults of each kind."""
+    from ..operators.audit import record_problems as audit
 
-    r = _record(t)
-    before = F.lag("score").over(Window.partitionBy("video_id", "frame").orderBy("det"))
-    f = F.col("flags")
-    a = R.problem(r.withColumn("before", before), "scores increase", F.col("score") > F.col("before"))
-    b = R.problem(r, "posed outside the pose set", (f.bitwiseAND(4) != 0) & (f.bitwiseAND(1) == 0))
-    n = r.groupBy("video_id", "frame").agg(F.sum((f.bitwiseAND(2) != 0).cast("int")).alias("n"))
-    return a.union(b).union(R.problem(n, "count set too large", F.col("n") > 7))
+    return audit(*_stored(t)).withColumn("first", F.concat_ws(",", "first"))
+
+
+STRUCTURE = """case video_id % 5 when 1 then 'det_scores has another number of rows than det_boxes' when 2 then 'det_offsets does not end at its rows' when 3 then 'bad rate' when 4 then 'primary outside the posed rows' end"""
+
+
+@query("structure_problems", f"select 'v' || video_id as video_id, {STRUCTURE} as problem from (select distinct video_id from frames) where video_id % 5 <> 0", "frames")
+def structure_problems(t: Tables) -> DataFrame:
+    """Record files with a fault of structure in all but every fifth: lengths, offsets, rates, primaries."""
+    return B.structure_problems(t.spark, _faulty(t))
+
+
+def _faulty(t: Tables) -> str:
+    path, _ = archives(t)
+    files = t.spark.read.format("binaryFile").option("pathGlobFilter", "*.npz").load(path).select("path", F.regexp_extract("path", r"v([0-9]+)\.npz$", 1).cast("long").alias("v"))
+    kind = F.element_at(F.array(F.lit("scores"), F.lit("offsets"), F.lit("rate"), F.lit("primary")), (F.col("v") % 5).cast("int"))
+    B.damage(files.where("v % 5 <> 0").select("path", kind.alias("kind")))
+    return path
+
+
+@query("check", f"""with p as (select 'v' || video_id as video_id, video_id as v, {STRUCTURE} as problem from (select distinct video_id from frames)), d as (select 'v' || f.video_id as video_id, count(*) as n from frames f left join (select video_id, frame, max(case when score > 0.9 then 1 else 0 end) as posed from det where det = 0 group by video_id, frame) x on x.video_id = f.video_id and x.frame = f.frame where coalesce(posed, 0) = 0 and x.frame is not null and f.video_id % 5 = 0 group by f.video_id)
+    select video_id, problem, 1::bigint as n from p where problem is not null union all select video_id, 'pick isn''t posed', n from d""", "frames det")
+def check(t: Tables) -> DataFrame:
+    """Structure, checksums, and the checks of records of sound structure, which lack a posed pick where its score is low."""
+    from ..operators.audit import first_listed
+
+    return B.check(t.spark, _faulty(t), pick=first_listed, skip=("posed outside the pose set", "number of posed rows", "posed rows", "scores rise"))
 
 
 @query("rule_primary", "with k as (select *, row_number() over (partition by video_id, frame order by (x2 - x1) * (y2 - y1) desc, det) as a from det where score > 0.3) select video_id, frame, det, det >= 3 as not_posed from k where a = 1", "det")
@@ -521,13 +560,6 @@ def derivation_problems(t: Tables) -> DataFrame:
     return t.clips.where(want != have).select("video_id")
 
 
-@query("check", f"with {RECORD}, a as (select frame from r where score > before), b as (select frame from r where (flags & 4) <> 0 and (flags & 1) = 0), s as (select frame from r where score < 0.012) {_check('scores increase', 'a')} union all {_check('posed outside the pose set', 'b')} union all {_check('faint', 's')}", "det")
-def check(t: Tables) -> DataFrame:
-    f = F.col("flags")
-    r = _record(t)
-    return record_problems(t).where("check <> 'count set too large'").union(R.problem(r, "faint", F.col("score") < 0.012))
-
-
 @query("dataset_contract", "select video_id, 'id' as problem from clips where not regexp_full_match(name, '[A-Za-z0-9._-]+') union all select video_id, 'split' from clips where split not in ('MACHINERY', 'BUILDING', 'AUTOMOBILE') union all select video_id, 'frames' from clips where expected_frames < 1000", "clips")
 def dataset_contract(t: Tables) -> DataFrame:
     c = t.clips

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..operators import incremental as I
+from ..operators import motion as M
 from ..operators import parity as Q
 from ..operators import select as S
 from ..operators import suppress as N
@@ -15,6 +16,8 @@ from ..streaming import streams as X
 from .fixtures import Tables
 from .frames import AREA, DIST, KEYS, MATCH, PRIMARY, _close, _moved, argbest
 from .registry import query
+from .scalars import joints
+from .series import merged
 from .tables import scratch
 
 BOXES = ["video_id", "frame", "det", "x1", "y1", "x2", "y2"]
@@ -81,13 +84,51 @@ def person_tracks(t: Tables) -> DataFrame:
     return K.person_tracks(_people(t)).select("video_id", "frame", "pos", "person")
 
 
-@query("arm_motion")
+BESIDE = """j as (select cast(floor(vec_id / 2) as bigint) % 5 as video_id, cast(floor(floor(vec_id / 2) / 5) as bigint) as frame, vec_id % 2 as pos, k, x, y, score > 0.1 as scored, score > 0.1 and x between -0.25 and 1.25 and y between -0.25 and 1.25 as seen from kpts),
+    f as (select video_id, frame, pos, count(*) filter (seen and k < 17) + case when bool_and(scored) filter (k in (5, 6)) and avg(x) filter (k in (5, 6)) between -0.25 and 1.25 and avg(y) filter (k in (5, 6)) between -0.25 and 1.25 then 1 else 0 end >= 8 as real,
+    bool_or(seen) filter (k between 7 and 10) as armed, bool_and(seen) filter (k in (5, 6)) as paired, sqrt(pow(max(x) filter (k = 6) - max(x) filter (k = 5), 2) + pow(max(y) filter (k = 6) - max(y) filter (k = 5), 2)) as d, avg(x) filter (k in (5, 6)) as mx, avg(y) filter (k in (5, 6)) as my from j group by all),
+    e as (select *, case when paired and d > 1e-6 then d end as width, pos = 1 and real and armed as extra from f)"""
+
+
+def motion_sql(of: str, name: str, least: int) -> str:
+    """Motion of windows (video_id, lo, hi), where a frame has one other person at most and people are followed over any jump."""
+    return f"""{name}_w as (select w.video_id, w.lo, w.hi, coalesce(bool_or(e.extra), false) as has_extra, median(e.width) filter (e.pos = 0) as med from (select distinct video_id, lo, hi from {of}) w left join e on e.video_id = w.video_id and e.frame >= w.lo and e.frame < w.hi group by all),
+    {name}_k as (select w.video_id, w.lo, w.hi, j.k, case when count(*) >= {least} then greatest(stddev_pop((j.x - e.mx) / s), stddev_pop((j.y - e.my) / s)) end as sd from {name}_w w join e on e.video_id = w.video_id and e.frame >= w.lo and e.frame < w.hi and e.extra and e.width is not null
+        left join e kept on kept.video_id = e.video_id and kept.frame = e.frame and kept.pos = 0, lateral (select greatest(coalesce(kept.width, w.med), 0.5 * w.med) as s) l join j on j.video_id = e.video_id and j.frame = e.frame and j.pos = 1 and j.seen and j.k between 7 and 10 where w.med is not null group by all),
+    {name} as (select w.video_id, w.lo, w.hi, case when max(sd) is not null then max(sd) when any_value(has_extra) then null else 0 end as motion from {name}_w w left join {name}_k k on k.video_id = w.video_id and k.lo = w.lo and k.hi = w.hi group by all)"""
+
+
+def _beside(t: Tables) -> DataFrame:
+    """Vectors two by two as the kept body of a frame and one beside it."""
+    v = F.col("vec_id")
+    pair = F.floor(v / 2)
+    points = F.transform("joints", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"), (p["score"] * 3).alias("score")))
+    rows = joints(t).select((pair % 5).alias("video_id"), F.floor(pair / 5).alias("frame"), (v % 2).alias("pos"), (v % 2 == 0).alias("kept"), points.alias("joints"))
+    return M.bodies(rows, 640 / 360)
+
+
+WINDOWS = "w as (select video_id, unnest(range(0, max(frame) + 1, 8)) as lo, lo + 16 as hi from f group by video_id)"
+
+
+@query("arm_motion", f"with {BESIDE}, {WINDOWS}, {motion_sql('w', 'm', 4)} select video_id, lo, hi, round(motion, 6) as motion from m", "kpts")
 def arm_motion(t: Tables) -> DataFrame:
-    """Motion per video and window of 50 frames; people are followed within a window only."""
-    p = _people(t).withColumn("window", F.floor(F.col("frame") / 50))
-    people = K.person_tracks(p, keys=("video_id", "window"))
-    out = K.pooled_std(people, ["video_id", "window"], [("cx", "cy")], 3)
-    return out.select("video_id", "window", F.round("motion", 9).alias("motion"))
+    """Windows of 16 frames at steps of 8; people are linked within each, over any jump, as a frame has one beside the kept one at most."""
+    b = _beside(t)
+    w = b.groupBy("video_id").agg(F.max("frame").alias("n")).select("video_id", F.explode(F.sequence(F.lit(0).cast("bigint"), "n", F.lit(8).cast("bigint"))).alias("lo"))
+    return M.arm_motion(b, w.withColumn("hi", F.col("lo") + 16), 4, 1e9).withColumn("motion", F.round("motion", 6))
+
+
+MASKED = """q as (select video_id, frame as t, case when frame - lag(frame) over (partition by video_id order by frame) <= 2 then 0 else 1 end as new from (select video_id, frame from f group by video_id, frame having count(*) filter (real) >= 2)), qg as (select *, sum(new) over (partition by video_id order by t) as g from q),
+    qr as (select video_id, min(t) as a, max(t) + 1 as b from qg group by video_id, g having max(t) + 1 - min(t) >= 2), h as (select video_id, a, b, unnest(case when b - 6 > a then list_append(range(a, b - 6, 3), greatest(a, b - 6)) else [greatest(a, b - 6)] end) as lo from qr), w as (select *, least(lo + 6, b) as hi from h), r as (select distinct video_id, a as lo, b as hi from w)"""
+
+
+@query("masked_runs", f"""with {BESIDE}, {MASKED}, {motion_sql('w', 'm', 4)}, {motion_sql('r', 'n', 4)}, k as (select w.video_id, w.lo as a, w.hi as b from w join m on m.video_id = w.video_id and m.lo = w.lo and m.hi = w.hi join n on n.video_id = w.video_id and n.lo = w.a and n.hi = w.b
+    where coalesce(m.motion, n.motion) is null or coalesce(m.motion, n.motion) > 0.7), {merged('k', 'runs')} select video_id, a, b from runs""", "kpts")
+def masked_runs(t: Tables) -> DataFrame:
+    """Runs of frames with two real bodies, at most 2 apart, in windows of 6."""
+    b = _beside(t)
+    limits = b.select("video_id").distinct().select("video_id", F.lit(2).cast("bigint").alias("gap"), F.lit(6).cast("bigint").alias("block"))
+    return M.masked_runs(b, limits, 0.7, 4, 1e9)
 
 
 @query("fma32", """with v as (select video_id, frame, det, score::float::double * x1::float::double as p, y1::float::double as z from det), s as (select *, p + z as s from v),

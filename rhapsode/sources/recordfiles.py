@@ -173,6 +173,7 @@ class RecordReader(DataSourceReader):
     def __init__(self, options: dict, schema):
         self.folder, self.table = options["path"], options.get("table", "detections")
         self.block = int(options.get("block_bytes", PARTITION_BYTES))
+        self.sound_only = str(options.get("sound_only", "false")).lower() == "true"
         self.names = schema.fieldNames()
         self.arrow = schema
         self.videos: set[str] | None = None
@@ -211,6 +212,8 @@ class RecordReader(DataSourceReader):
         with store.open_input_file(at) as raw:
             try:
                 archive = Archive(raw)
+                if self.sound_only and next(faults_of(archive, block.video), None) is not None:
+                    return
                 if self.table == "rates":
                     fps = archive.rows("fps")
                     parts = iter([{"fps_num": [int(fps[0])], "fps_den": [int(fps[1])]}])
@@ -275,11 +278,13 @@ class RecordFiles(DataSource):
         return ChunkWriter(self.options["path"], self.options["job"])
 
 
-def read_records(spark: SparkSession, folder: str, table: str, columns: list[str] | None = None) -> DataFrame:
-    """A table of record files. Filters on video_id and frame reach the files (this switches on pushdown to Python sources for the session)."""
+def read_records(spark: SparkSession, folder: str, table: str, columns: list[str] | None = None, sound_only: bool = False) -> DataFrame:
+    """A table of record files. Filters on video_id and frame reach the files (this switches on pushdown to Python sources for the session).
+
+    sound_only: archives with a fault of structure are passed over instead of being an error."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(RecordFiles)
-    reader = spark.read.format("record_files").option("path", qualified(spark, folder)).option("table", table)
+    reader = spark.read.format("record_files").option("path", qualified(spark, folder)).option("table", table).option("sound_only", sound_only)
     return (reader.option("columns", ",".join(columns)) if columns else reader).load()
 
 
@@ -593,6 +598,92 @@ def crc_problems(spark: SparkSession, folder: str, block: int = CRC_BLOCK) -> Da
     return bad
 
 
+def faults_of(archive: Archive, stem: str) -> Iterator[str]:
+    """What is wrong with an archive's members; boxes and keypoints aren't read."""
+    lacking = [k for k in MEMBERS if k not in archive.info]
+    if lacking:
+        yield f"missing members {lacking}"
+        return
+    shape = {}
+    for k in MEMBERS:
+        try:
+            shape[k] = archive.member(k).shape
+        except ValueError as e:
+            yield str(e)
+    if len(shape) < len(MEMBERS):
+        return
+    t, n, m = archive.one("num_frames"), shape["det_boxes"][0], shape["kpts"][0]
+    if archive.one("schema_version") != VERSION:
+        yield f"schema_version isn't {VERSION}"
+    if archive.one("video_id") != stem:
+        yield "another video's file"
+    if t < 1:
+        yield "no frames"
+    rows = {"det_scores": ("det_boxes", n), "det_flags": ("det_boxes", n), "kpt_det": ("kpts", m), "num_persons": ("num_frames", t), "kpt_primary": ("num_frames", t), "det_offsets": ("num_frames", t + 1), "kpt_offsets": ("num_frames", t + 1)}
+    wrong = [k for k, (_, size) in rows.items() if shape[k][0] != size]
+    yield from (f"{k} has another number of rows than {rows[k][0]}" for k in wrong)
+    if shape["frame_size"] != (2,) or (archive.rows("frame_size") < 1).any():
+        yield "bad frame size"
+    if shape["fps"] != (2,) or (archive.rows("fps") < 1).any():
+        yield "bad rate"
+    if wrong:
+        return
+    for k, size in (("det_offsets", n), ("kpt_offsets", m)):
+        x = archive.rows(k)
+        if x[0] != 0 or (np.diff(x) < 0).any():
+            yield f"{k} doesn't rise from 0"
+        elif x[-1] != size:
+            yield f"{k} does not end at its rows"
+    det = archive.rows("kpt_det")
+    if m and not (0 <= det.min() and det.max() < n):
+        yield "kpt_det outside the detections"
+    primary = archive.rows("kpt_primary").astype("i8")
+    if ((primary < -1) | (primary >= np.diff(archive.rows("kpt_offsets")))).any():
+        yield "primary outside the posed rows"
+
+
+def structure_problems(spark: SparkSession, folder: str) -> DataFrame:
+    """(video_id, problem) of archives whose members have wrong types, shapes or indices: what makes other checks meaningless.
+
+    Headers, offsets and numbers a frame or row are read, boxes and keypoints aren't."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.npz").option("recursiveFileLookup", True).load(folder).select("path")
+
+    def run(frames):
+        import pandas as pd
+
+        for f in frames:
+            out = []
+            for path in f["path"]:
+                store, at = _store(path)
+                stem = posixpath.basename(at)[:-4]
+                with store.open_input_file(at) as raw:
+                    try:
+                        out += [(stem, p) for p in faults_of(Archive(raw), stem)]
+                    except (zipfile.BadZipFile, ValueError, struct.error) as e:
+                        out.append((stem, str(e)))
+            yield pd.DataFrame(out, columns=["video_id", "problem"])
+
+    return files.mapInPandas(run, "video_id string, problem string")
+
+
+def check(spark: SparkSession, folder: str, pick=None, crc: bool = True, records: bool = True, skip: tuple[str, ...] = ()) -> DataFrame:
+    """(video_id, problem, n) of a folder of archives: structure, checksums (crc), and the frames of records of sound structure (records), whose rule picks by
+    ``pick``; ``skip``: checks of frames that are left out."""
+    from ..operators.audit import frames_of, local_posed, record_checks, tally
+
+    out = structure_problems(spark, folder).select("video_id", "problem", F.lit(1).cast("long").alias("n"))
+    if crc:
+        bad = crc_problems(spark, folder)
+        out = out.union(bad.select(F.regexp_extract("path", r"([^/]+)\.npz$", 1), F.concat("member", F.lit(": "), "problem"), F.lit(1).cast("long")))
+    if records:
+        of = lambda table, columns: read_records(spark, folder, table, columns, sound_only=True)
+        d = of("detections", None)
+        rows = frames_of(of("frames", None), d, local_posed(of("posed", ["video_id", "frame", "pos", "det"]), d))
+        checks = {k: v for k, v in record_checks(pick).items() if k not in skip}
+        out = out.union(tally(rows, checks).select("video_id", F.col("check").alias("problem"), "n"))
+    return out
+
+
 def flip_bit(files: DataFrame) -> None:
     """Damages stored members (path, member): one bit of the number in the middle is flipped. For tests of what should find it."""
 
@@ -610,3 +701,27 @@ def flip_bit(files: DataFrame) -> None:
             yield f
 
     files.mapInPandas(run, "path string, member string").count()
+
+
+def damage(files: DataFrame) -> None:
+    """Rewrites archives (path, kind) with a fault of structure: scores, offsets, rate or primary. For tests of what should find it."""
+
+    def run(frames):
+        for f in frames:
+            for path, kind in zip(f["path"], f["kind"], strict=True):
+                store, at = _store(path)
+                with store.open_input_file(at) as raw, np.load(raw) as z:
+                    m = {k: z[k].copy() for k in z.files}
+                if kind == "scores":
+                    m["det_scores"] = m["det_scores"][:-1]
+                elif kind == "offsets":
+                    m["det_offsets"][-1] += 1
+                elif kind == "rate":
+                    m["fps"][1] = 0
+                elif kind == "primary":
+                    m["kpt_primary"][0] = 100
+                with store.open_output_stream(at) as out:
+                    np.savez(out, **m)
+            yield f
+
+    files.mapInPandas(run, "path string, kind string").count()
