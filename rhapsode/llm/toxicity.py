@@ -97,22 +97,25 @@ class BlockMaxIndex:
         strongest = [int(t[np.argmax(w)]) for t, w in vectors]
         order = sorted(range(len(vectors)), key=lambda e: (strongest[e], e))
         sizes = np.array([len(vectors[e][0]) for e in order], dtype=np.int64)
-        flat = lambda k, kind: np.concatenate([np.zeros(0, dtype=kind), *(vectors[e][k] for e in order)]).astype(kind)
-        terms, weights, example = flat(0, np.int64), flat(1, np.float64), np.repeat(np.arange(len(order)), sizes)
+        flat = lambda k, kind: np.concatenate([np.zeros(0, dtype=kind), *(vectors[e][k].astype(kind) for e in order)])
+        terms, weights = flat(0, np.int32), flat(1, np.float64)
         n_terms = int(terms.max()) + 1 if len(terms) else 0
-        starts = lambda keys, n: np.searchsorted(keys, np.arange(n + 1))
-        by = np.lexsort((example, terms))
-        t, e, w = terms[by], example[by], weights[by]
-        cut = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (e[1:] // BLOCK != e[:-1] // BLOCK)])) if len(t) else np.zeros(0, dtype=np.int64)
+        by = np.argsort(terms, kind="stable")
+        t, w = terms[by], weights[by]
+        e = np.repeat(np.arange(len(order), dtype=np.int32), sizes)[by]
+        del by
+        starts = lambda keys, n: np.searchsorted(keys, np.arange(n + 1, dtype=keys.dtype))
+        block = e // np.int32(BLOCK)
+        cut = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (block[1:] != block[:-1])])) if len(t) else np.zeros(0, dtype=np.int64)
         most = np.maximum.reduceat(w, cut) if len(t) else w
         top = np.zeros(n_terms)
-        np.maximum.at(top, t, w)
+        np.maximum.at(top, t[cut], most)
         take = lambda v, kind: np.array([v[x] for x in order], dtype=kind)
         return cls(
             take(ids, object), take(labels, np.int64), take(votes, np.float64),
-            (starts(t, n_terms), e.astype(np.int32), w),
-            (starts(t[cut], n_terms), (e[cut] // BLOCK).astype(np.int32), most),
-            (np.concatenate([[0], np.cumsum(sizes)]), terms.astype(np.int32), weights),
+            (starts(t, n_terms), e, w),
+            (starts(t[cut], n_terms), block[cut], most),
+            (np.concatenate([[0], np.cumsum(sizes)]), terms, weights),
             top,
         )
 
@@ -278,6 +281,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         none[y] += not len(v[0])
         if len(v[0]):
             kept.append((v, int(name) if name.lstrip("-").isdigit() else name, y, share[y] / top))
+    del got, table, found
+    pa.default_memory_pool().release_unused()
     model.index = BlockMaxIndex.build(*([k[i] for k in kept] for i in range(4)))
     clean, toxic = none[0] * share[0], none[1] * share[1]
     model.base = (toxic + 0.5) / (clean + toxic + 10)
