@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -102,26 +103,72 @@ class Linker:
         return out
 
 
+def parts_of(boxes: DataFrame, max_gap: Frames) -> DataFrame:
+    """(video_id, frame, part): frames with boxes; a part begins where none were for longer than max_gap, so that no track reaches over."""
+    frames = boxes.groupBy("video_id", "frame").agg(F.max(per_video(max_gap)).alias("gap"))
+    w = Window.partitionBy("video_id").orderBy("frame")
+    new = F.coalesce(F.col("frame") - F.lag("frame").over(w) - 1 > F.col("gap"), F.lit(True))
+    return frames.withColumn("new", new.cast("long")).select("video_id", "frame", "gap", F.sum("new").over(w).alias("part"))
+
+
 def link_tracks(boxes: DataFrame, link_iou: float = 0.5, max_gap: Frames = 25, keep: tuple[str, ...] = ()) -> DataFrame:
     """(video_id, frame, det, track, keep): ids count from 0 in each video, in the order of first frames. keep: columns of boxes that come along.
 
-    A video's boxes are read by one task, since each frame depends on the one before; videos are independent.
+    Parts of a video between which every track has ended are linked by tasks of their own, and their ids shifted by the tracks before. A part is read as a stream in
+    the order of frames: only open tracks and one frame are held, however long it is.
     """
-
-    def run(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values(["frame", "det"], kind="stable")
-        xy, linker, out = f[["x1", "y1", "x2", "y2"]].to_numpy(dtype=np.float64), Linker(link_iou, int(f["max_gap"].iloc[0])), []
-        frame = f["frame"].to_numpy()
-        cuts = np.flatnonzero(np.diff(frame)) + 1
-        for lo, hi in zip([0, *cuts], [*cuts, len(f)], strict=True):
-            if hi > lo:
-                out += linker.frame(int(frame[lo]), xy[lo:hi])
-        return f.assign(track=np.array(out, dtype=np.int64))[["video_id", "frame", "det", "track", *keep]]
-
     cols = ["video_id", "frame", "det", "x1", "y1", "x2", "y2"]
+    parts = settled(parts_of(boxes, max_gap))
+    read = boxes.select(*cols, *[c for c in keep if c not in cols]).join(parts, ["video_id", "frame"])
+    out = ["video_id", "part", "frame", "det", "track", *keep]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        linker, now = None, None
+
+        def linked(t: pa.Table) -> pa.RecordBatch:
+            nonlocal linker, now
+            video, part, frame, gap = (np.asarray(t.column(c)) for c in ("video_id", "part", "frame", "gap"))
+            xy = np.stack([np.asarray(t.column(c), dtype=np.float64) for c in ("x1", "y1", "x2", "y2")], axis=1)
+            cuts, ids = starts_of(video, part, frame), []
+            for lo, hi in zip(cuts, [*cuts[1:], len(frame)], strict=True):
+                if now != (video[lo], part[lo]):
+                    now, linker = (video[lo], part[lo]), Linker(link_iou, int(gap[lo]))
+                ids += linker.frame(int(frame[lo]), xy[lo:hi])
+            t = t.append_column("track", pa.array(np.array(ids, dtype=np.int64))).select(out)
+            return t.combine_chunks().to_batches()[0]
+
+        held = None
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            t = t if held is None else pa.concat_tables([held, t]).combine_chunks()
+            if not t.num_rows:
+                continue
+            last = int(starts_of(*(np.asarray(t.column(c)) for c in ("video_id", "part", "frame")))[-1])  # the last frame may go on in the next batch
+            if last:
+                yield linked(t.slice(0, last))
+            held = t.slice(last)
+        if held is not None and held.num_rows:
+            yield linked(held)
+
     kinds = "".join(f", {c} {boxes.schema[c].dataType.simpleString()}" for c in keep)
-    read = boxes.select(*cols, *[c for c in keep if c not in cols], per_video(max_gap).alias("max_gap"))
-    return read.groupBy("video_id").applyInPandas(run, f"video_id long, frame long, det long, track long{kinds}")
+    rows = read.withColumns({c: F.col(c).cast("long") for c in ("video_id", "frame", "det")}).repartition("video_id", "part").sortWithinPartitions("video_id", "part", "frame", "det")
+    got = rows.mapInArrow(run, f"video_id long, part long, frame long, det long, track long{kinds}")
+    if parts.where("part > 1").limit(1).count() == 0:
+        return got.drop("part")
+    got = settled(got)
+    n = got.groupBy("video_id", "part").agg((F.max("track") + 1).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("video_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    n = n.select("video_id", "part", F.coalesce(before, F.lit(0)).alias("before"))
+    return got.join(n, ["video_id", "part"]).withColumn("track", F.col("track") + F.col("before")).select("video_id", "frame", "det", "track", *keep)
+
+
+def starts_of(*keys: np.ndarray) -> np.ndarray:
+    """Where a new combination of keys begins, the first row included."""
+    new = np.zeros(len(keys[0]), dtype=bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(new)
 
 
 def track_summary(rows: DataFrame, least: Frames = 1, width: str | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
