@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 
 import corpus_pipeline
+from rhapsode.llm import toxicity
 from rhapsode.llm.common import load, materialize
 from rhapsode.llm.queries import SQL
 
@@ -29,11 +30,12 @@ def test_stages(spark):
             assert out.columns == columns
         docs = out
 
-    before, after = kept["toxicity"]
-    toxic = {r["doc_id"] for r in load(spark, SF, "labels").where("toxic = 1").collect()}
-    gone = {r["doc_id"] for r in before} - {r["doc_id"] for r in after}
-    clean = {r["doc_id"] for r in load(spark, SF, "labels").where("toxic = 0").collect()}
-    assert len(gone & clean) <= 0.02 * len(clean) and len(after) + len(gone) == len(before) and toxic
+    before, after = kept["toxicity"]  # the scores themselves are held to brute force in test_toxicity
+    scores = toxicity.toxicity_scores(load(spark, SF, "documents"), load(spark, SF, "labels")).collect()
+    rejected = {r["doc_id"] for r in scores if r["score"] >= 0.5}
+    assert [r["doc_id"] for r in before if r["doc_id"] not in rejected] == sorted(r["doc_id"] for r in after)
+    toxic, clean = ({r["doc_id"] for r in load(spark, SF, "labels").where(f"toxic = {y}").collect()} for y in (1, 0))
+    assert len(rejected & toxic) >= 0.5 * len(toxic) > 0 and len(rejected & clean) <= 0.02 * len(clean)
 
     before, after = kept["near_duplicates"]
     comp = brute_components([(r["doc_id"], brute_fingerprint(r["text"])) for r in before])
