@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import ranges as W
 from ..operators import runs as R
 from ..operators import tracks as K
+from ..operators.stage import settled
 from .fixtures import Tables
 from .registry import query
 
@@ -144,8 +145,8 @@ STEADY = f"""{SEGMENTS}, sp as (select video_id, segment, min(frame) as lo, max(
     steady as (select video_id, segment, t, cast(cover as bigint) as cover from co where cover >= 0.6 * (least(hi, t + 10) - greatest(lo, t - 10) + 1) and moving >= 0.2 * cover)"""
 
 
-def _steady(t: Tables) -> DataFrame:
-    return K.steady_segments(_segments(t).withColumn("active", F.col("score") > 0.7), 10, 0.6, 0.2)
+def _steady(t: Tables, seg: DataFrame | None = None) -> DataFrame:
+    return K.steady_segments((_segments(t) if seg is None else seg).withColumn("active", F.col("score") > 0.7), 10, 0.6, 0.2)
 
 
 @query("presence_density", f"with {STEADY} select video_id, segment, t, cover from steady", "det")
@@ -157,32 +158,34 @@ INFO = "inf as (select video_id, segment, min(spot) as prior, count(*) as presen
 BEST = f"{STEADY}, {INFO}, best as (select video_id, t, segment from (select s.*, row_number() over (partition by s.video_id, t order by cover desc, prior desc, presence desc, s.segment) as k from steady s join inf on s.video_id = inf.video_id and s.segment = inf.segment) where k = 1)"
 
 
-def _info(t: Tables) -> DataFrame:
-    return _segments(t).groupBy("video_id", "segment").agg(F.min("spot").alias("prior"), F.count("*").alias("presence"), F.min("spot").alias("spot"), F.min("frame").alias("lo"), F.max("frame").alias("hi"))
+def _info(seg: DataFrame) -> DataFrame:
+    return seg.groupBy("video_id", "segment").agg(F.min("spot").alias("prior"), F.count("*").alias("presence"), F.min("spot").alias("spot"), F.min("frame").alias("lo"), F.max("frame").alias("hi"))
 
 
 @query("segment_per_frame", f"with {BEST} select video_id, t, segment from best", "det")
 def segment_per_frame(t: Tables) -> DataFrame:
-    return K.segment_per_frame(_steady(t), _info(t).select("video_id", "segment", "prior", "presence"))
+    seg = settled(_segments(t))
+    return K.segment_per_frame(_steady(t, seg), _info(seg).select("video_id", "segment", "prior", "presence"))
 
 
 MAIN = f"{BEST}, own as (select video_id, max(segment) as m, t from (select video_id, segment, unnest(range(lo, hi + 1)) as t from inf where spot = 2) group by video_id, t), ch as (select coalesce(b.video_id, o.video_id) as video_id, coalesce(b.t, o.t) as t, coalesce(o.m, b.segment) as segment from best b full join own o on b.video_id = o.video_id and b.t = o.t)"
 
 
-def _chosen(t: Tables) -> DataFrame:
-    best = K.segment_per_frame(_steady(t), _info(t).select("video_id", "segment", "prior", "presence"))
-    return K.with_main(best, _info(t).where("spot = 2").select("video_id", "segment", "lo", "hi"))
+def _chosen(t: Tables, seg: DataFrame) -> DataFrame:
+    best = K.segment_per_frame(_steady(t, seg), _info(seg).select("video_id", "segment", "prior", "presence"))
+    return K.with_main(best, _info(seg).where("spot = 2").select("video_id", "segment", "lo", "hi"))
 
 
 @query("main_override", f"with {MAIN} select video_id, t, segment from ch", "det")
 def main_override(t: Tables) -> DataFrame:
-    return _chosen(t)
+    return _chosen(t, settled(_segments(t)))
 
 
 @query("choice", f"with {MAIN} select ch.video_id, ch.t, ch.segment, seg.det from ch join seg on ch.video_id = seg.video_id and ch.segment = seg.segment and ch.t = seg.frame", "det")
 def choice(t: Tables) -> DataFrame:
-    at = _segments(t).select("video_id", "segment", F.col("frame").alias("t"), "det")
-    return _chosen(t).join(at, ["video_id", "segment", "t"]).select("video_id", "t", "segment", "det")
+    seg = settled(_segments(t))
+    at = seg.select("video_id", "segment", F.col("frame").alias("t"), "det")
+    return _chosen(t, seg).join(at, ["video_id", "segment", "t"]).select("video_id", "t", "segment", "det")
 
 
 GAPS = f"""{SEGMENTS}, {INFO}, ms as (select * from inf where spot = 2), gt as (select ms.video_id, ms.segment as own, unnest(range(lo, hi + 1)) as t from ms), sn as (select distinct video_id, frame as t from seg where spot = 2),
@@ -193,8 +196,8 @@ GAPS = f"""{SEGMENTS}, {INFO}, ms as (select * from inf where spot = 2), gt as (
 
 @query("gap_signers", f"with {GAPS} select video_id, a, b, segment from gs", "det")
 def gap_signers(t: Tables) -> DataFrame:
-    seg = _segments(t).withColumn("active", F.col("score") > 0.7)
-    return K.gap_signers(seg, _info(t).where("spot = 2"), 3, 0.3, 0.2)
+    seg = settled(_segments(t)).withColumn("active", F.col("score") > 0.7)
+    return K.gap_signers(seg, _info(seg).where("spot = 2"), 3, 0.3, 0.2)
 
 
 @query("eta_window", "select video_id, t, round(case when t > first_value(t) over w then (value - first_value(value) over w) / (t - first_value(t) over w) end, 6) as rate from series window w as (partition by video_id order by t rows between 10 preceding and current row)", "series")

@@ -318,6 +318,22 @@ def follow_commits(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).groupBy("part").agg(F.count("*").alias("n"))
 
 
+@query("follow_grace", "select e.event_id, e.user_id as video_id, (select min(c.ts) from events c where c.event_type = 'purchase' and c.user_id = e.user_id and c.ts >= e.ts and c.ts <= e.ts + interval 6 hour) as committed_at from events e where e.event_type = 'view'")
+def follow_grace(t: Tables) -> DataFrame:
+    """Videos that get their commit within a grace period of six hours, and those that don't, from two streams of files in the order of time; a last row in the far future ends the wait."""
+    e = t.events.select("event_id", F.col("user_id").alias("video_id"), F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    span = e.agg(F.min("ts").cast("long").alias("lo"), ((F.max("ts").cast("long") - F.min("ts").cast("long")) / 4 + 1).alias("size"))
+    rows = e.crossJoin(F.broadcast(span)).withColumn("chunk", F.floor((F.col("ts").cast("long") - F.col("lo")) / F.col("size"))).drop("lo", "size")  # one row
+    end = t.spark.sql("select -1L event_id, -1L video_id, timestamp '2200-01-01' ts, explode(array('view', 'purchase')) event_type, 9L chunk")
+    rows = rows.withColumn("chunk", F.col("chunk").cast("long")).unionByName(end)
+    path = scratch(t, "grace")
+    seen = _chunks(t, "expected", rows.where("event_type = 'view'"), "chunk").select("event_id", "video_id", "ts")
+    done = _chunks(t, "commits", rows.where("event_type = 'purchase'"), "chunk").select("video_id", "ts")
+    X.run_to_table(X.followed(seen, done, "6 hours", "1 day"), path)
+    got = t.spark.read.parquet(path).where("event_id >= 0").groupBy("event_id", "video_id").agg(F.min("committed_at").alias("committed_at"))
+    return got.withColumn("committed_at", F.col("committed_at").cast("timestamp_ntz"))
+
+
 @query("settings_validation", """select name, value, case when name = 'max_posed' then value between 1 and 127 when name in ('det_batch', 'max_chunk_frames') then value >= 1
     when name in ('pose_score', 'count_score') then value between 0.1 and 1 when name = 'cand_score' then value between 0 and 0.3 else value between 0 and 1 end as accepted
     from (select unnest(['cand_score', 'pose_score', 'count_score', 'pose_iou', 'count_iou', 'max_posed', 'det_batch', 'max_chunk_frames']) as name), (select unnest([-1.0, 0.0, 0.05, 0.2, 0.5, 1.0, 2.0, 127.0, 128.0])::double as value)""")

@@ -70,6 +70,18 @@ def contiguous(chunks: DataFrame) -> DataFrame:
     return chunks.groupBy("video_id").applyInPandasWithState(step, "video_id long, frames long", "so_far long", "update", GroupStateTimeout.NoTimeout)
 
 
+def followed(expected: DataFrame, commits: DataFrame, grace: str, late: str) -> DataFrame:
+    """(key, video_id, ts, committed_at): each expected row (key, video_id, ts) with each commit (video_id, ts) of its video up to ``grace`` after it, or once with null when the
+    watermark has passed that time without one.
+
+    A stream-stream outer join: state holds what is within grace and lateness, and rows later than ``late`` behind the newest of their stream are dropped.
+    """
+    e = expected.withWatermark("ts", late)
+    c = commits.select(F.col("video_id").alias("of"), F.col("ts").alias("committed_at")).withWatermark("committed_at", late)
+    within = (F.col("video_id") == F.col("of")) & (F.col("committed_at") >= F.col("ts")) & (F.col("committed_at") <= F.col("ts") + F.expr(f"interval {grace}"))
+    return e.join(c, within, "leftOuter").drop("of")
+
+
 def run_to_table(stream: DataFrame, path: str, mode: str = "append", each: Callable[[DataFrame, int], None] | None = None) -> None:
     """Runs a stream over all that is there now (with backpressure as its source sets it) into Parquet, or through ``each``."""
     w = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}.state").trigger(availableNow=True)
