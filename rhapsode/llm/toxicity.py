@@ -34,7 +34,7 @@ SLACK = 0.02
 FEW = 100
 #: Every byte that no word holds becomes a space.
 _LETTERS = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
-PIECE = 4 << 20
+PIECE, ROWS = 1 << 20, 256
 
 
 def term_occurrences(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -312,7 +312,7 @@ def scored(docs: DataFrame, model: ToxicityModel, text_col: str = "text", names:
                 known[same] = model.score(model.vector(t, n))
             return known[same]
 
-        for b in batches:
+        for b in (whole.slice(lo, ROWS) for whole in batches for lo in range(0, whole.num_rows, ROWS)):
             begin, term, n = count(b.column(at).to_pylist())
             out = [scored(term[lo:hi], n[lo:hi]) for lo, hi in zip(begin, begin[1:], strict=False)]
             cols = [pa.array([o[0] for o in out], pa.float64()), pa.array([[str(x) for x in o[1]] for o in out], pa.list_(pa.string())), pa.array([o[2] for o in out], pa.list_(pa.float64()))]
