@@ -246,6 +246,17 @@ def decode_log_sessions(t: Tables) -> DataFrame:
     return I.log_sessions(log_lines(t)).select("video_id", F.size("lines").alias("n_lines"), F.col("lines")[0].alias("first_line"))
 
 
+@query("decode_log_stream")
+def decode_log_stream(t: Tables) -> DataFrame:
+    """The same from logs that grow, in four batches."""
+    lines = log_lines(t)
+    size = lines.agg(F.ceil((F.max("n") + 1) / 4).alias("size"))
+    rows = lines.join(F.broadcast(size)).withColumn("chunk", F.floor(F.col("n") / F.col("size"))).drop("size")  # one row
+    path = scratch(t, "sessions")
+    X.run_to_table(X.log_sessions(_chunks(t, "lines", rows, "chunk").select("log", "n", "line")), path)
+    return X.last_sessions(t.spark.read.parquet(path)).select("video_id", F.size("lines").alias("n_lines"), F.col("lines")[0].alias("first_line"))
+
+
 # ---- streams
 
 def _event_stream(t: Tables) -> DataFrame:

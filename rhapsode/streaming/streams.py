@@ -82,6 +82,67 @@ def followed(expected: DataFrame, commits: DataFrame, grace: str, late: str) ->
     return e.join(c, within, "leftOuter").drop("of")
 
 
+def log_sessions(lines: DataFrame) -> DataFrame:
+    """(video_id, log, at, session, n, lines): what ``incremental.log_sessions`` finds, as logs grow; lines (log, n, line) of a log must come in order over the batches.
+
+    A row comes for a COMMIT, with the lines of the video's last session so far, and again when that session, still open, has got more. The row of the greatest (log, at, session, n) is the
+    video's state; ``last_sessions`` takes it. State of a log: its session, and the last and the committed session of each video.
+    """
+    import re
+
+    from ..operators.incremental import MARKER, REPEATED
+
+    marker, repeated = re.compile(MARKER), re.compile(REPEATED)
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        s = json.loads(state.get[0]) if state.exists else {"session": 0, "video": None, "ended": False, "was_open": False, "seen": -1, "lines": {}, "last": {}, "taken": {}}
+        touched: set[str] = set()
+        rows = pd.concat(list(frames)).sort_values("n", kind="stable")
+        if len(rows) and rows["n"].iloc[0] <= s["seen"]:
+            raise ValueError(f"log {key[0]}: line {rows['n'].iloc[0]} after line {s['seen']}")
+
+        def say(text: str) -> None:
+            s["lines"][str(s["session"])].append(text)
+            touched.add(str(s["session"]))
+
+        for text in rows["line"]:
+            m = marker.match(text)
+            kind, who, before = (m.group(2), m.group(3), m.group(1).strip(" ")) if m else ("", "", "")
+            if kind == "BEGIN":
+                if before and s["was_open"]:
+                    say(before)
+                s["session"], s["video"], s["ended"], s["was_open"] = s["session"] + 1, who, False, True
+                s["lines"][str(s["session"])], s["last"][who] = [], s["session"]
+                continue
+            s["was_open"] = s["session"] > 0 and not s["ended"]
+            if s["was_open"]:
+                if kind and before:
+                    say(before)
+                elif not kind and text.strip(" ") and not repeated.match(text):
+                    say(text)
+            if kind == "END" and who == s["video"]:
+                s["ended"] = True
+            if kind == "COMMIT" and s["session"] > 0 and who in s["last"]:
+                s["taken"][who] = [s["session"], s["last"][who]]
+                touched.add(str(s["last"][who]))
+        s["seen"] = int(rows["n"].iloc[-1]) if len(rows) else s["seen"]
+        needed = {str(s["session"]), *(str(x) for x in s["last"].values()), *(str(x) for _, x in s["taken"].values())}
+        s["lines"] = {k: v for k, v in s["lines"].items() if k in needed}
+        state.update((json.dumps(s),))
+        out = [(who, key[0], at, session, s["seen"], s["lines"][str(session)]) for who, (at, session) in s["taken"].items() if str(session) in touched]
+        yield pd.DataFrame(out, columns=["video_id", "log", "at", "session", "n", "lines"])
+
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    return lines.groupBy("log").applyInPandasWithState(step, "video_id string, log long, at long, session long, n long, lines array<string>", "state string", "append", GroupStateTimeout.NoTimeout)
+
+
+def last_sessions(rows: DataFrame) -> DataFrame:
+    """(video_id, lines) of what ``log_sessions`` has given so far."""
+    last = rows.groupBy("video_id").agg(F.max_by("lines", F.struct("log", "at", "session", "n")).alias("lines"))
+    return last.where(F.size("lines") > 0)
+
+
 def run_to_table(stream: DataFrame, path: str, mode: str = "append", each: Callable[[DataFrame, int], None] | None = None) -> None:
     """Runs a stream over all that is there now (with backpressure as its source sets it) into Parquet, or through ``each``."""
     w = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}.state").trigger(availableNow=True)
