@@ -75,6 +75,18 @@ def silent_periods(beats: DataFrame, key: str, ts: str, seconds: int) -> DataFra
     return beats.withColumn("g_", gap).where(F.col("g_") > seconds * 1_000_000).select(key, F.col(ts).alias("last_seen"), F.floor(F.col("g_") / 1_000_000).cast("long").alias("silence_s"))
 
 
+def respawns(silent: DataFrame, key: str, last_seen: str, seconds: int, limit: int = 3, window_s: int = 3600) -> DataFrame:
+    """silent periods with (recent, allowed): how many respawns fell into the last ``window_s`` seconds, this one included, and whether it is allowed.
+
+    A worker is respawned ``seconds`` after it was last seen; once one would be the respawn after ``limit`` within the window, it and all later ones are not allowed.
+    """
+    at = F.unix_micros(last_seen) + seconds * 1_000_000
+    w = Window.partitionBy(key).orderBy("at_")
+    s = silent.withColumn("at_", at).withColumn("recent", F.count("*").over(w.rangeBetween(-window_s * 1_000_000, Window.currentRow)))
+    over = F.max((F.col("recent") > limit).cast("int")).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    return s.withColumn("allowed", over == 0).drop("at_")
+
+
 #: Fixed patterns of log markers and repeated lines.
 MARKER = r"^(.*?)(BEGIN|END|COMMIT) ([A-Za-z0-9._-]+)(?: attempt (\d+))? at (\S+)$"
 REPEATED = r"^\s*Last message repeated \d+ times?\s*$"

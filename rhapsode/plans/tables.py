@@ -431,9 +431,13 @@ def retry_policy(t: Tables) -> DataFrame:
     return I.retry_policy(t.events.select(F.col("user_id").alias("video_id"), o.alias("outcome")))
 
 
-@query("watchdog", "with g as (select user_id, ts, lead(ts) over (partition by user_id order by ts, event_id) - ts as d, epoch_us(lead(ts) over (partition by user_id order by ts)) - epoch_us(ts) as us from events) select user_id, ts as last_seen, us // 1000000 as silence_s from g where us > 600000000")
+@query("watchdog", """with g as (select user_id, ts, epoch_us(lead(ts) over (partition by user_id order by ts)) - epoch_us(ts) as us from events), s as (select user_id, ts, us, epoch_us(ts) as at_us from g where us > 600000000),
+    n as (select *, count(*) over (partition by user_id order by at_us range between 604800000000 preceding and current row) as recent from s)
+    select user_id, ts as last_seen, us // 1000000 as silence_s, recent, max(case when recent > 3 then 1 else 0 end) over (partition by user_id order by at_us range between unbounded preceding and current row) = 0 as allowed from n""")
 def watchdog(t: Tables) -> DataFrame:
-    return I.silent_periods(t.events.withColumn("ts", F.col("ts").cast("timestamp")), "user_id", "ts", 600).withColumn("last_seen", F.col("last_seen").cast("timestamp_ntz"))
+    """Silences of more than 600 seconds, and whether the respawn after each is within three a week."""
+    silent = I.silent_periods(t.events.withColumn("ts", F.col("ts").cast("timestamp")), "user_id", "ts", 600)
+    return I.respawns(silent, "user_id", "last_seen", 600, 3, 7 * 86_400).withColumn("last_seen", F.col("last_seen").cast("timestamp_ntz"))
 
 
 @query("freshness_check", "select video_id, case when video_id % 5 = 0 then 'delete' when video_id % 3 = 0 then 'write' else 'keep' end as action from clips", "clips")
@@ -641,11 +645,13 @@ def captions_numbered(t: Tables) -> DataFrame:
     return kept.select("video_id", "seq", "start_ms", F.row_number().over(Window.partitionBy("video_id").orderBy("seq")).cast("long").alias("place"))
 
 
-@query("captions_by_frame", "select k.video_id, k.seq, cast(floor(k.start_ms * v.fps_den * 1000.0 / v.fps_num + 0.5) as bigint) as start_ms, lower(k.text) as text from cues k join videos v on k.video_id = v.video_id", "cues videos")
+@query("captions_by_frame", r"""select k.video_id, cast(floor(k.start_ms * v.fps_den * 1000.0 / v.fps_num + 0.5) as bigint) as start_ms, cast(floor(k.end_ms * v.fps_den * 1000.0 / v.fps_num + 0.5) as bigint) as end_ms, lower(k.text) as text from cues k join videos v on k.video_id = v.video_id where k.video_id % 2 = 1
+    union all select k.video_id, k.start_ms, k.end_ms, lower(trim(substr(regexp_replace(k.text, '\s+', ' ', 'g'), 1, 40))) from cues k where k.end_ms > k.start_ms and k.video_id % 2 = 0 and k.video_id in (select video_id from videos)""", "cues videos")
 def captions_by_frame(t: Tables) -> DataFrame:
-    """Frame numbers (here the start column) over the exact rate, lower-cased."""
-    ms = F.floor(F.col("start_ms") * F.col("fps_den") * 1000.0 / F.col("fps_num") + 0.5).cast("long")
-    return t.cues.join(t.videos, "video_id").select("video_id", "seq", ms.alias("start_ms"), F.lower("text").alias("text"))
+    """Odd videos have their captions by frame number (here the times), over the exact rate, the others as WebVTT texts."""
+    videos = t.videos.withColumn("frames", F.col("video_id") % 2 == 1)
+    rows = C.dated_captions(videos, t.cues.select("video_id", F.col("start_ms").alias("begin"), F.col("end_ms").alias("end"), "text"), vtt_files(t))
+    return rows.withColumn("text", F.when(F.col("video_id") % 2 == 0, F.trim("text")).otherwise(F.col("text")))
 
 
 @query("v1_subtitles", "select c_custkey as row, split_part(c_name, '#', 1) as name, cast(c_custkey * 3 as bigint) as begin, cast(c_custkey * 3 + 40 as bigint) as end, c_mktsegment as text from customer where c_custkey % 4 <> 0 and c_custkey % 6 <> 0")

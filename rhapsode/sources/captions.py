@@ -63,3 +63,15 @@ def vtt_texts(cues: DataFrame, keys: list[str], order: str = "seq") -> DataFrame
     """(keys, vtt): the file of each key's cleaned cues, in order."""
     parts = F.array_sort(F.collect_list(F.struct(order, block(F.col("start_ms"), F.col("end_ms"), F.col("text")).alias("b"))))
     return cues.groupBy(*keys).agg(F.concat(F.lit("WEBVTT\n\n"), F.array_join(F.transform(parts, lambda p: p["b"]), "\n")).alias("vtt"))
+
+
+def dated_captions(videos: DataFrame, by_frame: DataFrame, files: DataFrame) -> DataFrame:
+    """(video_id, start_ms, end_ms, text), lower-cased: of each video by its own kind of source.
+
+    videos: (video_id, fps_num, fps_den, frames boolean). Where ``frames``, its rows of by_frame (video_id, begin, end, text) count frames at the exact rate; else
+    its WebVTT text is read from files (video_id, text).
+    """
+    ms = lambda c: F.floor(F.col(c) * F.col("fps_den") * 1000.0 / F.col("fps_num") + 0.5).cast("long")
+    counted = by_frame.join(videos.where("frames"), "video_id").select("video_id", ms("begin").alias("start_ms"), ms("end").alias("end_ms"), "text")
+    timed = in_millis(cues_of(files.join(videos.where("not frames").select("video_id"), "video_id", "left_semi"), "video_id"))
+    return counted.union(timed.select("video_id", "start_ms", "end_ms", "text")).withColumn("text", F.lower("text"))
