@@ -218,3 +218,18 @@ def test_an_epoch_that_is_done_again_counts_once(tmp_path):
     w.abort([w.write(iter([batch]))], 1)
     assert len(list((tmp_path / "g" / "parts").glob("*"))) == 2 and np.fromfile(tmp_path / "g" / "parts" / first.parts[0][4], "<f4").tolist() == [1.0, 2.0]
     assert len(G.npy_header(0, 0)) == len(G.npy_header(10**18, 399))
+
+
+def test_archives_are_put_together_from_chunks(spark, tmp_path):
+    videos, dets = tables(spark, 200, ("a", "b"))
+    jobs, folder, work = R.staged_jobs(videos, dets.repartition(4), str(tmp_path))
+    for v, chunks in R.jobs_of(jobs.toPandas()):
+        sizes = []
+        for c in chunks:
+            import pyarrow as pa
+
+            with pa.ipc.open_file(f"{work}/{c[4]}") as f:
+                t = f.read_all()
+            assert t.column("posed").to_pylist() == [k is not None for k in t.column("kpts").to_pylist()]
+            sizes.append(len(t))
+        assert sum(sizes) == dets.where(f"video_id = '{v['video_id']}'").count() and max(sizes) < sum(sizes)
