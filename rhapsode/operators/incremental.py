@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .stage import settled
+
 
 def resume_action(wanted: DataFrame, done: DataFrame, key: str = "video_id") -> DataFrame:
     """(key, action): skip where both hashes and sizes match and the summary exists; derive where only the derived part is old; else extract.
@@ -112,12 +114,16 @@ def log_sessions(lines: DataFrame, log: str = "log", n: str = "n", text: str = "
     x = x.withColumn("said", F.when(F.col("open") & (F.col("kind") != "BEGIN"), said))
     spill = F.lead(F.when((F.col("kind") == "BEGIN") & (F.col("before") != ""), F.struct("before"))).over(Window.partitionBy(log).orderBy(n))
     x = x.withColumn("spill", F.when(F.col("open"), spill["before"]))
-    s = x.where("session > 0").groupBy(log, "session", "video").agg(F.array_sort(F.collect_list(F.when(F.coalesce("said", "spill").isNotNull(), F.struct(F.col(n).alias("n"), F.array_compact(F.array("said", "spill")).alias("t"))))).alias("ls"))
-    s = s.select(log, "session", "video", F.flatten(F.transform("ls", lambda a: a["t"])).alias("lines"))
-    commits = x.where((F.col("kind") == "COMMIT") & (F.col("session") > 0)).select(log, F.col("who").alias("video"), F.col("session").alias("at"))
-    hit = commits.join(s, [log, "video"]).where(F.col("session") <= F.col("at"))
-    taken = hit.groupBy("video").agg(F.max_by("lines", F.struct(log, "at", "session")).alias("lines"))
-    return taken.where(F.size("lines") > 0).select(F.col("video").alias("video_id"), "lines")
+    # which session counts is settled by numbers alone; only its lines are gathered
+    marks = settled(x.where(F.col("kind").isin("BEGIN", "COMMIT") & (F.col("session") > 0)).select(log, "kind", F.col("who").alias("video"), "session"))
+    begun = marks.where("kind = 'BEGIN'").select(log, "video", "session")
+    first = begun.groupBy(log, "video").agg(F.min("session").alias("first"))
+    at = marks.where("kind = 'COMMIT'").groupBy(log, "video").agg(F.max("session").alias("at")).join(first, [log, "video"]).where("first <= at")
+    last = at.groupBy("video").agg(F.max(F.struct(log, "at")).alias("c")).select("video", f"c.{log}", "c.at")
+    chosen = begun.join(last, [log, "video"]).where("session <= at").groupBy(log, "video").agg(F.max("session").alias("session"))
+    spoken = x.select(log, "session", "video", n, F.array_compact(F.array("said", "spill")).alias("t")).where(F.size("t") > 0).join(chosen, [log, "session", "video"], "left_semi")
+    taken = spoken.groupBy("video").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(F.col(n).alias("n"), "t"))), lambda a: a["t"])).alias("lines"))
+    return taken.select(F.col("video").alias("video_id"), "lines")
 
 
 def heartbeats(rows: DataFrame, key: str, ts: str, seconds: int = 15) -> DataFrame:

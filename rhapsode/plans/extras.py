@@ -56,12 +56,14 @@ def src_xlsx(t: Tables) -> DataFrame:
 
 @query("src_decode_log")
 def src_decode_log(t: Tables) -> DataFrame:
-    """Log files as whole texts, their lines numbered, then the marker machine."""
+    """Log files, one each, whose lines are read in splits and numbered by their places, then the marker machine."""
+    from pyspark.sql import Window
+
     path = scratch(t, "logs")
-    lines = F.transform(F.array_sort(F.collect_list(F.struct("n", "line"))), lambda x: x["line"])
-    log_lines(t).groupBy("log").agg(F.array_join(lines, "\n").alias("value")).select("value", "log").write.partitionBy("log").text(path)
-    files = t.spark.read.text(path, wholetext=True)
-    each = files.select("log", F.posexplode(F.split("value", "\r?\n")).alias("n", "line")).withColumn("n", F.col("n").cast("long"))
+    log_lines(t).repartition("log").sortWithinPartitions("log", "n").select("line", "log").write.partitionBy("log").text(path)
+    files = t.spark.read.option("lineSep", "\n").text(path)
+    place = files.select("log", F.regexp_replace("value", "\r$", "").alias("line"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id"))
+    each = place.select("log", (F.row_number().over(Window.partitionBy("log").orderBy("start", "id")) - 1).cast("long").alias("n"), "line")
     return I.log_sessions(each).select("video_id", F.size("lines").alias("n_lines"), F.col("lines")[0].alias("first_line"))
 
 
