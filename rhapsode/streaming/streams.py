@@ -41,12 +41,11 @@ def tracks(boxes: DataFrame, link_iou: float = 0.5, max_gap: int = 25) -> DataFr
             old = (ids, np.array(box, dtype=np.float64).reshape(-1, 4), last, nxt)
             if rows["frame"].min() <= seen:
                 raise ValueError(f"video {key[0]}: frame {rows['frame'].min()} after frame {seen}")
-        linker, out = Linker(link_iou, max_gap, old), []
-        for t, f in rows.groupby("frame", sort=True):
-            out.append(f[["frame", "det"]].assign(track=linker.frame(int(t), f[["x1", "y1", "x2", "y2"]].to_numpy(dtype=np.float64))))
+        linker = Linker(link_iou, max_gap, old)
+        found = linker.rows(rows["frame"].to_numpy(dtype=np.int64), rows[["x1", "y1", "x2", "y2"]].to_numpy(dtype=np.float64))
         ids, box, last, nxt = linker.state()
         state.update((json.dumps([ids, box.tolist(), last, nxt, int(rows["frame"].max())]),))
-        yield pd.concat(out).assign(video_id=key[0])[["video_id", "frame", "det", "track"]]
+        yield rows[["frame", "det"]].assign(video_id=key[0], track=found)[["video_id", "frame", "det", "track"]]
 
     from pyspark.sql.streaming.state import GroupStateTimeout
 
