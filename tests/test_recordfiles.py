@@ -248,3 +248,35 @@ def test_blocks_that_follow_each_other_are_one_sum(spark, tmp_path):
     start = perf_counter()
     assert [r["problem"] for r in R.crc_members(spark, str(tmp_path), 8).collect()] == [None]
     assert perf_counter() - start < 20  # 50,000 blocks
+
+
+def test_keypoints_are_computed_once_rows_are_dealt(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    videos, dets = tables(spark, 60, ("a", "b"))
+    points = F.when(F.col("det") == 0, F.transform(F.sequence(F.lit(0), F.lit(398)), lambda i: (F.col("frame") + i).cast("float")))
+    plain = dets.drop("kpts")
+    plan = R.dealt_rows(plain, {"kpts": points})._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("transform(") < plan.index("Sort") < plan.index("RepartitionByExpression")  # above the sort and the shuffle
+    A.write_archives(videos, plain, str(tmp_path / "late"), {"kpts": points})
+    A.write_archives(videos, plain.withColumn("kpts", points), str(tmp_path / "early"))
+    for v in ("a", "b"):
+        assert (tmp_path / "late" / f"{v}.npz").read_bytes() == (tmp_path / "early" / f"{v}.npz").read_bytes()
+
+
+def test_a_batch_is_counted_over_its_own_frames(tmp_path, monkeypatch):
+    """A video's frames for each batch would be the square of its length."""
+    import pyarrow as pa
+
+    n, sizes, count = 4000, [], np.bincount
+    writer = R.ChunkWriter(str(tmp_path), "job")
+    frame = np.arange(n)
+    cols = [pa.array(["a"] * n), pa.array(frame), pa.array(frame * 0), *[pa.array(frame.astype("f4"))] * 5, pa.array(frame.astype("i4") % 8), pa.array([True] * n), pa.array([[1.0] * 399 if i % 3 == 0 else None for i in range(n)], pa.list_(pa.float32()))]
+    whole = pa.RecordBatch.from_arrays(cols, names=R.CHUNK_COLUMNS[:-1])
+    message = writer.write(iter([whole.slice(i, 100) for i in range(0, n, 100)]))
+    monkeypatch.setattr(np, "bincount", lambda x, minlength=0: sizes.append(minlength) or count(x, minlength=minlength))
+    video = {"video_id": "a", "width": 1, "height": 1, "fps_num": 25, "fps_den": 1, "n_frames": n, "primary_rule": "", "meta": "", "provenance": ""}
+    R.assemble(str(tmp_path), writer.work, video, message.chunks, str(tmp_path / "a.npz"))
+    assert sum(sizes) <= 3 * n
+    with np.load(tmp_path / "a.npz") as z:
+        assert (z["kpt_primary"] == np.where(frame % 3 == 0, 0, -1)).all() and (np.diff(z["kpt_offsets"]) == (frame % 3 == 0)).all() and (z["num_persons"] == (frame % 8 & 2 != 0)).all()
