@@ -130,3 +130,50 @@ def test_segments_of_others_must_fit_an_anchor_of_the_main_spot(spark):
     small = [box(t, 0, 0) for t in range(60)] + [(1, t, 1, 0.0, 0.0, 24.0, 100.0) for t in range(62, 100)]
     assert set(choose(spark, small, 100, replace(tight, other_scale=1.2))) == set(range(60))
     assert set(choose(spark, small, 100, replace(tight, other_scale=1.4))) == {*range(60), *range(62, 100)}
+
+
+def test_spots_are_found_as_by_searching_all_of_them():
+    import numpy as np
+
+    p, rng = K.TrackParams(), np.random.default_rng(3)
+    spots, seen, anchors = K.Founding(p), [], []  # of spots and anchors in the order they came, the first that overlaps most
+    for _ in range(600):
+        x, y, q = rng.integers(0, 4) * 40, rng.integers(0, 3) * 60, rng.integers(0, 12) * 4
+        box, width, long = np.array([x, y, x + 60 + q, y + 80 + q], dtype=float), rng.choice([np.nan, 30.0, 36.0, 50.0]), bool(rng.random() < 0.3)
+        at = -1
+        if seen:
+            over = K.pair_iou(box[None], np.array([s[0] for s in seen]))[0]
+            k = int(np.argmax(over))
+            side = lambda b: float(np.sqrt((b[2] - b[0]) * (b[3] - b[1])))
+            if over[k] >= p.link_iou and K.alike((side(box), side(seen[k][0])), (width, seen[k][1]), p.fit_scale) and (long or K.pair_iou(box[None], np.array(anchors[k])).max() >= p.fit_iou):
+                at = k
+        new = at < 0
+        if new:
+            at = len(seen)
+            seen.append((box, width))
+            anchors.append([])
+        if new or long:
+            anchors[at].append(box)
+        assert spots.place(box, width, long) == (at, new or long, new)
+
+
+def test_a_box_asked_again_is_held_against_new_boxes_only(monkeypatch):
+    import numpy as np
+
+    b, sizes, pair = K.Boxes(), [], K.pair_iou
+    for i in range(50):
+        b.add(np.array([i, 0.0, i + 10, 10.0]), i)
+    monkeypatch.setattr(K, "pair_iou", lambda x, y: sizes.append(len(y)) or pair(x, y))
+    for _ in range(100):
+        assert b.nearest(np.array([7.0, 0.0, 17.0, 10.0])) == (1.0, 7)
+    assert sizes == [50]
+
+
+def test_tracks_and_people_of_a_video_are_read_as_streams(spark):
+    t = spark.createDataFrame([(0, 0, 3, 0.0, 0.0, 9.0, 9.0, None), (0, 1, 1, 0.0, 0.0, 9.0, 9.0, None)], "video_id long, track long, length long, x1 double, y1 double, x2 double, y2 double, scale double")
+    found = K.found_spots(t, K.TrackParams(), 2, 3)
+    people = K.person_tracks(spark.createDataFrame([(0, 0, 0, 0.1, 0.1)], "video_id long, frame long, pos long, cx double, cy double"))
+    assert [tuple(r) for r in found.collect()] == [(0, 0, 0, True, True)]
+    for df in (found, people):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "MapInArrow" in plan and "FlatMapGroups" not in plan
