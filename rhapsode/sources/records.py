@@ -56,7 +56,22 @@ def first_split(rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
 
 def read_meta_rows(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     """Rows of a folder of JSON files, one each; a row whose video_id isn't its file's stem is an error."""
-    df = spark.read.schema(schema).json(folder, multiLine=True).select("*", F.col("_metadata.file_name").alias("f_"))
+    from .archives import _store, listed_files
+    from .recordfiles import qualified
+
+    def texts(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            paths, out = b.column(0).to_pylist(), []
+            for path in paths:
+                store, at = _store(path)
+                with store.open_input_stream(at) as raw:
+                    out.append(raw.read().decode())
+            yield pa.RecordBatch.from_pydict({"f_": pa.array([p.rpartition("/")[2] for p in paths], pa.string()), "text": pa.array(out, pa.string())})
+
+    got = listed_files(spark, qualified(spark, folder)).mapInArrow(texts, "f_ string, text string").where("trim(text) <> ''")
+    df = got.select(F.from_json("text", schema).alias("r"), "f_").select("r.*", "f_")
     same = F.when(F.regexp_replace("f_", r"\.json$", "") == F.col("video_id"), True).otherwise(F.raise_error(F.lit("video_id isn't the file's name")).cast("boolean"))
     return df.where(same).drop("f_")
 
@@ -75,16 +90,20 @@ def write_meta_rows(rows: DataFrame, folder: str) -> None:
         from pyarrow import fs
 
         store, base = fs.FileSystem.from_uri(root)
-        store.create_dir(base, recursive=True)
+        work = f"{base}/.{uuid.uuid4().hex}"  # readers pass over names that begin with a dot; tasks don't wait for each other in a folder of their own
+        store.create_dir(work, recursive=True)
         for f in frames:
             for name, text in zip(f["video_id"], f["text"], strict=True):
-                draft = f"{base}/.{name}.{uuid.uuid4().hex[:8]}"  # readers pass over names that begin with a dot
+                draft = f"{work}/{name}"
                 with store.open_output_stream(draft) as out:
                     out.write(text.encode())
                 store.move(draft, f"{base}/{name}.json")
             yield pd.DataFrame({"n": [len(f)]})
+        store.delete_dir(work)
 
-    rows.select("video_id", F.to_json(F.struct(*rows.columns)).alias("text")).mapInPandas(write, "n long").agg(F.sum("n")).collect()
+    from .archives import tasks
+
+    rows.select("video_id", F.to_json(F.struct(*rows.columns)).alias("text")).repartition(tasks(spark)).mapInPandas(write, "n long").agg(F.sum("n")).collect()
 
 
 #: Columns of the metadata table, those that hold JSON, and those of older versions that are dropped.
