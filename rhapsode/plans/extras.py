@@ -25,7 +25,7 @@ def sink_npy_stream(t: Tables) -> DataFrame:
 
     path = scratch(t, "growing")
     rows = t.series.select(F.col("video_id").cast("string").alias("array"), F.col("t").alias("position"), F.array(F.col("value").cast("float")).alias("value"))
-    rows.repartitionByRange(3, "position").write.parquet(f"{path}/in")
+    rows.repartitionByRange(3, "position").sortWithinPartitions("array", "position").write.parquet(f"{path}/in")
     growing.register(t.spark)
     source = t.spark.readStream.schema("array string, position long, value array<float>").option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
     source.writeStream.format("growing_arrays").option("path", growing.qualified(t.spark, f"{path}/sink")).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()

@@ -15,15 +15,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamArrowWriter, WriterCommitMessage
 
-from .archives import _store
+from .archives import _store, listed_files, tasks
 from .recordfiles import put_whole, qualified
 
 #: Bytes that are copied at a time.
 COPY = 8 << 20
+#: Files that a task keeps open.
+OPEN = 32
 
 
 def npy_header(rows: int, width: int, kind: str = "<f4") -> bytes:
@@ -35,13 +38,13 @@ def npy_header(rows: int, width: int, kind: str = "<f4") -> bytes:
 
 @dataclass
 class Appended(WriterCommitMessage):
-    """Files of a task: (array, first position, rows, file)."""
+    """Parts of a task: (array, first position, rows, width, file, place in the file)."""
 
     parts: list[tuple]
 
 
 class ArrayWriter(DataSourceStreamArrowWriter):
-    """Rows (array, position, values): a task writes one file for each array it meets."""
+    """Rows (array, position, values): a task gathers some megabytes of them and writes these as one file, array by array."""
 
     def __init__(self, folder: str):
         self.folder = folder
@@ -49,38 +52,48 @@ class ArrayWriter(DataSourceStreamArrowWriter):
     def write(self, batches: Iterator[pa.RecordBatch]) -> Appended:
         store, base = _store(self.folder)
         store.create_dir(f"{base}/parts", recursive=True)
-        open_: dict = {}
+        parts: list[tuple] = []
+        held, size = [], 0
+
+        def flush() -> None:
+            t = pa.Table.from_batches(held).combine_chunks()
+            t = t.sort_by([(t.column_names[0], "ascending"), (t.column_names[1], "ascending")]).combine_chunks()
+            keys, position, values = t.column(0).to_pylist(), np.asarray(t.column(1)), t.column(2)
+            many = pa.types.is_list(values.type) or pa.types.is_large_list(values.type)
+            widths = pc.list_value_length(values).to_numpy() if many else np.zeros(len(keys), dtype="i8")
+            x = np.asarray(pc.list_flatten(values) if many else values, dtype="<f4")
+            ends = np.concatenate([[0], np.cumsum(widths if many else np.ones(len(keys), dtype="i8"))])
+            name, cuts = f"{uuid.uuid4().hex}.f4", [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                if (widths[lo:hi] != widths[lo]).any():
+                    raise ValueError(f"rows of array {keys[lo]} differ in width")
+                parts.append((str(keys[lo]), int(position[lo]), hi - lo, int(widths[lo]), name, int(ends[lo]) * 4))
+            with store.open_output_stream(f"{base}/parts/{name}") as out:
+                out.write(x.tobytes())
+
         for b in batches:
-            keys = np.asarray(b.column(0).to_pylist(), dtype=object)
-            for key in dict.fromkeys(keys.tolist()):
-                at = np.flatnonzero(keys == key)
-                part = b.take(pa.array(at))
-                position = np.asarray(part.column(1))
-                values = part.column(2)
-                width = len(values[0]) if pa.types.is_list(values.type) or pa.types.is_large_list(values.type) else 0
-                x = np.asarray(values.flatten() if width else values, dtype="<f4")
-                if width and len(x) != width * len(at):
-                    raise ValueError(f"rows of array {key} differ in width")
-                by = np.argsort(position, kind="stable")
-                x = x.reshape(len(at), -1)[by]
-                name = f"{uuid.uuid4().hex}.f4"
-                with store.open_output_stream(f"{base}/parts/{name}") as out:
-                    out.write(x.tobytes())
-                open_.setdefault(key, []).append((str(key), int(position[by[0]]), len(at), width, name))
-        return Appended([p for v in open_.values() for p in v])
+            if b.num_rows:
+                held.append(b)
+                size += b.nbytes
+            if size >= COPY:
+                flush()
+                held, size = [], 0
+        if held:
+            flush()
+        return Appended(parts)
 
     def commit(self, messages: list[Appended | None], batchId: int) -> None:  # noqa: N803
         store, base = _store(self.folder)
         path = f"{base}/epochs/{batchId:012d}.json"
         if store.get_file_info(path).type.name != "NotFound":
             return
-        put_whole(self.folder, path, "".join(json.dumps(dict(zip(("array", "first", "rows", "width", "file"), p, strict=True))) + "\n" for m in messages if m for p in sorted(m.parts)))
+        put_whole(self.folder, path, "".join(json.dumps(dict(zip(("array", "first", "rows", "width", "file", "at"), p, strict=True))) + "\n" for m in messages if m for p in sorted(m.parts)))
 
     def abort(self, messages: list[Appended | None], batchId: int) -> None:  # noqa: N803
         store, base = _store(self.folder)
         for m in messages:
-            for p in m.parts if m else []:
-                store.delete_file(f"{base}/parts/{p[4]}")
+            for name in {p[4] for p in m.parts} if m else ():
+                store.delete_file(f"{base}/parts/{name}")
 
 
 class GrowingArrays(DataSource):
@@ -108,8 +121,8 @@ def settle(spark: SparkSession, folder: str, out: str) -> DataFrame:
 
     Rows of one epoch are in the order of their positions, epochs in their own order. A file appears whole, and doing it again gives the same bytes."""
     folder, out = qualified(spark, folder), qualified(spark, out)
-    listed = spark.read.schema("array string, first long, rows long, width int, file string").json(f"{folder}/epochs").withColumn("epoch", F.col("_metadata.file_name"))
-    each = listed.groupBy("array").agg(F.sum("rows").alias("rows"), F.max("width").alias("width"), F.min("width").alias("narrow"), F.array_sort(F.collect_list(F.struct("epoch", "first", "file"))).alias("parts"))
+    listed = spark.read.schema("array string, first long, rows long, width int, file string, at long").json(f"{folder}/epochs").withColumn("epoch", F.col("_metadata.file_name"))
+    each = listed.groupBy("array").agg(F.sum("rows").alias("rows"), F.max("width").alias("width"), F.min("width").alias("narrow"), F.array_sort(F.collect_list(F.struct("epoch", "first", "file", "at", (F.col("rows") * F.greatest("width", F.lit(1)) * 4).alias("size")))).alias("parts"))
 
     def run(frames):
         import pandas as pd
@@ -117,6 +130,7 @@ def settle(spark: SparkSession, folder: str, out: str) -> DataFrame:
         store, base = _store(folder)
         _, target = _store(out)
         store.create_dir(target, recursive=True)
+        opened: dict = {}
         for f in frames:
             sizes = []
             for v in f.to_dict("records"):
@@ -126,21 +140,31 @@ def settle(spark: SparkSession, folder: str, out: str) -> DataFrame:
                 with store.open_output_stream(draft) as sink:
                     sink.write(npy_header(int(v["rows"]), int(v["width"])))
                     for p in v["parts"]:
-                        with store.open_input_stream(f"{base}/parts/{p['file']}") as part:
-                            while block := part.read(COPY):
-                                sink.write(block)
+                        if p["file"] not in opened:
+                            while len(opened) >= OPEN:
+                                opened.pop(next(iter(opened))).close()
+                            opened[p["file"]] = store.open_input_file(f"{base}/parts/{p['file']}")
+                        part, left = opened[p["file"]], int(p["size"])
+                        part.seek(int(p["at"]))
+                        while left and (block := part.read(min(COPY, left))):
+                            sink.write(block)
+                            left -= len(block)
+                        if left:
+                            raise ValueError(f"{p['file']} is short")
                 store.move(draft, f"{target}/{v['array']}.npy")
                 sizes.append(store.get_file_info(f"{target}/{v['array']}.npy").size)
             yield f[["array", "rows", "width"]].assign(bytes=pd.Series(sizes, index=f.index, dtype="int64"))
+        for part in opened.values():
+            part.close()
 
-    done = each.repartition("array").mapInPandas(run, "array string, rows long, width int, bytes long")
+    done = each.repartition(tasks(spark), "array").mapInPandas(run, "array string, rows long, width int, bytes long")
     done.write.mode("overwrite").parquet(f"{folder}/settled")
     return spark.read.parquet(f"{folder}/settled")
 
 
 def read_arrays(spark: SparkSession, folder: str) -> DataFrame:
     """(array, position, value) of a folder of ``.npy`` files of float rows, read in blocks."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.npy").load(folder).select("path")
+    files = listed_files(spark, qualified(spark, folder), ".npy")
 
     def run(batches):
         for b in batches:

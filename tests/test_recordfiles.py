@@ -280,3 +280,30 @@ def test_a_batch_is_counted_over_its_own_frames(tmp_path, monkeypatch):
     assert sum(sizes) <= 3 * n
     with np.load(tmp_path / "a.npz") as z:
         assert (z["kpt_primary"] == np.where(frame % 3 == 0, 0, -1)).all() and (np.diff(z["kpt_offsets"]) == (frame % 3 == 0)).all() and (z["num_persons"] == (frame % 8 & 2 != 0)).all()
+
+
+def test_a_task_writes_few_files_for_many_arrays(tmp_path):
+    import pyarrow as pa
+
+    keys = [f"v{i % 500}" for i in range(2000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.arange(2000)), pa.array([[float(i)] for i in range(2000)], pa.list_(pa.float32()))], names=["array", "position", "value"])
+    done = G.ArrayWriter(str(tmp_path)).write(iter([batch.slice(0, 900), batch.slice(900)]))
+    assert len(list((tmp_path / "parts").glob("*"))) == 1 and len(done.parts) == 500
+    raw = np.fromfile(next((tmp_path / "parts").glob("*")), "<f4")
+    for name, first, rows, width, _, at in done.parts:
+        assert (first, rows, width) == (int(name[1:]), 4, 1) and raw[at // 4 : at // 4 + rows].tolist() == [first + 500.0 * k for k in range(4)]
+
+
+def test_many_small_files_are_few_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from rhapsode.sources import records as P
+
+    rows = spark.range(3000).select(F.concat(F.lit("v"), F.col("id").cast("string")).alias("video_id"), (F.col("id") % 7).cast("int").alias("width"))
+    P.write_meta_rows(rows, f"file://{tmp_path}/m")
+    assert len([p for p in (tmp_path / "m").iterdir()]) == 3000  # drafts are gone
+    got = P.read_meta_rows(spark, f"{tmp_path}/m", "video_id string, width int")
+    assert got.rdd.getNumPartitions() <= A.tasks(spark) and got.exceptAll(rows).count() == 0 and got.count() == 3000
+    (tmp_path / "m" / "v1.json").write_text('{"video_id": "v2", "width": 1}')
+    with pytest.raises(Exception, match="isn't the file's name"):
+        P.read_meta_rows(spark, f"{tmp_path}/m", "video_id string, width int").collect()
