@@ -307,3 +307,39 @@ def test_many_small_files_are_few_tasks(spark, tmp_path):
     (tmp_path / "m" / "v1.json").write_text('{"video_id": "v2", "width": 1}')
     with pytest.raises(Exception, match="isn't the file's name"):
         P.read_meta_rows(spark, f"{tmp_path}/m", "video_id string, width int").collect()
+
+
+def test_a_video_of_many_frames_is_put_together_in_blocks(tmp_path):
+    """Neither a block's ends nor batches that part a frame change a number, and the numbers of all frames are never in memory."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    t, edge = 2_000_000, R.FRAMES
+    rows = [(f, d, d != 1, d == 2) for f in (0, edge - 1, edge, edge + 1, 9 * edge, t - 1) for d in range(4)]  # (frame, det, posed, primary)
+    kinds = {"frame": "i8", "det": "i8", "x1": "f4", "y1": "f4", "x2": "f4", "y2": "f4", "score": "f4", "flags": "i4"}
+    chunks = []
+    for k, part in enumerate((rows[:6], rows[6:7], rows[7:])):
+        cols = {c: np.array([{"frame": f, "det": d, "flags": 2 * (d % 2)}.get(c, 0.5) for f, d, _, _ in part], v) for c, v in kinds.items()}
+        full = {"video_id": ["v"] * len(part), **cols, "is_primary": [m for *_, m in part], "kpts": pa.array([[0.5] * 399 if p else None for _, _, p, _ in part], pa.list_(pa.float32())), "posed": [p for _, _, p, _ in part]}
+        batch = pa.RecordBatch.from_pydict(full)
+        with pa.ipc.new_file(str(tmp_path / f"{k}.arrow"), batch.schema) as out:
+            out.write_batch(batch)
+        chunks.append(("v", part[0][0], part[-1][0], len(part), f"{k}.arrow"))
+    video = {"video_id": "v", "width": 1, "height": 1, "fps_num": 25, "fps_den": 1, "n_frames": t, "primary_rule": "first", "meta": "{}", "provenance": "{}"}
+    tracemalloc.start()
+    R.assemble(str(tmp_path), str(tmp_path), video, chunks, str(tmp_path / "v.npz"))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 << 20  # eight bytes a frame would be 16 million
+    z = np.load(tmp_path / "v.npz")
+    frames, posed = np.array([f for f, *_ in rows]), np.array([p for _, _, p, _ in rows])
+    assert (np.diff(z["det_offsets"]) == np.bincount(frames, minlength=t)).all() and (np.diff(z["kpt_offsets"]) == np.bincount(frames[posed], minlength=t)).all()
+    assert (z["num_persons"] == np.bincount(frames, minlength=t) // 2).all() and (np.flatnonzero(z["kpt_primary"] >= 0) == np.unique(frames)).all()
+    assert set(z["kpt_primary"][np.unique(frames)].tolist()) == {1}  # of rows 0, 2 and 3
+
+
+def test_videos_are_put_together_by_many_tasks(spark, tmp_path):
+    videos, dets = tables(spark, 5, [f"v{i}" for i in range(12)])
+    A.write_archives(videos, dets, str(tmp_path))
+    assert len(list((tmp_path / ".written").glob("part-*"))) > 1
