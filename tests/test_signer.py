@@ -120,6 +120,17 @@ def test_steady_frames_equal_a_loop(spark):
     assert got == want
 
 
+def test_steady_frames_are_counted_without_a_row_a_frame(spark):
+    """A segment of two rows that are far apart sorts four ends; at a density of 0 its empty frames count as well, with a cover of 0."""
+    df = spark.createDataFrame([(1, 0, 0, True), (1, 0, 40_000, None), (2, 7, 5, None)], "video_id long, segment long, frame long, active boolean")
+    out = K.steady_segments(df, 3, 0.0)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("explode(sequence") < plan.index("Window")  # frames become rows above the windows
+    got = {(x["video_id"], x["t"]): x["cover"] for x in out.collect()}
+    assert got == {**{(1, t): int(t <= 3 or t >= 39_997) for t in range(40_001)}, (2, 5): 1}
+    assert {x["t"] for x in K.steady_segments(df.where("video_id = 1"), 3, 0.1, 0.5).collect()} == {0, 1, 2, 3}
+
+
 def test_segments_of_others_must_fit_an_anchor_of_the_main_spot(spark):
     from dataclasses import replace
 
