@@ -343,3 +343,65 @@ def test_videos_are_put_together_by_many_tasks(spark, tmp_path):
     videos, dets = tables(spark, 5, [f"v{i}" for i in range(12)])
     A.write_archives(videos, dets, str(tmp_path))
     assert len(list((tmp_path / ".written").glob("part-*"))) > 1
+
+
+def test_a_job_that_stops_leaves_one_version_and_no_stage(spark, tmp_path):
+    """A task that is run again finds the version it made; the next job removes it before it makes another."""
+    videos, dets = tables(spark, 10, ("a",))
+    folder = f"file://{tmp_path}/r"
+    R.commit_records(videos, dets, folder)
+    files = lambda: {p.name for p in (tmp_path / "r" / "files" / "a").iterdir()}
+    first = files()
+    jobs, folder, work = R.staged_jobs(videos, dets.where("det < 1"), folder)
+    ((v, chunks),) = R.jobs_of(jobs.toPandas())
+    for stop in ("file", "marker", "marker", "marker"):
+        with pytest.raises(InterruptedError):
+            R.publish(folder, work, v, chunks, stop)
+    assert len(files()) == 2 and not [p for p in (tmp_path / "r" / "work").rglob("*.npz")]
+    with pytest.raises(Exception, match="InterruptedError"):
+        R.commit_records(videos, dets, folder, stop_before="assemble")
+    assert files() == first and R.read_records(spark, folder, "detections").count() == dets.count()
+    R._store(folder)[0].delete_dir(work)
+    assert not [p for p in (tmp_path / "r" / "work").rglob("*.arrow")]
+    assert R.publish(folder, work, v, [], None)["n_frames"] == 10 and len(files()) == 1
+
+
+def test_late_keypoints_are_staged_nowhere(spark, tmp_path):
+    """They are computed from the rows as given: numbers that archives round, and columns that they lack."""
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    videos, dets = tables(spark, 60, ("a", "b"), shift=1 / 3)
+    plain = dets.drop("kpts").withColumn("size", F.struct((F.col("frame") + 0.1).alias("w"))).withColumn("score", F.col("score").cast("decimal(9,4)"))
+    posed = F.col("det") == 0
+    points = F.when(posed, F.transform(F.sequence(F.lit(0), F.lit(398)), lambda i: ((F.col("x1") * 1e7 + F.col("size.w") + i + F.col("score")) % 1000).cast("float")))
+    A.write_archives(videos, plain.withColumn("kpts", points), str(tmp_path / "early"))
+    for k, late in enumerate(({"kpts": points}, {"kpts": points, "posed": posed})):
+        jobs, _, work = R.staged_jobs(videos, plain, str(tmp_path / f"staged{k}"), late=late)
+        for _, chunks in R.jobs_of(jobs.toPandas()):
+            for c in chunks:
+                with pa.ipc.open_file(f"{work}/{c[4]}") as f:
+                    t = f.read_all()
+                assert not any(t.column("kpts").to_pylist()) and t.column("posed").to_pylist() == [d == 0 for d in t.column("det").to_pylist()]
+        A.write_archives(videos, plain, str(tmp_path / f"late{k}"), late)
+        for v in ("a", "b"):
+            assert (tmp_path / f"late{k}" / f"{v}.npz").read_bytes() == (tmp_path / "early" / f"{v}.npz").read_bytes()
+    with pytest.raises(Exception, match="are posed"):
+        A.write_archives(videos, plain, str(tmp_path / "wrong"), {"kpts": points, "posed": F.col("det") < 2})
+    assert not list((tmp_path / "wrong").rglob("*.arrow")) and not list((tmp_path / "wrong").glob(".[ab].*"))
+
+
+def test_a_stage_leaves_no_shuffle_files(spark, tmp_path):
+    from pathlib import Path
+    from time import sleep
+
+    roots = [Path(str(p)) for p in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    shuffles = lambda: {p.name for r in roots for p in r.rglob("shuffle_*.data")}
+    videos, dets = tables(spark, 60, ("a", "b"))
+    before = shuffles()
+    kept = R.staged_jobs(videos, dets, str(tmp_path / "r"))  # noqa: F841
+    for _ in range(50):
+        if shuffles() <= before:
+            break
+        sleep(0.2)
+    assert shuffles() <= before
