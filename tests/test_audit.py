@@ -61,3 +61,19 @@ def test_switches(spark, tmp_path, records):
     A.write_archives(videos, dets, str(tmp_path))
     n = R.check(spark, str(tmp_path), pick=U.first_listed, crc=False, records=records).count()
     assert (n > 0) == records
+
+
+def test_few_archives_are_twice_on_disk(spark, tmp_path):
+    """Videos are few and large: as many tasks as archives would take the disk for all of them twice."""
+    for i in range(8):
+        (tmp_path / f"v{i}.npz").write_bytes(b"old")
+    files = spark.createDataFrame([(f"file://{tmp_path}/v{i}.npz", "rate") for i in range(8)], "path string, kind string").repartition(8)
+    assert R.few_at_once(files).rdd.getNumPartitions() == 2 and R.few_at_once(files).count() == 8 and R.few_at_once(files.limit(1)).rdd.getNumPartitions() == 1
+
+    def half(raw, out):
+        out.write(b"half")
+        raise OSError("disk full")
+
+    with pytest.raises(OSError, match="disk full"):
+        R.rewritten(f"file://{tmp_path}/v0.npz", half)
+    assert len(list(tmp_path.iterdir())) == 8 and (tmp_path / "v0.npz").read_bytes() == b"old"
